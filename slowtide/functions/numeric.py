@@ -55,5 +55,19 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def half_even(x: Column, digits: int) -> Column:
-    """Rounded like Python's round(): ties go to the even digit."""
-    return F.bround(x, digits)
+    """Rounded like Python's round(): by the exact binary value, true ties to the even digit.
+
+    bround() decides by the shortest decimal text instead, which differs near ties. The product
+    with the power of ten is therefore taken together with its rounding error.
+    """
+    if digits == 0:
+        return F.bround(x, 0)
+    power = F.lit(float(10**digits))
+    scaled = x * power
+    big = x * 134217729.0
+    upper = big - (big - x)
+    error = (upper * power - scaled) + (x - upper) * power
+    below = F.floor(scaled).cast("double")
+    over = (scaled - (below + 0.5)) + error
+    up = (over > 0) | ((over == 0) & (below % 2 != 0))
+    return F.when(x.isNotNull(), F.when(up, below + 1).otherwise(below) / power)
