@@ -54,6 +54,11 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def half_even(x: Column, digits: int) -> Column:
     """Rounded like Python's round(): by the exact binary value, true ties to the even digit.
 
@@ -63,11 +68,22 @@ def half_even(x: Column, digits: int) -> Column:
     if digits == 0:
         return F.bround(x, 0)
     power = F.lit(float(10**digits))
-    scaled = x * power
-    big = x * 134217729.0
-    upper = big - (big - x)
-    error = (upper * power - scaled) + (x - upper) * power
-    below = F.floor(scaled).cast("double")
-    over = (scaled - (below + 0.5)) + error
-    up = (over > 0) | ((over == 0) & (below % 2 != 0))
-    return F.when(x.isNotNull(), F.when(up, below + 1).otherwise(below) / power)
+
+    def rounded(v):
+        big = v["x"] * 134217729.0
+        return let(
+            F.struct(v["x"].alias("x"), (v["x"] * power).alias("scaled"), (big - (big - v["x"])).alias("upper")),
+            chosen,
+        )
+
+    def chosen(v):
+        error = (v["upper"] * power - v["scaled"]) + (v["x"] - v["upper"]) * power
+        return let(
+            F.struct(
+                F.floor(v["scaled"]).cast("double").alias("below"),
+                ((v["scaled"] - (F.floor(v["scaled"]) + 0.5)) + error).alias("over"),
+            ),
+            lambda w: (w["below"] + ((w["over"] > 0) | ((w["over"] == 0) & (w["below"] % 2 != 0))).cast("int")) / power,
+        )
+
+    return let(F.struct(x.cast("double").alias("x")), rounded)

@@ -62,17 +62,17 @@ def answer_sql(raw: Column) -> Column:
     """The SQL inside a generated answer, or NULL if it is not a SELECT."""
     body = F.substring_index(raw, ANSWER_MARK, -1)
     body = strip(F.regexp_replace(body, r"(?i)```sql|```", ""))
-    first = F.regexp_extract(body, r"(?s)\A(.*?;)[ \t\r]*(?:\n|\z)", 1)
-    body = F.when(first != "", first).otherwise(body)
-    body = strip(F.regexp_replace(strip(body), r";+\z", ""))
-    body = strip(F.regexp_replace(body, r"(?is)\s+OFFSET\s+0\b.*\z", ""))
-    return F.when(F.upper(body).startswith("SELECT"), body)
+    # up to the first line that ends in a semicolon
+    body = F.regexp_replace(body, r"(?s)\A(.*?;)[ \t\r]*(?:\n.*)?\z", "$1")
+    body = F.regexp_replace(strip(body), r"[;\s]+\z", "")
+    body = F.regexp_replace(body, r"(?is)\s+OFFSET\s+0\b.*\z", "")
+    return F.nullif(F.regexp_extract(body, r"(?is)\A(SELECT.*)\z", 1), F.lit(""))
 
 
 def clean_candidate(sql: Column) -> Column:
     """A valid candidate with JOINS corrected to JOIN, else NULL."""
     fixed = F.regexp_replace(strip(sql), r"(?i)\bJOINS\b", "JOIN")
-    return F.when(is_candidate(sql), fixed)
+    return F.nullif(F.regexp_extract(fixed, r"(?is)\A(SELECT.*FROM.*)\z", 1), F.lit(""))
 
 
 def strategy(original: Column, rewritten: Column) -> Column:

@@ -10,12 +10,13 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.functions.plantree import plan_features
+from slowtide.functions.plantree import PLAN_FEATURES, plan_features
 from slowtide.functions.scorer import FEATURES, Scorer
 from slowtide.functions.text import text_features
 from slowtide.operators import candidates as C
 from slowtide.operators import runs as R
 from slowtide.plans.stack import Stack
+from slowtide.session import materialize
 
 # thresholds that suit the values in the test events
 LABEL_MS, DETECT_MS, TIMEOUT_MS = 35.0, 50.0, 300.0
@@ -120,12 +121,14 @@ class Log(Stack):
 
     @cached_property
     def ranked(self) -> DataFrame:
-        plan = {f: F.lit(0) for f in FEATURES if f not in text_features(F.col("sql"))}
+        plan = {f: F.lit(0) for f in PLAN_FEATURES}
         plan["plan_total_cost"] = (F.col("position") * 25).cast("double")
         scored = self.candidates.withColumns({**text_features(F.col("sql")), **plan}).withColumn(
             "predicted_ms", SCORER.predicted_ms()
         )
-        return C.rank_candidates(scored.drop(*FEATURES), "stmt", "position", "mean_exec_time")
+        ranked = C.rank_candidates(scored.drop(*FEATURES), "stmt", "position", "mean_exec_time")
+        # read by the verification, the lists and the labels of the events
+        return materialize(ranked, "ranked")
 
     @cached_property
     def summaries(self) -> DataFrame:
