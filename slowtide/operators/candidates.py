@@ -24,8 +24,9 @@ def extract_candidates(answers: DataFrame, statement: str, position: str, n: int
 
     `answers` has `query` (the slow statement) and `raw` (a generated answer).
     """
-    cleaned = answers.withColumn("sql", clean_candidate(answer_sql(F.col("raw")))).filter(F.col("sql").isNotNull())
-    distinct = first_seen(cleaned, F.struct(statement, "sql"), [F.col(position)])
+    cleaned = answers.withColumn("sql", clean_candidate(answer_sql(F.col("raw"))))
+    # filtered after the window: before it, Spark would evaluate the whole extraction a second time
+    distinct = first_seen(cleaned, F.struct(statement, "sql"), [F.col(position)]).filter(F.col("sql").isNotNull())
     nth = F.row_number().over(Window.partitionBy(statement).orderBy(position))
     return (
         distinct.withColumn("nth__", nth)

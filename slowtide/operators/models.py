@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slowtide.functions.scorer import Scorer
 from slowtide.operators.metrics import TAU, pos_weight
+from slowtide.operators.ordered import quantiles
 from slowtide.session import materialize
 
 
@@ -59,43 +60,42 @@ def fit_perceptron(df: DataFrame, features: Sequence[str], label: str = "y_slow"
     ).fit(assemble(df, features))
 
 
+def _linear(features: Sequence[str], weights: Sequence[float], bias: float) -> Column:
+    out = F.lit(float(bias))
+    for name, w in zip(features, weights, strict=True):
+        out = out + F.col(name) * F.lit(float(w))
+    return out
+
+
 def fit_quantile(
-    df: DataFrame, features: Sequence[str], target: str = "y_log", tau: float = TAU, steps: int = 30
+    df: DataFrame, features: Sequence[str], target: str = "y_log", tau: float = TAU, steps: int = 12
 ) -> tuple[list[float], float]:
-    """Linear quantile regression: repeated weighted least squares, one pass over the rows each.
+    """Linear quantile regression: weights and intercept that make the pinball loss small.
 
-    A row's weight is its pinball slope over the size of its last error, so the weighted squares
-    approach the pinball loss. Only the coefficients come to the driver.
+    Repeated weighted least squares, one pass over the rows each: a row weighs its pinball slope
+    over the size of its last error, so the weighted squares approach the pinball loss. At the end
+    the intercept becomes the exact quantile of what the weights leave over, which is its best
+    value. Only coefficients come to the driver.
     """
     kept = materialize(df.select(*features, target), "quantile")
-    if not features:
-        kept = kept.withColumn("none__", F.lit(0.0))
-        features = ["none__"]
-    ready = assemble(kept, features)
-    solver = LinearRegression(featuresCol="features", labelCol=target, weightCol="weight__", solver="normal", regParam=0.0)
-    weights, bias = None, 0.0
-    for step in range(steps):
-        if weights is None:
-            weighted = ready.withColumn("weight__", F.lit(1.0))
-        else:
-            predicted = F.lit(float(bias))
-            for name, w in zip(features, weights):
-                predicted = predicted + F.col(name) * F.lit(float(w))
-            gap = F.col(target) - predicted
+    weights, bias = [0.0] * len(features), 0.0
+    if features:
+        ready = assemble(kept, features)
+        solver = LinearRegression(featuresCol="features", labelCol=target, weightCol="weight__", solver="normal", regParam=0.0)
+        for step in range(steps):
+            gap = F.col(target) - _linear(features, weights, bias)
             slope = F.when(gap >= 0, tau).otherwise(1 - tau)
-            least = max(1e-6, 0.1 * 0.5**step)
-            weighted = ready.withColumn("weight__", slope / F.greatest(F.abs(gap), F.lit(least)))
-        model = solver.fit(weighted)
-        before = (weights, bias)
-        weights, bias = [float(x) for x in model.coefficients], float(model.intercept)
-        if before[0] is not None and max(abs(a - b) for a, b in zip([*weights, bias], [*before[0], before[1]])) < 1e-7:
-            break
-    if features == ["none__"]:
-        weights = []
-    return weights, bias
-
-
-def fit_scorer(train: DataFrame, features: Sequence[str], steps: int = 30) -> Scorer:
+            weight = slope / F.greatest(F.abs(gap), F.lit(max(1e-4, 0.5**step))) if step else F.lit(1.0)
+            model = solver.fit(ready.withColumn("weight__", weight))
+            moved = max(abs(a - b) for a, b in zip(model.coefficients, weights))
+            weights, bias = [float(x) for x in model.coefficients], float(model.intercept)
+            if step and moved < 1e-6:
+                break
+    left = kept.select((F.col(target) - _linear(features, weights, 0.0)).alias("left"))
+    return weights, float(quantiles(left, [], "left", {"q": tau}).first()["q"])
+
+
+def fit_scorer(train: DataFrame, features: Sequence[str], steps: int = 12) -> Scorer:
     """Both heads on standardised features; `train` has `y_slow` and `y_log`."""
     means, scales = fit_scale(train, features)
     scaled = train.select(

@@ -45,18 +45,33 @@ def normalise_log(events: DataFrame) -> DataFrame:
     )
 
 
-def dashboard_stats(log: DataFrame) -> DataFrame:
-    """Totals over the normalised log, taken from its already rounded speed-ups."""
+def dashboard_parts(log: DataFrame) -> DataFrame:
+    """Counts and sums of a piece of the normalised log; pieces add up to the whole."""
     fixed = F.col("speedup_ms") > 0
     return log.agg(
         F.count("*").alias("total"),
         F.count_if("flagged").alias("flagged"),
         F.count_if(fixed).alias("fixed"),
-        F.coalesce(half_even(F.avg(F.when(fixed, F.col("speedup_ms"))), 1), F.lit(0.0)).alias("avg_speedup"),
-        F.coalesce(half_even(F.sum(F.when(fixed, F.col("speedup_ms"))), 0), F.lit(0.0)).alias("total_saved_ms"),
+        F.coalesce(F.sum(F.when(fixed, F.col("speedup_ms"))), F.lit(0.0)).alias("saved"),
+    )
+
+
+def dashboard_totals(parts: DataFrame) -> DataFrame:
+    one = parts.agg(*[F.sum(n).alias(n) for n in ("total", "flagged", "fixed", "saved")])
+    return one.select(
+        "total",
+        "flagged",
+        "fixed",
+        F.coalesce(half_even(F.try_divide("saved", "fixed"), 1), F.lit(0.0)).alias("avg_speedup"),
+        half_even(F.col("saved"), 0).alias("total_saved_ms"),
     )
 
 
+def dashboard_stats(log: DataFrame) -> DataFrame:
+    """Totals over the normalised log, taken from its already rounded speed-ups."""
+    return dashboard_totals(dashboard_parts(log))
+
+
 def before_after(log: DataFrame) -> DataFrame:
     """Fixed and measured statements with bar lengths in percent of the longer of the two times."""
     before = F.col("avg_time_ms")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from slowtide.operators.reports import dashboard_parts, dashboard_totals, normalise_log
 from slowtide.operators.runs import slow_statements, statement_key
 from slowtide.operators.vectors import with_similar_fix
 from slowtide.sources.files import read_history
@@ -109,15 +110,18 @@ def enrich(
     return each
 
 
-def refresh(path: str, summarise: Callable[[DataFrame], DataFrame], log_path: str) -> Callable[[DataFrame, int], None]:
-    """Per poll: write the new events, then summarise the whole log into a one-row table.
+def refresh(log_path: str, parts_path: str) -> Callable[[DataFrame, int], None]:
+    """Per poll: append the new events and the counts and sums they add to the dashboard.
 
-    The table is written to a folder per poll, so a reader never meets a half-written one.
+    The dashboard adds up one row per poll instead of reading the log again.
     """
 
     def each(events: DataFrame, batch_id: int) -> None:
         write_batch(events, batch_id, log_path)
-        log = events.sparkSession.read.schema(events.schema).parquet(log_path)
-        write_batch(summarise(log), batch_id, path)
+        write_batch(dashboard_parts(normalise_log(events)), batch_id, parts_path)
 
     return each
+
+
+def dashboard(spark: SparkSession, parts_path: str) -> DataFrame:
+    return dashboard_totals(spark.read.parquet(parts_path))
