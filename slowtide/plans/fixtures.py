@@ -98,7 +98,9 @@ class Log(Stack):
     def featured(self) -> DataFrame:
         plan = plan_features(statement_plan(F.col("calls"), F.col("user_id")))
         rows = self.stats.withColumns(text_features(F.col("query"))).withColumn("plan", plan)
-        return rows.select("*", "plan.*").drop("plan")
+        # features are a stored table: a filter on a score would otherwise be pushed below them and
+        # evaluate every plan again for each feature it reads
+        return materialize(rows.select("*", "plan.*").drop("plan"), "features")
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from slowtide.functions import numeric as N
@@ -13,6 +12,7 @@ from slowtide.operators import reports, runs
 from slowtide.plans import fixtures as X
 from slowtide.plans.fixtures import Log
 from slowtide.plans.relational import r4
+from slowtide.session import spread
 
 QUERIES: dict = {}
 CHECKS: dict = {}
@@ -110,7 +110,7 @@ def _plan_documents(t):
         F.lit(', "Actual Rows": 3, "Plans": ['), chain, second, F.lit(']}, "Execution Time": 1.5}]'),
     )
     document = F.when(c("l_tax") == 0, F.substring(whole, 1, 40)).otherwise(whole)
-    return t.lineitem.select(
+    return spread(t.lineitem).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"), document.alias("document")
     )
 

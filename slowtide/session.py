@@ -48,3 +48,12 @@ def materialize(df, label: str):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df):
+    """Repartition an input that has fewer splits than the cluster has cores; leave any other alone.
+
+    For work that costs far more per row than shuffling the row.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
