@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: a hit must be more similar than this.
 SIMILAR = 0.7
+# rows of one matrix product
+STRIP = 512
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -26,14 +28,15 @@ def similar_fixes(
     threshold: float = SIMILAR,
     k: int = 1,
     exclude_same_id: bool = False,
-    block_rows: int = 4096,
+    block_rows: int = 16384,
 ) -> DataFrame:
     """For each lookup (lookup_id, vector) its k most similar history entries (entry_id, vector)
     above the threshold; the smaller entry_id wins ties.
 
     Exact at any size. Both sides are cut into blocks of about `block_rows` by hash; every pair of
-    blocks meets in one task as a matrix product, which hands on only the k best entries of each
-    lookup. No pair is emitted otherwise, and no side is broadcast.
+    blocks meets in one task as matrix products of a few hundred rows, which hand on only the k best
+    entries of each lookup. No pair is emitted otherwise, and no side is broadcast. Larger blocks
+    shuffle less and need more memory: a block is held as doubles.
     """
     rows = max(1, int(block_rows))
     left_blocks = max(1, math.ceil(lookups.count() / rows))
@@ -56,22 +59,26 @@ def similar_fixes(
         if a.empty or b.empty:
             return empty
         b = b.sort_values("entry_id", kind="stable")
-        ids = b["entry_id"].to_numpy()
-        # rounded, so that equal vectors tie whatever block they are in
-        sims = np.round(_unit(a["vector"]) @ _unit(b["vector"]).T, 12)
-        sims = np.where(np.isnan(sims), -np.inf, sims)
-        if exclude_same_id:
-            sims[a["lookup_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        found = np.take_along_axis(sims, top, axis=1)
-        out = pd.DataFrame(
-            {
-                "lookup_id": np.repeat(a["lookup_id"].to_numpy(), top.shape[1]),
-                "entry_id": ids[top].ravel(),
-                "similarity": found.ravel(),
-            }
-        )
-        return out[out["similarity"] > threshold]
+        ids, entries = b["entry_id"].to_numpy(), _unit(b["vector"]).T
+        found = [empty]
+        for start in range(0, len(a), STRIP):
+            strip = a.iloc[start : start + STRIP]
+            wanted = strip["lookup_id"].to_numpy()
+            # rounded, so that equal vectors tie whatever block they are in
+            sims = np.round(_unit(strip["vector"]) @ entries, 12)
+            sims[np.isnan(sims)] = -np.inf
+            if exclude_same_id:
+                sims[wanted[:, None] == ids[None, :]] = -np.inf
+            top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+            out = pd.DataFrame(
+                {
+                    "lookup_id": np.repeat(wanted, top.shape[1]),
+                    "entry_id": ids[top].ravel(),
+                    "similarity": np.take_along_axis(sims, top, axis=1).ravel(),
+                }
+            )
+            found.append(out[out["similarity"] > threshold])
+        return pd.concat([f for f in found if len(f)] or [empty])
 
     per_block = (
         left.groupBy("lb", "rb")
