@@ -18,9 +18,12 @@ SLICE = "slice__"
 
 
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Number the range slices and fix them on shared storage, so each later pass sees the same ones."""
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
+    """Number the range slices and fix them on shared storage, so each later pass sees the same ones.
+
+    Adaptive execution sizes the slices: it merges neighbours of the shuffle partitions, which keeps
+    their order.
+    """
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
     return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
