@@ -48,7 +48,8 @@ class Stack(Tables):
     @cached_property
     def votes(self) -> DataFrame:
         return self.lineitem.select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+            # lineitem has no key; with the price in cents these columns make one
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("id"),
             F.col("l_orderkey").alias("post_id"),
             F.col("l_linenumber").alias("vote_type_id"),
             F.col("l_shipdate").alias("creation_date"),
@@ -71,7 +72,7 @@ posts AS (
          o_orderdate AS creation_date
   FROM orders),
 votes AS (
-  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id,
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS id,
          l_orderkey AS post_id, l_linenumber AS vote_type_id, l_shipdate AS creation_date
   FROM lineitem)"""
 
