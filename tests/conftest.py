@@ -15,6 +15,4 @@ DATA = "/root/testdata"
 def spark():
     session = local_session("8")
     session.sparkContext.setLogLevel("ERROR")
-    # small inputs would otherwise be merged into one slice, and nothing would cross slices
-    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     return session
