@@ -48,6 +48,15 @@ def _carry(cut: DataFrame, keys: Sequence[str], summary: dict[str, Column], over
     )
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other, as they do in GROUP BY and PARTITION BY."""
+    renamed = right.withColumnsRenamed({k: f"right_{k}__" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"right_{k}__"))
+    return left.join(renamed, same, how).drop(*[f"right_{k}__" for k in keys])
+
+
 def _attach(cut: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = carry.select(
         F.col(SLICE).alias("carry_slice__"),
@@ -145,7 +154,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     upto = running_sums(counts, keys, [F.col(value)], {"upto__": F.col("same__")})
     totals = counts.groupBy(*keys).agg(F.sum("same__").alias("rows__"))
     if keys:
-        sized = upto.join(totals, list(keys))
+        sized = join_on(upto, totals, keys)
     else:
         sized = upto.withColumn("rows__", totals.scalar())
     last = F.col("rows__") - 1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.functions.numeric import format_runs, half_even
-from slowtide.operators.ordered import quantiles
+from slowtide.operators.ordered import join_on, quantiles
 
 # Milliseconds that part slow from fast, stop a run, and shorten a series of runs.
 SLOW_MS = 100.0
@@ -41,7 +41,7 @@ def run_summary(
     """
     capped = runs.select(*keys, F.struct(*order).alias("at"), F.least(F.col(ms), F.lit(float(timeout_ms))).alias("ms"))
     first = capped.groupBy(*keys).agg(F.min("at").alias("first_at"))
-    marked = capped.join(first, list(keys)).withColumn("is_cold", F.col("at") == F.col("first_at"))
+    marked = join_on(capped, first, keys).withColumn("is_cold", F.col("at") == F.col("first_at"))
     stats = marked.groupBy(*keys).agg(
         F.max(F.when(F.col("is_cold"), F.col("ms"))).alias("cold_ms"),
         F.stddev_pop(F.when(~F.col("is_cold"), F.col("ms"))).alias("deviation"),
@@ -49,7 +49,7 @@ def run_summary(
         F.count_if(F.col("ms") >= timeout_ms).alias("timed_out_runs"),
     )
     warm = quantiles(marked.filter(~F.col("is_cold")), keys, "ms", {"median": 0.5})
-    return stats.join(warm, list(keys), "left").select(
+    return join_on(stats, warm, keys, "left").select(
         *keys,
         "cold_ms",
         F.coalesce("median", "cold_ms").alias("warm_ms"),

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.operators.ordered import running_sums
+from slowtide.operators.ordered import join_on, running_sums
 
 
 def running_total(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
     """SUM(value) OVER (PARTITION BY key ORDER BY order): peers share the total up to their last."""
     peers = df.groupBy(key, order).agg(F.sum(value).alias("peer__"))
-    totals = running_sums(peers, [key], [F.col(order)], {name: F.col("peer__")}).drop("peer__")
-    return df.join(totals, [key, order])
+    totals = running_sums(peers, [key], [F.col(order).asc_nulls_last()], {name: F.col("peer__")}).drop("peer__")
+    return join_on(df, totals, [key, order])
 
 
 def group_average(df: DataFrame, key: str, value: str, average: str, difference: str) -> DataFrame:

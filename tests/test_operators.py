@@ -95,10 +95,10 @@ def test_ntile_few_rows(spark, n):
 
 def test_quantiles(hot):
     rows, df = hot
-    got = {r.k: (r.a, r.m) for r in ordered.quantiles(df.filter("k is not null"), ["k"], "v", {"a": 0.1, "m": 0.5}).collect()}
+    got = {r.k: (r.a, r.m) for r in ordered.quantiles(df, ["k"], "v", {"a": 0.1, "m": 0.5}).collect()}
     for key, group in _groups(rows).items():
         values = sorted(r[3] for r in group if r[3] is not None)
-        if key is None or not values:
+        if not values:
             continue
         place = 0.1 * (len(values) - 1)
         low = values[math.floor(place)]
@@ -117,9 +117,11 @@ def test_rank_at_most(hot):
 
 def test_running_total_shares_peers(hot):
     rows, df = hot
-    kept = [r for r in rows if r[1] is not None and r[3] is not None]
-    got = {r.id: r.t for r in windows.running_total(df.filter("k is not null and v is not null"), "k", "o", "v", "t").collect()}
-    want = {r[0]: sum(x[3] for x in kept if x[1] == r[1] and x[2] <= r[2]) for r in kept}
+    got = {r.id: r.t for r in windows.running_total(df, "k", "o", "v", "t").collect()}
+    want = {}
+    for r in rows:
+        values = [x[3] for x in rows if x[1] == r[1] and x[2] <= r[2] and x[3] is not None]
+        want[r[0]] = sum(values) if values else None
     assert got == want
 
 
@@ -149,13 +151,14 @@ def test_null_keys_do_not_match(spark):
 
 
 def test_run_summary(spark):
-    rows = [("a", 3, 50.0), ("a", 1, 900.0), ("a", 2, 40.0), ("a", 4, 12000.0), ("b", 1, 7.0), ("c", 1, 5.0), ("c", 2, 6.0)]
+    rows = [("a", 3, 50.0), ("a", 1, 900.0), ("a", 2, 40.0), ("a", 4, 12000.0), ("b", 1, 7.0), ("c", 1, 5.0), ("c", 2, 6.0), (None, 1, 8.0), (None, 2, 9.0)]
     df = spark.createDataFrame(rows, "q string, at int, ms double")
     got = {r.q: r for r in runs.run_summary(df, ["q"], ["at"], "ms").collect()}
     assert (got["a"].cold_ms, got["a"].warm_ms, got["a"].n_runs, got["a"].timed_out_runs) == (900.0, 50.0, 4, 1)
     assert got["a"].warm_std_ms == pytest.approx(statistics.pstdev([50.0, 40.0, 10000.0]))
     assert (got["b"].warm_ms, got["b"].warm_std_ms) == (7.0, 0.0)
     assert (got["c"].cold_ms, got["c"].warm_ms, got["c"].warm_std_ms) == (5.0, 6.0, 0.0)
+    assert (got[None].cold_ms, got[None].warm_ms) == (8.0, 9.0)
 
 
 @pytest.mark.parametrize(
