@@ -6,6 +6,7 @@ import importlib
 
 #: Query name -> (module, function).
 _PLACES = {
+    "op2_language": ("language", "op2_language"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
 }
 
