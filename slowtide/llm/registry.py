@@ -7,6 +7,7 @@ import importlib
 #: Query name -> (module, function).
 _PLACES = {
     "op2_language": ("language", "op2_language"),
+    "op4_simhash": ("simhash", "op4_simhash"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
 }
 
