@@ -15,7 +15,10 @@ _PLACES = {
 
 
 def queries() -> dict:
-    return {name: getattr(importlib.import_module(f"slowtide.llm.{module}"), function) for name, (module, function) in _PLACES.items()}
+    import corpus_pipeline
+
+    found = {name: getattr(importlib.import_module(f"slowtide.llm.{module}"), function) for name, (module, function) in _PLACES.items()}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def checks() -> dict[str, str]:
