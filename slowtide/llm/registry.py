@@ -8,6 +8,7 @@ import importlib
 _PLACES = {
     "op2_language": ("language", "op2_language"),
     "op4_simhash": ("simhash", "op4_simhash"),
+    "op5_url_filter": ("urls", "op5_url_filter"),
     "op6_binary_ids": ("binary", "op6_binary_ids"),
     "op7_packing": ("packing", "op7_packing"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
