@@ -11,6 +11,7 @@ _PLACES = {
     "op5_url_filter": ("urls", "op5_url_filter"),
     "op6_binary_ids": ("binary", "op6_binary_ids"),
     "op7_packing": ("packing", "op7_packing"),
+    "op9_top_k": ("nearest", "op9_top_k"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
 }
 
@@ -23,4 +24,6 @@ def queries() -> dict:
 
 
 def checks() -> dict[str, str]:
-    return {}
+    from slowtide.llm import nearest
+
+    return {"op9_top_k": nearest.CHECK}
