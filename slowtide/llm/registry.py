@@ -6,6 +6,7 @@ import importlib
 
 #: Query name -> (module, function).
 _PLACES = {
+    "op1_license_scan": ("licenses", "op1_license_scan"),
     "op2_language": ("language", "op2_language"),
     "op4_simhash": ("simhash", "op4_simhash"),
     "op5_url_filter": ("urls", "op5_url_filter"),
@@ -24,6 +25,6 @@ def queries() -> dict:
 
 
 def checks() -> dict[str, str]:
-    from slowtide.llm import nearest
+    from slowtide.llm import licenses, nearest
 
-    return {"op9_top_k": nearest.CHECK}
+    return {"op1_license_scan": licenses.CHECK, "op9_top_k": nearest.CHECK}
