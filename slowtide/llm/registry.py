@@ -8,6 +8,7 @@ import importlib
 _PLACES = {
     "op1_license_scan": ("licenses", "op1_license_scan"),
     "op2_language": ("language", "op2_language"),
+    "op3_warc_revisits": ("warc", "op3_warc_revisits"),
     "op4_simhash": ("simhash", "op4_simhash"),
     "op5_url_filter": ("urls", "op5_url_filter"),
     "op6_binary_ids": ("binary", "op6_binary_ids"),
@@ -25,6 +26,6 @@ def queries() -> dict:
 
 
 def checks() -> dict[str, str]:
-    from slowtide.llm import licenses, nearest
+    from slowtide.llm import licenses, nearest, warc
 
-    return {"op1_license_scan": licenses.CHECK, "op9_top_k": nearest.CHECK}
+    return {"op1_license_scan": licenses.CHECK, "op3_warc_revisits": warc.CHECK, "op9_top_k": nearest.CHECK}
