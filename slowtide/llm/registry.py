@@ -13,6 +13,7 @@ _PLACES = {
     "op5_url_filter": ("urls", "op5_url_filter"),
     "op6_binary_ids": ("binary", "op6_binary_ids"),
     "op7_packing": ("packing", "op7_packing"),
+    "op10_sentencepiece": ("viterbi", "op10_sentencepiece"),
     "op9_top_k": ("nearest", "op9_top_k"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
 }

@@ -54,8 +54,11 @@ class Encoder:
         new = sorted({p for parts in split.values() if parts for p in parts}.difference(self.parts))
         for at in range(0, len(new), 2048):
             some = new[at : at + 2048]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.parts[part] = np.array(found.ids, self.kind).tobytes()
+            self.parts.update(zip(some, self._encoded(some), strict=True))
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(f.ids, self.kind).tobytes() for f in found]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.stretches) > REMEMBERED:
