@@ -140,7 +140,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int = END, text: str = "t
 
         for batch in batches:
             ids = batch.column("doc_id")
-            for a, b, found, stops in encoded(batch.column("text"), tokenizer, end):
+            for a, b, found, stops in encoded(batch.column("text"), encoder(tokenizer), end):
                 names += ids.slice(a, b - a).to_pylist()
                 held.append(found)
                 ends.append(stops + size)

@@ -3,8 +3,8 @@
 Texts become pieces of at most `LIMIT` ids (only longer texts are cut). The histogram of piece lengths, which
 has at most `LIMIT` rows whatever the input, goes to the driver. There, patterns of two and three lengths that
 fill a sequence exactly are enumerated; multiplicative updates fit non-negative repeat counts whose use of each
-length comes nearest to the histogram; counts are rounded with the error carried on, and what is left over is
-packed best fit decreasing, again on counts. The plan (how often each pattern is used) is bounded by the number of
+length comes nearest to the histogram; counts are rounded down, and what is left over is packed best fit decreasing,
+again on counts. The plan (how often each pattern is used) is bounded by the number of
 patterns. Spark then gives the k-th piece of a length its place: pieces are numbered within length by task and
 then by the tasks before, so a length that most pieces share is still spread over all tasks.
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.llm.common import pick, ship
-from slowtide.llm.tokens import encoded
+from slowtide.llm.tokens import encoded, encoder
 from slowtide.session import materialize
 
 LIMIT = 2048
@@ -114,8 +114,8 @@ def plan(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[tuple[int, ...],
     left[limit] = 0
     found = patterns(left, limit)
     x = repeats(found, left)
-    total = np.floor(np.cumsum(x) + 0.5).astype(np.int64)
-    whole = np.diff(total, prepend=0)
+    # rounded down: what is left over then keeps short pieces to go with the long ones
+    whole = np.floor(x + 1e-9).astype(np.int64)
     for k in np.flatnonzero(whole).tolist():
         lengths = tuple(v for v in found[k].tolist() if v)
         times = min([int(whole[k]), *[int(left[v]) // lengths.count(v) for v in lengths]])
@@ -155,7 +155,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end: int = END,
         part, met = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
         for batch in batches:
             names = batch.column("doc_id")
-            for a, b, found, ends in encoded(batch.column("text"), tokenizer, end):
+            for a, b, found, ends in encoded(batch.column("text"), encoder(tokenizer), end):
                 sizes = np.diff(ends, prepend=0)
                 count = -(-sizes // limit)
                 doc = np.repeat(np.arange(b - a), count)

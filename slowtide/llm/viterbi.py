@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from slowtide.llm.common import pick, ship
-from slowtide.llm.tokens import CHUNK, Encoder
+from slowtide.llm.common import pick, ship, text_bytes
+from slowtide.llm.tokens import Encoder, encoded, encoder
 
 SPACE = "▁"
 UNKNOWN = 10.0
@@ -159,23 +159,23 @@ class Pieces:
 class PieceEncoder(Encoder):
     """Remembers words as the other encoder does, and segments new ones with `Pieces`."""
 
+    pattern = rf"^(?P<a>[^{SPACE}\n]+)(?P<b>)(?:\n(?P<c>[^{SPACE}\n]+)(?P<d>))?$"
+    lead = head = SPACE
+
     def __init__(self, path: str):
         self.pieces = Pieces(path)
         self.size = self.pieces.size
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.stretches, self.parts = {}, {"": b""}
+        self._forget()
 
-    def _split(self, stretch: str, space: str) -> list[str] | None:
-        if not stretch or SPACE in stretch:
-            return None
-        return [SPACE + stretch] if "\n" not in stretch else re.split(r"(\n)", SPACE + stretch)
+    def _alone(self, stretch: str) -> bool:
+        return bool(stretch) and SPACE not in stretch
 
-    def _whole(self, text: str) -> bytes:
+    def _whole(self, text: str) -> np.ndarray:
         units = _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-        own = dict(zip(units, self._encoded(units), strict=True)) if units else {}
-        return b"".join([own[u] for u in units])
+        return np.array([i for ids in self._encoded(units) for i in ids], self.kind)
 
-    def _encoded(self, parts: list[str]) -> list[bytes]:
+    def _encoded(self, parts: list[str]) -> list[list[int]]:
         by_length: dict[int, list[str]] = {}
         for part in dict.fromkeys(parts):
             by_length.setdefault(len(part), []).append(part)
@@ -183,17 +183,7 @@ class PieceEncoder(Encoder):
         for length, words in by_length.items():
             made = [self.pieces.single(w) for w in words] if length > LONG else self.pieces.batch(words) if length else [[]]
             found.update(zip(words, made, strict=True))
-        return [np.array(found[p], self.kind).tobytes() for p in parts]
-
-
-_loaded: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    """The worker's encoder of a model file, kept from task to task."""
-    if path not in _loaded:
-        _loaded[path] = PieceEncoder(path)
-    return _loaded[path]
+        return [found[p] for p in parts]
 
 
 def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
@@ -202,36 +192,30 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     schema = "doc_id long, n_pieces long, n_bytes long, ids_crc32 long, text_crc32 long, round_trip boolean" + ", ids array<int>" * with_ids
 
     def rows(batches):
-        coder = encoder(path)
+        coder = encoder(path, PieceEncoder)
         pieces, is_byte = coder.pieces, np.zeros(coder.size, bool)
         is_byte[list(pieces.byte.values())] = True
         for batch in batches:
-            names, column, start = batch.column("doc_id"), batch.column("text"), 0
-            while start < batch.num_rows:
-                texts, size = [], 0
-                while start + len(texts) < batch.num_rows and size < CHUNK:
-                    texts.append(column[start + len(texts)].as_py() or "")
-                    size += len(texts[-1])
-                found = coder.encode(texts)
-                ids = np.concatenate(found)
-                ends = np.cumsum([len(x) for x in found])
+            names, column = batch.column("doc_id"), batch.column("text")
+            for start, stop, ids, ends in encoded(column, coder):
+                data, offsets = text_bytes(column.slice(start, stop - start))
+                texts = data.tobytes()
                 spelled, stops = pieces.decode(ids, ends)
                 whole, wide, begun, last = spelled.tobytes(), ids.astype("<u4"), 0, 0
                 crc, text_crc, same = [], [], []
-                for text, end, stop in zip(texts, ends.tolist(), stops.tolist(), strict=True):
-                    back = whole[last + (stop > last and whole[last : last + 1] == b" ") : stop]
+                for first, after, end, until in zip(offsets[:-1].tolist(), offsets[1:].tolist(), ends.tolist(), stops.tolist(), strict=True):
+                    back = whole[last + (until > last and whole[last : last + 1] == b" ") : until]
                     crc.append(zlib.crc32(wide[begun:end]))
                     text_crc.append(zlib.crc32(back))
-                    same.append(back == text.encode())
-                    begun, last = end, stop
+                    same.append(back == texts[first:after])
+                    begun, last = end, until
                 columns = [
-                    names.slice(start, len(texts)), pa.array(np.diff(ends, prepend=0)), pa.array(np.diff(np.concatenate([[0], np.cumsum(is_byte[ids])])[ends], prepend=0)),
+                    names.slice(start, stop - start), pa.array(np.diff(ends, prepend=0)), pa.array(np.diff(np.concatenate([[0], np.cumsum(is_byte[ids])])[ends], prepend=0)),
                     pa.array(crc, pa.int64()), pa.array(text_crc, pa.int64()), pa.array(same),
                 ]
                 if with_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(wide.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "n_bytes", "ids_crc32", "text_crc32", "round_trip"] + ["ids"] * with_ids)
-                start += len(texts)
 
     return pick(docs, "doc_id", "text").mapInArrow(rows, schema)
 
