@@ -28,6 +28,7 @@ def edge_docs(spark):
         (None, 8, "12345 !!! ###", "en", None, None, None, None),
         (None, 9, "  two  spaces \n\nand\ttabs\n", "en", None, None, None, None),
         (None, 10, "日本語のテキスト 😀 naïve café", "ja", None, None, None, None),
+        (None, 11, " ".join(f"word{chr(97 + i)}" for i in range(26)) + ".", "en", None, None, None, None),
         (None, -3, "the quick brown fox " * 9, "en", None, None, None, None),
     ]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
