@@ -29,6 +29,7 @@ UNKNOWN = "und"
 HOLD_OUT = 5
 PER_LANGUAGE = 400
 SAMPLE = 2_000
+SHARES = 64
 WINDOWS = 8
 LENGTH = 128
 WIDTHS = (2, 3, 4)
@@ -174,8 +175,12 @@ def fit(docs: DataFrame) -> Network:
     ship(docs.sparkSession)
     source = pick(docs, "doc_id", "text", "lang").filter("doc_id is not null and text is not null and lang is not null")
     source = source.filter(~held_out(F.col("doc_id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = source.select("doc_id", "lang", F.row_number().over(by_hash).alias("turn")).filter(F.col("turn") <= PER_LANGUAGE)
+    # first within shares of a language, so that what reaches one task is bounded however common the language is
+    code = F.xxhash64("doc_id")
+    by_hash = Window.partitionBy("lang", "share").orderBy(code, "doc_id")
+    near = source.select("doc_id", "lang", F.pmod(F.shiftright(code, 20), F.lit(SHARES)).alias("share")).withColumn("turn", F.row_number().over(by_hash))
+    in_language = Window.partitionBy("lang").orderBy(code, "doc_id")
+    ranked = near.filter(F.col("turn") <= 4 * PER_LANGUAGE // SHARES).withColumn("turn", F.row_number().over(in_language)).filter(F.col("turn") <= PER_LANGUAGE)
     chosen = ranked.orderBy("turn", "lang", "doc_id").limit(SAMPLE).select("doc_id").distinct()
 
     def cuts(batches):
