@@ -44,15 +44,6 @@ def vote_breakdown(users: DataFrame, posts: DataFrame, votes: DataFrame, kinds:
     return users.join(per_owner, F.col("id") == F.col("owner_user_id")).select("id", "display_name", *kinds)
 
 
-_FOLDS = {
-    "COUNT": lambda c: weighted_count(c),
-    "SUM": weighted_sum,
-    "AVG": weighted_avg,
-    "MAX": F.max,
-    "MIN": F.min,
-}
-
-
 def aggregate_grid(
     users: DataFrame,
     posts: DataFrame,
@@ -63,21 +54,27 @@ def aggregate_grid(
 ) -> DataFrame:
     """Every function of every column by every key over users-posts-votes, in long form.
 
-    All functions and columns of one key come from one grouping.
+    Counts, sums and extremes are in `whole` (bigint), means in `mean`. The joined rows are grouped once
+    by all keys; since every fold can be folded again, grouping sets then give each key's totals.
     """
     base = posts_with_weights(users, posts, votes)
-    cells = [(f, c) for f in functions for c in columns]
-    out = None
-    for key in keys:
-        grouped = base.groupBy(F.col(key).cast("string").alias("key_value")).agg(
-            *[_FOLDS[f](c).cast("double").alias(f"{f}_{c}") for f, c in cells]
-        )
-        long = grouped.unpivot(["key_value"], [f"{f}_{c}" for f, c in cells], "cell", "result").select(
-            F.lit(key).alias("key_name"),
-            "key_value",
-            F.substring_index("cell", "_", 1).alias("function"),
-            F.expr("substring(cell, instr(cell, '_') + 1)").alias("column"),
-            "result",
-        )
-        out = long if out is None else out.unionByName(long)
-    return out
+    parts = {c: {"n": F.sum, "s": F.sum, "low": F.min, "high": F.max} for c in columns}
+    once = base.groupBy(*keys).agg(
+        *[x.alias(f"{p}_{c}") for c in columns for p, x in (("n", weighted_count(c)), ("s", weighted_sum(c)), ("low", F.min(c)), ("high", F.max(c)))]
+    )
+    active = {k: F.grouping(k) == 0 for k in keys}
+    totals = once.groupingSets([[k] for k in keys], *keys).agg(
+        F.coalesce(*[F.when(on, F.lit(k)) for k, on in active.items()]).alias("key_name"),
+        F.coalesce(*[F.when(on, F.col(k).cast("string")) for k, on in active.items()]).alias("key_value"),
+        *[fold(f"{p}_{c}").cast("bigint").alias(f"total_{p}_{c}") for c, folds in parts.items() for p, fold in folds.items()],
+    )
+    nothing = F.lit(None)
+
+    def cell(function: str, column: str) -> Column:
+        n, s, low, high = (F.col(f"total_{p}_{column}") for p in ("n", "s", "low", "high"))
+        whole = {"COUNT": n, "SUM": s, "MAX": high, "MIN": low}.get(function, nothing)
+        mean = F.try_divide(s.cast("double"), n) if function == "AVG" else nothing
+        return F.struct(F.lit(function).alias("function"), F.lit(column).alias("column"), whole.cast("bigint").alias("whole"), mean.cast("double").alias("mean"))
+
+    cells = F.array(*[cell(f, c) for f in functions for c in columns])
+    return totals.select("key_name", "key_value", F.inline(cells))

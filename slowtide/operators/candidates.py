@@ -56,17 +56,20 @@ def strategy_of(ranked: DataFrame, labels: DataFrame, statement: str) -> DataFra
 def verify(ranked: DataFrame, measured: DataFrame, statement: str, baseline: str) -> DataFrame:
     """The top candidate of each statement with its measured times.
 
-    Only a candidate predicted to be faster is measured. `measured` has `sql`, `cold_ms`,
-    `warm_ms`; both are rounded to one decimal before the speed-up is taken.
+    Only a candidate predicted to be faster is measured. `measured` has one row per statement and
+    `sql` with `cold_ms`, `warm_ms` and the runs (`all_runs_ms`); both times are rounded to one decimal before the speed-up is taken.
     """
     top = ranked.filter("rank = 1")
     times = measured.select(
+        F.col(statement).alias("measured_statement__"),
         F.col("sql").alias("measured_sql__"),
         half_even(F.col("cold_ms"), 1).alias("verified_cold_ms"),
         half_even(F.col("warm_ms"), 1).alias("verified_warm_ms"),
+        F.col("all_runs_ms"),
     )
-    tried = (F.col("predicted_speedup_ms") > 0) & (F.col("sql") == F.col("measured_sql__"))
-    return top.join(times, tried, "left").drop("measured_sql__").withColumn(
+    same = (F.col(statement) == F.col("measured_statement__")) & (F.col("sql") == F.col("measured_sql__"))
+    tried = same & (F.col("predicted_speedup_ms") > 0)
+    return top.join(times, tried, "left").drop("measured_statement__", "measured_sql__").withColumn(
         "measured_speedup_ms", F.col(baseline) - F.col("verified_warm_ms")
     )
 
@@ -108,7 +111,7 @@ def assemble_events(
     """
     shown = F.struct(
         F.col("rank"),
-        F.substring("sql", 1, 500).alias("sql"),
+        "sql",
         F.col("strategy"),
         half_even(F.col("predicted_ms"), 2).alias("predicted_ms"),
         half_even(F.col("predicted_speedup_ms"), 2).alias("predicted_speedup_ms"),
@@ -117,7 +120,7 @@ def assemble_events(
         F.array_sort(F.collect_list(shown)).alias("ranked__"),
         F.transform(F.array_sort(F.collect_list(F.struct(position, "strategy"))), lambda s: s["strategy"]).alias("named__"),
     )
-    checks = verified.select(statement, "verified_cold_ms", "verified_warm_ms", "measured_speedup_ms")
+    checks = verified.select(statement, "verified_cold_ms", "verified_warm_ms", "measured_speedup_ms", "all_runs_ms")
     joined = handled.join(lists, statement, "left").join(checks, statement, "left")
     found = F.col("ranked__").isNotNull()
 
@@ -128,7 +131,7 @@ def assemble_events(
         statement,
         F.when(found, EVENT).otherwise(NO_CANDIDATES).alias("type"),
         "timestamp",
-        F.when(found, F.substring("query", 1, 500)).otherwise(F.substring("query", 1, 300)).alias("query"),
+        "query",
         when_found(half_even(F.col("mean_exec_time"), 2)).alias("pg_stat_mean_ms"),
         when_found(F.col("calls")).alias("calls"),
         when_found(
@@ -157,7 +160,7 @@ def assemble_events(
         ).alias("candidates_ranked"),
         F.when(
             F.col("verified_warm_ms").isNotNull(),
-            F.struct(F.col("verified_cold_ms").alias("cold_ms"), F.col("verified_warm_ms").alias("warm_median_ms")),
+            F.struct(F.col("verified_cold_ms").alias("cold_ms"), F.col("verified_warm_ms").alias("warm_median_ms"), F.col("all_runs_ms")),
         ).alias("top_candidate_verified"),
         half_even(F.col("measured_speedup_ms"), 2).alias("measured_speedup_ms"),
     )

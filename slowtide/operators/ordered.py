@@ -107,15 +107,17 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
 
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """LAG(value, 1) per key by ascending, unique, non-null order columns."""
-    cut = _cut(df, keys, [F.col(o) for o in order])
+    """LAG(value, 1) per key by ascending order columns, unique together; nulls come last, as in PostgreSQL."""
+    by = [F.col(o).asc_nulls_last() for o in order]
+    cut = _cut(df, keys, by)
+    place = F.struct(*[x for i, o in enumerate(order) for x in (F.col(o).isNull().alias(f"null{i}"), F.col(o).alias(f"at{i}"))])
     carry = _carry(
         cut,
         keys,
-        {"carry_value__": F.max_by(F.struct(value), F.struct(*order))},
+        {"carry_value__": F.max_by(F.struct(value), place)},
         {"carry_value__": (lambda c, earlier, _rows: F.lag(c).over(earlier))},
     )
-    inside = Window.partitionBy(SLICE, *keys).orderBy(*order)
+    inside = Window.partitionBy(SLICE, *keys).orderBy(*by)
     return _attach(cut, carry, keys).select(
         *df.columns,
         F.when(F.row_number().over(inside) == 1, F.col(f"carry_value__.{value}"))
@@ -175,10 +177,10 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     return out.select(
         *keys,
         *[
-            (
-                F.col(f"low_{n}__")
-                + (F.col(f"high_{n}__") - F.col(f"low_{n}__")) * F.col(f"part_{n}__")
-            ).alias(n)
+            # half way is the mean of both, as in a median
+            F.when(F.col(f"part_{n}__") == 0.5, (F.col(f"low_{n}__") + F.col(f"high_{n}__")) / 2)
+            .otherwise(F.col(f"low_{n}__") + (F.col(f"high_{n}__") - F.col(f"low_{n}__")) * F.col(f"part_{n}__"))
+            .alias(n)
             for n in probs
         ],
     )

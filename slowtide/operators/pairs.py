@@ -10,14 +10,12 @@ from pyspark.sql import functions as F
 from slowtide.functions.text import ANSWER_MARK, clean_pair_text, is_candidate, strip
 from slowtide.operators.ordered import positions
 from slowtide.operators.runs import first_seen
+from slowtide.sources.files import DUMPS
 
-# Fixed value: the schema text a prompt carries.
-PROMPT_SCHEMA = (
-    "CREATE TABLE posts (id INT, post_type_id INT, score INT, view_count INT, "
-    "owner_user_id INT, title TEXT, answer_count INT, creation_date TIMESTAMP);\n"
-    "CREATE TABLE users (id INT, display_name TEXT, reputation INT, location TEXT, "
-    "views INT, creation_date TIMESTAMP);\n"
-    "CREATE TABLE votes (id INT, post_id INT, vote_type_id INT, creation_date TIMESTAMP);"
+_SQL_TYPES = {"int": "INT", "string": "TEXT", "timestamp_ntz": "TIMESTAMP"}
+# what a prompt says about the tables, from the columns they really have
+PROMPT_SCHEMA = "\n".join(
+    f"CREATE TABLE {table} ({', '.join(f'{name} {_SQL_TYPES[kind]}' for _, name, kind, _ in columns)});" for table, columns in sorted(DUMPS.items())
 )
 
 

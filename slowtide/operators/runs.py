@@ -122,6 +122,6 @@ def first_seen(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame
     return df.withColumn("key__", key).withColumn("nth__", nth).filter("nth__ = 1").drop("key__", "nth__")
 
 
-def statement_key(query: Column) -> Column:
-    """What identifies a statement to the monitor: its first 100 characters."""
-    return F.substring(query, 1, 100)
+def statement_key(query: Column, length: int | None = None) -> Column:
+    """What identifies a statement to the monitor: its whole text, or its head if a length is given."""
+    return query if length is None else F.substring(query, 1, length)

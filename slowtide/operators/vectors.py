@@ -22,6 +22,16 @@ def _unit(vectors: pd.Series) -> np.ndarray:
         return np.where(lengths > 0, stacked / lengths, np.nan)
 
 
+def best_columns(sims: np.ndarray, k: int) -> np.ndarray:
+    """Places of each row's k largest entries in order, the smaller place first among equals."""
+    if sims.shape[1] > 4 * k:
+        # at least as large as the k-th largest: few columns, unless there are many ties
+        cut = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
+        some = np.flatnonzero((sims >= cut[:, None]).any(axis=0))
+        return some[np.argsort(-sims[:, some], axis=1, kind="stable")[:, :k]]
+    return np.argsort(-sims, axis=1, kind="stable")[:, :k]
+
+
 def similar_fixes(
     lookups: DataFrame,
     history: DataFrame,
@@ -31,7 +41,7 @@ def similar_fixes(
     block_rows: int = 16384,
 ) -> DataFrame:
     """For each lookup (lookup_id, vector) its k most similar history entries (entry_id, vector)
-    above the threshold; the smaller entry_id wins ties.
+    above the threshold; the smaller entry_id wins ties. Ids are unique and not null (else an error).
 
     Exact at any size. Both sides are cut into blocks of about `block_rows` by hash; every pair of
     blocks meets in one task as matrix products of a few hundred rows, which hand on only the k best
@@ -39,8 +49,13 @@ def similar_fixes(
     shuffle less and need more memory: a block is held as doubles.
     """
     rows = max(1, int(block_rows))
-    left_blocks = max(1, math.ceil(lookups.count() / rows))
-    right_blocks = max(1, math.ceil(history.count() / rows))
+    sizes = []
+    for side, name in ((lookups, "lookup_id"), (history, "entry_id")):
+        n, different = side.agg(F.count("*"), F.count_distinct(name)).first()
+        if n != different:
+            raise ValueError(f"{name} must be unique and not null: {n} rows, {different} values")
+        sizes.append(max(1, math.ceil(n / rows)))
+    left_blocks, right_blocks = sizes
     left = lookups.select(
         F.pmod(F.xxhash64("lookup_id"), F.lit(left_blocks)).cast("int").alias("lb"),
         F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1))).alias("rb"),
@@ -69,7 +84,7 @@ def similar_fixes(
             sims[np.isnan(sims)] = -np.inf
             if exclude_same_id:
                 sims[wanted[:, None] == ids[None, :]] = -np.inf
-            top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+            top = best_columns(sims, k)
             out = pd.DataFrame(
                 {
                     "lookup_id": np.repeat(wanted, top.shape[1]),

@@ -26,8 +26,8 @@ def group_average(df: DataFrame, key: str, value: str, average: str, difference:
 
 
 def leader(df: DataFrame, key: str, value: str, ident: str, shown: str, name: str) -> DataFrame:
-    """FIRST_VALUE(shown) by `value` descending within the key; the smallest `ident` wins ties."""
-    best = df.groupBy(F.col(key).alias("key__")).agg(
-        F.max_by(shown, F.struct(F.col(value), -F.col(ident))).alias(name)
-    )
+    """FIRST_VALUE(shown) by `value` descending within the key, nulls first as in PostgreSQL; the smallest `ident` wins ties."""
+    ties = df.groupBy(F.col(key).alias("key__"), F.col(value).alias("value__")).agg(F.min_by(F.struct(F.col(shown).alias("s")), F.struct(ident)).alias("shown__"))
+    order = F.struct(F.col("value__").isNull().alias("missing"), "value__")
+    best = ties.groupBy("key__").agg(F.max_by("shown__", order).alias("best__")).select("key__", F.col("best__.s").alias(name))
     return df.join(best, F.col(key).eqNullSafe(F.col("key__"))).drop("key__")

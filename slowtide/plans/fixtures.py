@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slowtide.functions.plantree import PLAN_FEATURES, plan_features
+from slowtide.functions.numeric import half_even, parse_runs
 from slowtide.functions.scorer import FEATURES, Scorer
 from slowtide.functions.text import text_features
 from slowtide.operators import candidates as C
@@ -138,9 +139,10 @@ class Log(Stack):
 
     @cached_property
     def measured(self) -> DataFrame:
-        """Candidate texts with the summary of the runs that stand for them."""
-        named = self.summaries.withColumn("sql", text_of(CLEAN, F.col("event_type"), F.col("user_id")))
-        return named.filter("sql IS NOT NULL").select("sql", "cold_ms", "warm_ms")
+        """Each statement's candidates with the summary of the runs that stand for their text."""
+        runs = self.summaries.join(self.protocol.select(*KEYS, parse_runs(F.col("all_runs_ms")).alias("all_runs_ms")), KEYS)
+        named = runs.withColumn("sql", text_of(CLEAN, F.col("event_type"), F.col("user_id"))).filter("sql IS NOT NULL")
+        return self.ranked.select("stmt", "sql").join(named.select("sql", "cold_ms", "warm_ms", "all_runs_ms"), "sql")
 
     @cached_property
     def verified(self) -> DataFrame:
@@ -176,12 +178,25 @@ class Log(Stack):
         return self.assembled.unionByName(old, allowMissingColumns=True)
 
     @cached_property
-    def measurements(self) -> DataFrame:
-        """The measurement table over the events, with the label threshold of the test data."""
+    def protocol(self) -> DataFrame:
+        """The measurement protocol over the events (one cold and up to five warm runs), with the test data's threshold."""
         rows = R.measurements(self.events, KEYS, ["ts", "event_id"], "value", TIMEOUT_MS)
-        return rows.withColumn("label", R.slow_label(F.col("execution_time_warm_ms"), LABEL_MS)).withColumn(
-            "query_text", text_of(TEXTS, F.col("event_type"), F.col("user_id"))
+        return rows.withColumn("label", R.slow_label(F.col("execution_time_warm_ms"), LABEL_MS))
+
+    @cached_property
+    def measurements(self) -> DataFrame:
+        """The measurement table: times, time-outs and label from all recorded runs; the series is the protocol's."""
+        series = self.protocol.select(*KEYS, "all_runs_ms")
+        rows = self.summaries.join(series, KEYS).select(
+            *KEYS,
+            half_even(F.col("cold_ms"), 2).alias("execution_time_cold_ms"),
+            half_even(F.col("warm_ms"), 2).alias("execution_time_warm_ms"),
+            half_even(F.col("warm_std_ms"), 2).alias("execution_time_warm_std_ms"),
+            "all_runs_ms",
+            F.col("timed_out_runs").cast("int").alias("timed_out_runs"),
+            R.slow_label(F.col("warm_ms"), LABEL_MS).alias("label"),
         )
+        return rows.withColumn("query_text", text_of(TEXTS, F.col("event_type"), F.col("user_id")))
 
     @cached_property
     def training(self) -> DataFrame:
@@ -331,14 +346,14 @@ SQL_LOG = SQL_EVENTS + """, log AS (
          '2023-12-31T00:00:00', 'gpt', 'slow_query_handled'
   FROM scored WHERE p_slow < 0.5)"""
 
-SQL_MEASUREMENTS = """ordered AS (
+SQL_PROTOCOL = """ordered AS (
   SELECT user_id, event_type, least(value, 300.0) AS ms,
          row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS nth FROM events),
 cold AS (SELECT user_id, event_type, ms AS cold FROM ordered WHERE nth = 1),
 kept AS (
   SELECT o.*, cold FROM ordered o JOIN cold USING (user_id, event_type)
   WHERE nth <= 1 + CASE WHEN cold >= 300 OR cold > 2000 THEN 1 WHEN cold > 500 THEN 2 ELSE 5 END),
-measurements AS (
+protocol AS (
   SELECT user_id, event_type, round_even(any_value(cold), 2) AS execution_time_cold_ms,
          round_even(coalesce(median(ms) FILTER (nth > 1), any_value(cold)), 2) AS execution_time_warm_ms,
          round_even(coalesce(stddev_pop(ms) FILTER (nth > 1), 0), 2) AS execution_time_warm_std_ms,
@@ -347,6 +362,15 @@ measurements AS (
          CASE WHEN round_even(coalesce(median(ms) FILTER (nth > 1), any_value(cold)), 2) > 35 THEN 'slow' ELSE 'fast' END AS label
   FROM kept GROUP BY user_id, event_type)"""
 
+SQL_MEASUREMENTS = SQL_PROTOCOL + """, every AS (
+  SELECT user_id, event_type, max(ms) FILTER (nth = 1) AS cold, coalesce(median(ms) FILTER (nth > 1), max(ms)) AS warm,
+         coalesce(stddev_pop(ms) FILTER (nth > 1), 0) AS deviation, CAST(count(*) FILTER (ms >= 300) AS INTEGER) AS timed_out_runs
+  FROM ordered GROUP BY user_id, event_type),
+measurements AS (
+  SELECT user_id, event_type, round_even(cold, 2) AS execution_time_cold_ms, round_even(warm, 2) AS execution_time_warm_ms,
+         round_even(deviation, 2) AS execution_time_warm_std_ms, p.all_runs_ms, e.timed_out_runs, CASE WHEN warm > 35 THEN 'slow' ELSE 'fast' END AS label
+  FROM every e JOIN protocol p USING (user_id, event_type))"""
+
 SQL_PAIRS = """pairs AS (
   SELECT a.conv_id || '-' || b.turn AS pair_id, a.conv_id, b.turn, a.text AS slow, b.text AS optimized
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1

@@ -53,7 +53,7 @@ def _first_seen(t):
     return t.spark.read.parquet(out).select("key")
 
 
-_add("t02_first_seen", _first_seen, f"WITH {X.SQL_STATS} SELECT DISTINCT substr(query, 1, 100) AS key FROM stats")
+_add("t02_first_seen", _first_seen, f"WITH {X.SQL_STATS} SELECT DISTINCT query AS key FROM stats")
 
 
 def _last(t, path):

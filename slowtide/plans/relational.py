@@ -220,12 +220,13 @@ _add(
         "owner_user_id",
         "id",
         c("score") > 50,
-        {"post1": "first.id", "post2": "second.id", "score1": "first.score", "score2": "second.score"},
+        {"left_id": "first.id", "right_id": "second.id", "left_score": "first.score", "right_score": "second.score"},
         100,
     ),
-    """SELECT p1.id AS post1, p2.id AS post2, p1.score AS score1, p2.score AS score2
-       FROM posts p1 JOIN posts p2 ON p1.owner_user_id = p2.owner_user_id
-       WHERE p1.id < p2.id AND p1.score > 50 ORDER BY p1.id, p2.id LIMIT 100""",
+    # partners gathered per owner and unnested
+    """WITH owned AS (SELECT owner_user_id, list({'id': id, 'score': score} ORDER BY id) AS own FROM posts WHERE owner_user_id IS NOT NULL GROUP BY owner_user_id),
+       pair AS (SELECT a, b FROM owned, unnest(own) AS x(a), unnest(own) AS y(b) WHERE a.score > 50 AND b.id > a.id)
+       SELECT a.id AS left_id, b.id AS right_id, a.score AS left_score, b.score AS right_score FROM pair ORDER BY left_id, right_id LIMIT 100""",
 )
 _add(
     "j10_self_join_locations",
@@ -234,23 +235,21 @@ _add(
         "location",
         "id",
         c("reputation") > 2000,
-        {"id1": "first.id", "user1": "first.display_name", "id2": "second.id", "user2": "second.display_name"},
+        {"left_id": "first.id", "left_name": "first.display_name", "right_id": "second.id", "right_name": "second.display_name"},
         200,
     ),
-    """SELECT u1.id AS id1, u1.display_name AS user1, u2.id AS id2, u2.display_name AS user2
-       FROM users u1 JOIN users u2 ON u1.location = u2.location
-       WHERE u1.id < u2.id AND u1.reputation > 2000 ORDER BY u1.id, u2.id LIMIT 200""",
+    """WITH neighbours AS (SELECT location, list({'id': id, 'who': display_name, 'rep': reputation} ORDER BY id) AS own FROM users WHERE location IS NOT NULL GROUP BY location),
+       pair AS (SELECT a, b FROM neighbours, unnest(own) AS x(a), unnest(own) AS y(b) WHERE a.rep > 2000 AND b.id > a.id)
+       SELECT a.id AS left_id, a.who AS left_name, b.id AS right_id, b.who AS right_name FROM pair ORDER BY left_id, right_id LIMIT 200""",
 )
 _add(
     "j11_constant_join",
     lambda t: J.authors_and_voters(t.users, t.posts, t.votes, 440, 3, 500),
-    """SELECT * FROM (
-         SELECT p.id, p.title, u.display_name, 'author' AS role
-         FROM posts p JOIN users u ON p.owner_user_id = u.id WHERE p.score > 440
-         UNION
-         SELECT p.id, p.title, n.display_name, 'voter' AS role
-         FROM (SELECT DISTINCT p.id, p.title FROM posts p JOIN votes v ON v.post_id = p.id WHERE v.vote_type_id = 3) p
-         JOIN (SELECT DISTINCT display_name FROM users WHERE id IS NOT NULL) n ON TRUE)
+    """WITH wrote AS (SELECT DISTINCT posts.id, title, (SELECT any_value(display_name) FROM users WHERE users.id = owner_user_id) AS display_name
+           FROM posts WHERE score > 440 AND owner_user_id IN (SELECT id FROM users)),
+       judged AS (SELECT DISTINCT id, title FROM posts WHERE id IN (SELECT post_id FROM votes WHERE vote_type_id = 3)),
+       everyone AS (SELECT display_name FROM users WHERE id IS NOT NULL GROUP BY display_name)
+       SELECT *, 'author' AS role FROM wrote UNION ALL SELECT id, title, display_name, 'voter' FROM judged, everyone
        ORDER BY role, id, display_name NULLS LAST LIMIT 500""",
 )
 _add(
@@ -258,44 +257,39 @@ _add(
     lambda t: J.post_totals(
         t.users,
         t.posts,
-        {"cnt": F.count("*"), "avg_score": F.round(F.avg("score"), 4), "total_views": F.sum("view_count")},
+        {"written": F.count("*"), "mean_score": F.round(F.avg("score"), 4), "seen": F.sum("view_count")},
         "inner",
-    ).select("display_name", "cnt", "avg_score", "total_views"),
-    """WITH post_stats AS (SELECT owner_user_id, COUNT(*) AS cnt, round(AVG(score), 4) AS avg_score,
-         CAST(SUM(view_count) AS BIGINT) AS total_views FROM posts GROUP BY owner_user_id)
-       SELECT u.display_name, ps.cnt, ps.avg_score, ps.total_views
-       FROM users u JOIN post_stats ps ON ps.owner_user_id = u.id""",
+    ).select("display_name", "written", "mean_score", "seen"),
+    # joined first, grouped afterwards
+    f"""SELECT any_value(u.display_name) AS display_name, count(*) AS written, round(sum(p.score) / count(p.score), 4) AS mean_score,
+         CAST(sum(p.view_count) AS BIGINT) AS seen {AUTHORS} GROUP BY u.id""",
 )
 _add(
     "j13_two_ctes_one_optional",
     lambda t: J.with_author(J.with_vote_counts(t.posts.filter("score > 300"), t.votes, "left"), t.users).select(
-        "id", "title", "score", c("n_votes").alias("votes"), c("u_display_name").alias("display_name")
+        "id", "title", "score", c("n_votes").alias("cast"), c("u_display_name").alias("writer")
     ),
-    """WITH top_posts AS (SELECT id, title, score, owner_user_id FROM posts WHERE score > 300),
-       post_votes AS (SELECT post_id, COUNT(*) AS vote_count FROM votes GROUP BY post_id)
-       SELECT tp.id, tp.title, tp.score, COALESCE(pv.vote_count, 0) AS votes, u.display_name
-       FROM top_posts tp JOIN users u ON tp.owner_user_id = u.id LEFT JOIN post_votes pv ON pv.post_id = tp.id""",
+    """SELECT id, title, score, (SELECT count(*) FROM votes WHERE post_id = posts.id) AS "cast",
+         (SELECT any_value(display_name) FROM users WHERE users.id = posts.owner_user_id) AS writer
+       FROM posts WHERE score > 300 AND owner_user_id IN (SELECT id FROM users)""",
 )
 
 
 def _location_totals(t):
     located = t.users.filter(c("location").isNotNull() & (c("location") != ""))
     owned = t.posts.groupBy("owner_user_id").agg(F.count("*").alias("n"))
-    stats = located.groupBy("location").agg(F.count("*").alias("user_count"), F.avg("reputation").alias("avg_rep"))
-    posted = (
-        located.join(owned, c("id") == c("owner_user_id")).groupBy("location").agg(F.sum("n").alias("total_posts"))
-    )
-    return stats.join(posted, "location").select("location", "user_count", r4(c("avg_rep"), "avg_rep"), "total_posts")
+    stats = located.groupBy("location").agg(F.count("*").alias("members"), F.avg("reputation").alias("standing"))
+    posted = located.join(owned, c("id") == c("owner_user_id")).groupBy("location").agg(F.sum("n").alias("written"))
+    return stats.join(posted, "location").select("location", "members", r4(c("standing"), "standing"), "written")
 
 
 _add(
     "j14_rejoin_on_group_key",
     _location_totals,
-    """WITH user_locations AS (SELECT location, COUNT(*) AS user_count, AVG(reputation) AS avg_rep FROM users
-         WHERE location IS NOT NULL AND location != '' GROUP BY location)
-       SELECT ul.location, ul.user_count, round(ul.avg_rep, 4) AS avg_rep, COUNT(p.id) AS total_posts
-       FROM user_locations ul JOIN users u ON u.location = ul.location JOIN posts p ON p.owner_user_id = u.id
-       GROUP BY ul.location, ul.user_count, ul.avg_rep""",
+    # one pass over the users with the number of posts of each
+    """WITH owned AS (SELECT location, reputation, (SELECT count(*) FROM posts WHERE owner_user_id = users.id) AS n FROM users)
+       SELECT location, count(*) AS members, round(avg(reputation), 4) AS standing, CAST(sum(n) AS BIGINT) AS written
+       FROM owned WHERE length(location) > 0 GROUP BY location HAVING sum(n) > 0""",
 )
 _add(
     "j15_scalar_in_where",
@@ -470,29 +464,21 @@ _add(
 _add(
     "a09_conditional_count",
     lambda t: A.vote_breakdown(
-        t.users,
-        t.posts,
-        t.votes,
-        {"upvotes": c("vote_type_id") == 1, "downvotes": c("vote_type_id") == 2, "other_votes": c("vote_type_id") == 3},
+        t.users, t.posts, t.votes, {"first": c("vote_type_id") == 1, "second": c("vote_type_id") == 2, "third": c("vote_type_id") == 3}
     ),
-    f"""SELECT u.id, u.display_name, COUNT(CASE WHEN v.vote_type_id = 1 THEN 1 END) AS upvotes,
-         COUNT(CASE WHEN v.vote_type_id = 2 THEN 1 END) AS downvotes,
-         COUNT(CASE WHEN v.vote_type_id = 3 THEN 1 END) AS other_votes {CHAIN} GROUP BY u.id, u.display_name""",
+    f"""SELECT u.id, u.display_name, count(*) FILTER (v.vote_type_id = 1) AS "first", count(*) FILTER (v.vote_type_id = 2) AS "second",
+         count(*) FILTER (v.vote_type_id = 3) AS third {CHAIN} GROUP BY ALL""",
 )
 _add(
     "a10_conditional_sum",
     lambda t: J.post_totals(
         t.users,
         t.posts,
-        {
-            "positive_score": F.sum(F.when(c("score") > 0, c("score")).otherwise(0)),
-            "negative_score": F.sum(F.when(c("score") < 0, c("score")).otherwise(0)),
-        },
+        {"gained": F.sum(F.greatest("score", F.lit(0))), "lost": F.sum(F.least("score", F.lit(0)))},
         "inner",
-    ).select("id", "display_name", "positive_score", "negative_score"),
-    f"""SELECT u.id, u.display_name, CAST(SUM(CASE WHEN p.score > 0 THEN p.score ELSE 0 END) AS BIGINT) AS positive_score,
-         CAST(SUM(CASE WHEN p.score < 0 THEN p.score ELSE 0 END) AS BIGINT) AS negative_score
-       {AUTHORS} GROUP BY u.id, u.display_name""",
+    ).select("id", "display_name", "gained", "lost"),
+    f"""SELECT u.id, u.display_name, CAST(coalesce(sum(p.score) FILTER (p.score > 0), 0) AS BIGINT) AS gained,
+         CAST(coalesce(sum(p.score) FILTER (p.score < 0), 0) AS BIGINT) AS lost {AUTHORS} GROUP BY ALL""",
 )
 
 
@@ -504,26 +490,21 @@ def _avg_by_kind(t):
         inside = c("post_type_id") == kind
         return F.try_divide(F.sum(F.when(inside, c("s"))).cast("double"), F.sum(F.when(inside, c("n"))))
 
-    return joined.agg(r4(avg_of(1), "avg_question_score"), r4(avg_of(2), "avg_answer_score"))
+    return joined.agg(r4(avg_of(1), "asked_mean"), r4(avg_of(2), "answered_mean"))
 
 
 _add(
     "a11_conditional_average",
     _avg_by_kind,
-    f"""SELECT u.location, round(AVG(CASE WHEN p.post_type_id = 1 THEN p.score END), 4) AS avg_question_score,
-         round(AVG(CASE WHEN p.post_type_id = 2 THEN p.score END), 4) AS avg_answer_score {AUTHORS} GROUP BY u.location""",
+    f"""SELECT u.location, round(avg(p.score) FILTER (p.post_type_id = 1), 4) AS asked_mean, round(avg(p.score) FILTER (p.post_type_id = 2), 4) AS answered_mean
+       {AUTHORS} GROUP BY ALL""",
 )
 _add(
     "a12_first_last_year",
     lambda t: J.post_totals(
-        t.users,
-        t.posts,
-        {"first": F.min("creation_date"), "last": F.max("creation_date"), "total_posts": F.count("*")},
-        "inner",
-    ).select("id", "display_name", bigint(F.year("first"), "first_post_year"), bigint(F.year("last"), "last_post_year"), "total_posts"),
-    f"""SELECT u.id, u.display_name, extract(year FROM MIN(p.creation_date)) AS first_post_year,
-         extract(year FROM MAX(p.creation_date)) AS last_post_year, COUNT(p.id) AS total_posts
-       {AUTHORS} GROUP BY u.id, u.display_name""",
+        t.users, t.posts, {"began": F.min("creation_date"), "ended": F.max("creation_date"), "written": F.count("*")}, "inner"
+    ).select("id", "display_name", bigint(F.year("began"), "began"), bigint(F.year("ended"), "ended"), "written"),
+    f"""SELECT u.id, u.display_name, min(year(p.creation_date)) AS began, max(year(p.creation_date)) AS ended, count(*) AS written {AUTHORS} GROUP BY ALL""",
 )
 _add(
     "a13_distinct",
@@ -553,15 +534,16 @@ def _grid_sql():
         for f in _GRID["functions"]:
             for col in _GRID["columns"]:
                 parts.append(
-                    f"""SELECT '{key}' AS key_name, CAST({shown} AS VARCHAR) AS key_value, '{f}' AS "function",
-                        '{col}' AS "column", round(CAST({f}(p.{col}) AS DOUBLE), 4) AS result {CHAIN} GROUP BY {shown}"""
+                    f"""SELECT '{key}' AS key_name, CAST({shown} AS VARCHAR) AS key_value, '{f}' AS "function", '{col}' AS "column",
+                        {"NULL" if f == "AVG" else f"CAST({f}(p.{col}) AS BIGINT)"} AS whole,
+                        {f"round(AVG(p.{col}), 4)" if f == "AVG" else "CAST(NULL AS DOUBLE)"} AS mean {CHAIN} GROUP BY {shown}"""
                 )
     return " UNION ALL ".join(parts)
 
 
 _add(
     "a15_aggregate_grid",
-    lambda t: A.aggregate_grid(t.users, t.posts, t.votes, **_GRID).withColumn("result", F.round("result", 4)),
+    lambda t: A.aggregate_grid(t.users, t.posts, t.votes, **_GRID).withColumn("mean", F.round("mean", 4)),
     _grid_sql(),
 )
 _add(
@@ -593,27 +575,26 @@ _add("a17_group_then_any", _any_groups, "SELECT CAST(10 AS BIGINT) AS n_rows, CA
 
 _add(
     "w01_running_total",
-    lambda t: windows.running_total(t.posts, "owner_user_id", "creation_date", "score", "running_score").select(
-        "id", "owner_user_id", "score", "running_score"
-    ),
-    """SELECT id, owner_user_id, score,
-         CAST(SUM(score) OVER (PARTITION BY owner_user_id ORDER BY creation_date) AS BIGINT) AS running_score FROM posts""",
+    lambda t: windows.running_total(t.posts, "owner_user_id", "creation_date", "score", "so_far").select("id", "owner_user_id", "score", "so_far"),
+    # the sum over all posts of the owner up to that moment, without a window
+    """WITH moments AS (SELECT owner_user_id AS who, creation_date AS moment, sum(score) AS s FROM posts GROUP BY ALL),
+       added AS (SELECT a.who, a.moment, CAST(sum(b.s) AS BIGINT) AS so_far FROM moments a JOIN moments b ON a.who = b.who AND b.moment <= a.moment GROUP BY ALL)
+       SELECT id, owner_user_id, score, so_far FROM posts JOIN added ON who = owner_user_id AND moment = creation_date""",
 )
 _add(
     "w01_running_total_few_keys",
-    lambda t: windows.running_total(t.posts, "post_type_id", "creation_date", "score", "running_score").select(
-        "id", "post_type_id", "running_score"
-    ),
-    """SELECT id, post_type_id,
-         CAST(SUM(score) OVER (PARTITION BY post_type_id ORDER BY creation_date) AS BIGINT) AS running_score FROM posts""",
+    lambda t: windows.running_total(t.posts, "post_type_id", "creation_date", "score", "so_far").select("id", "post_type_id", "so_far"),
+    """WITH moments AS (SELECT post_type_id AS kind, creation_date AS moment, sum(score) AS s FROM posts GROUP BY ALL),
+       added AS (SELECT kind, moment, CAST(sum(s) OVER (PARTITION BY kind ORDER BY moment ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far FROM moments)
+       SELECT id, post_type_id, so_far FROM posts JOIN added ON kind = post_type_id AND moment = creation_date""",
 )
 _add(
     "w02_difference_from_group",
-    lambda t: windows.group_average(t.posts, "post_type_id", "score", "type_avg", "diff_from_avg").select(
-        "id", "score", "post_type_id", r4(c("type_avg"), "type_avg"), r4(c("diff_from_avg"), "diff_from_avg")
+    lambda t: windows.group_average(t.posts, "post_type_id", "score", "mean", "above").select(
+        "id", "score", "post_type_id", r4(c("mean"), "mean"), r4(c("above"), "above")
     ),
-    """SELECT id, score, post_type_id, round(AVG(score) OVER (PARTITION BY post_type_id), 4) AS type_avg,
-         round(score - AVG(score) OVER (PARTITION BY post_type_id), 4) AS diff_from_avg FROM posts""",
+    """WITH means AS (SELECT post_type_id AS kind, avg(score) AS m FROM posts GROUP BY kind)
+       SELECT id, score, post_type_id, round(m, 4) AS mean, round(score - m, 4) AS above FROM posts JOIN means ON kind IS NOT DISTINCT FROM post_type_id""",
 )
 _add(
     "w03_ntile",
@@ -623,34 +604,39 @@ _add(
 _add(
     "w04_lag",
     lambda t: ordered.previous(
-        t.posts.select("id", "post_type_id", "creation_date", "score"), ["post_type_id"], ["creation_date", "id"], "score", "prev_score"
-    ).select("id", "score", "prev_score", (c("score") - c("prev_score")).alias("delta")),
-    """SELECT id, score, LAG(score) OVER w AS prev_score, score - LAG(score) OVER w AS delta FROM posts
-       WINDOW w AS (PARTITION BY post_type_id ORDER BY creation_date, id)""",
+        t.posts.select("id", "post_type_id", "score", F.when(c("id") % 17 != 0, c("creation_date")).alias("at")), ["post_type_id"], ["at", "id"], "score", "before"
+    ).select("id", "score", "before", (c("score") - c("before")).alias("change")),
+    # unknown dates come last, as PostgreSQL orders them
+    """WITH listed AS (SELECT list({'id': id, 'score': score} ORDER BY CASE WHEN id % 17 <> 0 THEN creation_date END NULLS LAST, id) AS l FROM posts GROUP BY post_type_id),
+       placed AS (SELECT l, unnest(range(1, len(l) + 1)) AS k FROM listed)
+       SELECT l[k].id AS id, l[k].score AS score, CASE WHEN k > 1 THEN l[k - 1].score END AS before, CASE WHEN k > 1 THEN l[k].score - l[k - 1].score END AS change FROM placed""",
 )
 _add(
     "w05_row_number",
-    lambda t: ordered.positions(
-        t.posts.select("id", "owner_user_id", "score"), ["owner_user_id"], [c("score").desc(), c("id").asc()], "score_rank"
-    ),
-    "SELECT id, owner_user_id, score, ROW_NUMBER() OVER (PARTITION BY owner_user_id ORDER BY score DESC, id) AS score_rank FROM posts",
+    lambda t: ordered.positions(t.posts.select("id", "owner_user_id", "score"), ["owner_user_id"], [c("score").desc(), c("id").asc()], "place"),
+    """WITH listed AS (SELECT owner_user_id, list({'id': id, 'score': score} ORDER BY score DESC, id) AS l FROM posts GROUP BY owner_user_id),
+       placed AS (SELECT owner_user_id, l, unnest(range(1, len(l) + 1)) AS k FROM listed)
+       SELECT l[k].id AS id, owner_user_id, l[k].score AS score, k AS place FROM placed""",
 )
 _add(
     "w06_first_value",
-    lambda t: windows.leader(t.posts.select("id", "post_type_id", "score", "title"), "post_type_id", "score", "id", "title", "top_post").select(
-        "id", "score", "top_post"
-    ),
-    "SELECT id, score, FIRST_VALUE(title) OVER (PARTITION BY post_type_id ORDER BY score DESC, id) AS top_post FROM posts",
+    lambda t: windows.leader(
+        t.posts.select("id", "post_type_id", "title", F.when(c("id") % 19 != 0, c("score")).alias("score")), "post_type_id", "score", "id", "title", "best"
+    ).select("id", "score", "best"),
+    # an unknown score comes first in descending order
+    """WITH rated AS (SELECT id, post_type_id AS kind, title, CASE WHEN id % 19 <> 0 THEN score END AS score FROM posts),
+       best AS (SELECT kind, list(title ORDER BY score DESC NULLS FIRST, id)[1] AS best FROM rated GROUP BY kind)
+       SELECT id, score, best FROM rated JOIN best USING (kind)""",
 )
 _add(
     "w07_rank_filtered",
-    lambda t: J.post_totals(
-        ordered.rank_at_most(t.users, "reputation", 1000, "rep_rank"), t.posts, {"posts": F.count("*")}
-    ).select("id", "display_name", "reputation", "rep_rank", J.or_zero("posts")),
-    """WITH ranked AS (SELECT id, display_name, reputation, RANK() OVER (ORDER BY reputation DESC) AS rep_rank FROM users)
-       SELECT r.id, r.display_name, r.reputation, r.rep_rank, COUNT(p.id) AS posts
-       FROM ranked r LEFT JOIN posts p ON p.owner_user_id = r.id WHERE r.rep_rank <= 1000
-       GROUP BY r.id, r.display_name, r.reputation, r.rep_rank""",
+    lambda t: J.post_totals(ordered.rank_at_most(t.users, "reputation", 1000, "place"), t.posts, {"written": F.count("*")}).select(
+        "id", "display_name", "reputation", "place", J.or_zero("written")
+    ),
+    """WITH steps AS (SELECT reputation AS level, count(*) AS n FROM users GROUP BY level),
+       above AS (SELECT level, 1 + coalesce(CAST(sum(n) OVER (ORDER BY level DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS place FROM steps)
+       SELECT id, display_name, reputation, place, (SELECT count(*) FROM posts WHERE owner_user_id = users.id) AS written
+       FROM users JOIN above ON level = reputation WHERE place <= 1000""",
 )
 
 # ---- sort, limit, top-k
@@ -690,41 +676,43 @@ _add(
 )
 _add(
     "o05_order_by_aggregate",
-    lambda t: t.users.groupBy("location")
-    .agg(F.count("*").alias("user_count"), r4(F.avg("reputation"), "avg_rep"))
-    .orderBy(c("user_count").desc(), c("location").asc_nulls_last())
-    .limit(10),
-    """SELECT location, COUNT(*) AS user_count, round(AVG(reputation), 4) AS avg_rep FROM users
-       GROUP BY location ORDER BY user_count DESC, location NULLS LAST LIMIT 10""",
+    lambda t: ordered.positions(
+        t.users.groupBy("location").agg(F.count("*").alias("members"), r4(F.avg("reputation"), "standing")), [], [c("members").desc(), c("location").asc_nulls_last()], "place"
+    ),
+    """SELECT *, row_number() OVER (ORDER BY members DESC, location NULLS LAST) AS place
+       FROM (SELECT location, count(*) AS members, round(avg(reputation), 4) AS standing FROM users GROUP BY location)""",
 )
 _add(
     "o06_order_by_expression",
-    lambda t: t.users.orderBy(F.lower("display_name"), "id").limit(25).select("id", "display_name"),
-    "SELECT id, display_name FROM users ORDER BY lower(display_name), id LIMIT 25",
+    lambda t: ordered.positions(t.users.select("id", "display_name"), [], [F.lower("display_name").asc_nulls_last(), c("id").asc()], "place"),
+    "SELECT id, display_name, row_number() OVER (ORDER BY lower(display_name) NULLS LAST, id) AS place FROM users",
 )
+
+def _years_and_places(t):
+    """Posts are grouped by owner and year before they meet their owners."""
+    owned = t.posts.groupBy("owner_user_id", bigint(F.year("creation_date"), "year")).agg(F.count("*").alias("n"), F.sum("score").alias("s"), F.count("score").alias("k"))
+    totals = owned.join(t.users.select("id", "location"), c("owner_user_id") == c("id")).groupBy("year", "location")
+    grouped = totals.agg(F.sum("n").alias("written"), r4(F.try_divide(F.sum("s").cast("double"), F.sum("k")), "mean_score"))
+    return ordered.positions(grouped, [], [c("year").desc(), c("written").asc(), c("location").asc_nulls_last()], "place")
+
+
 _add(
     "o07_mixed_directions",
-    lambda t: J.with_author(t.posts, t.users)
-    .groupBy(bigint(F.year("creation_date"), "year"), c("u_location").alias("location"))
-    .agg(F.count("*").alias("posts"), r4(F.avg("score"), "avg_score"))
-    .orderBy(c("year").desc(), c("posts").asc(), c("location").asc_nulls_last())
-    .limit(40),
-    f"""SELECT extract(year FROM p.creation_date) AS year, u.location, COUNT(p.id) AS posts, round(AVG(p.score), 4) AS avg_score
-       {AUTHORS} GROUP BY extract(year FROM p.creation_date), u.location
-       ORDER BY year DESC, posts ASC, location NULLS LAST LIMIT 40""",
+    _years_and_places,
+    f"""SELECT *, row_number() OVER (ORDER BY year DESC, written, location NULLS LAST) AS place
+       FROM (SELECT year(p.creation_date) AS year, u.location, count(*) AS written, round(avg(p.score), 4) AS mean_score {AUTHORS} GROUP BY ALL)""",
 )
 _add(
     "o08_order_by_hidden_column",
-    lambda t: J.with_author(t.posts, t.users)
-    .orderBy(c("u_reputation").desc_nulls_first(), "id")
-    .limit(30)
-    .select("title", "score"),
-    f"SELECT p.title, p.score {AUTHORS} ORDER BY u.reputation DESC NULLS FIRST, p.id LIMIT 30",
+    lambda t: ordered.positions(
+        J.with_author(t.posts, t.users).select("id", "title", "score", "u_reputation"), [], [c("u_reputation").desc_nulls_first(), c("id").asc()], "place"
+    ).select("title", "score", "place"),
+    f"SELECT p.title, p.score, row_number() OVER (ORDER BY u.reputation DESC NULLS FIRST, p.id) AS place {AUTHORS}",
 )
 _add(
     "o08_order_by_nullable",
-    lambda t: t.posts.orderBy(c("title").asc_nulls_last(), "id").limit(40).select("id", "title"),
-    "SELECT id, title FROM posts ORDER BY title ASC NULLS LAST, id LIMIT 40",
+    lambda t: ordered.positions(t.posts.select("id", "title"), [], [c("title").asc_nulls_last(), c("id").asc()], "place"),
+    "SELECT id, title, row_number() OVER (ORDER BY title NULLS LAST, id) AS place FROM posts",
 )
 
 # ---- set operations
@@ -736,19 +724,15 @@ def _tag(df, name, value, *columns):
 
 _add(
     "u01_disjoint_tiers",
-    lambda t: t.posts.filter("score >= 100").select(
-        "id", "title", "score", F.when(c("score") > 300, "high").otherwise("medium").alias("tier")
-    ),
-    """SELECT id, title, score, 'high' AS tier FROM posts WHERE score > 300
-       UNION ALL SELECT id, title, score, 'medium' AS tier FROM posts WHERE score BETWEEN 100 AND 300""",
+    lambda t: t.posts.filter("score >= 120").select("id", "title", "score", F.when(c("score") > 280, "upper").otherwise("lower").alias("band")),
+    """SELECT id, title, score, CASE WHEN score > 280 THEN 'upper' ELSE 'lower' END AS band FROM posts WHERE score >= 120""",
 )
 _add(
     "u02_overlapping_branches",
-    lambda t: _tag(t.posts.filter("score > 400"), "category", "high_score", "id", "title", "score")
-    .unionByName(_tag(t.posts.filter("view_count > 9500"), "category", "high_views", "id", "title", "score"))
-    .orderBy(c("score").desc(), "id", "category"),
-    """SELECT id, title, score, 'high_score' AS category FROM posts WHERE score > 400
-       UNION ALL SELECT id, title, score, 'high_views' AS category FROM posts WHERE view_count > 9500 ORDER BY score DESC""",
+    lambda t: _tag(t.posts.filter("score > 400"), "because", "rated", "id", "title", "score").unionByName(
+        _tag(t.posts.filter("view_count > 9500"), "because", "seen", "id", "title", "score")
+    ),
+    """SELECT id, title, score, unnest(list_filter(['rated', 'seen'], lambda x: CASE x WHEN 'rated' THEN score > 400 ELSE view_count > 9500 END)) AS because FROM posts""",
 )
 
 
@@ -757,10 +741,10 @@ def _involvement(t):
     return (
         J.with_author(posts, t.users)
         .select(
-            c("u_display_name").alias("display_name"),
+            c("u_display_name").alias("who"),
             "title",
             "score",
-            F.when(c("post_type_id") == 1, "asked").otherwise("answered").alias("involvement"),
+            F.when(c("post_type_id") == 1, "question").otherwise("answer").alias("part"),
         )
         .distinct()
     )
@@ -769,43 +753,42 @@ def _involvement(t):
 _add(
     "u03_distinct_union",
     _involvement,
-    f"""SELECT u.display_name, p.title, p.score, 'asked' AS involvement {AUTHORS} WHERE p.post_type_id = 1
-       UNION SELECT u.display_name, p.title, p.score, 'answered' AS involvement {AUTHORS} WHERE p.post_type_id = 2""",
+    f"""SELECT DISTINCT u.display_name AS who, p.title, p.score, ['question', 'answer'][p.post_type_id] AS part {AUTHORS} WHERE p.post_type_id IN (1, 2)""",
 )
 
 
 def _stacked_totals(t):
-    kinds = {"posts": F.lit(True), "questions": c("post_type_id") == 1, "answers": c("post_type_id") == 2}
+    kinds = {"any": F.lit(True), "question": c("post_type_id") == 1, "answer": c("post_type_id") == 2}
     one = t.posts.agg(
         *[F.count_if(w).alias(f"n_{k}") for k, w in kinds.items()],
         *[F.avg(F.when(w, c("score"))).alias(f"a_{k}") for k, w in kinds.items()],
     )
-    rows = F.array(*[F.struct(F.lit(k).alias("source"), c(f"n_{k}").alias("total"), c(f"a_{k}").alias("avg_score")) for k in kinds])
-    return one.select(F.inline(rows)).withColumn("avg_score", F.round("avg_score", 4))
+    rows = F.array(*[F.struct(F.lit(k).alias("part"), c(f"n_{k}").alias("written"), c(f"a_{k}").alias("mean_score")) for k in kinds])
+    return one.select(F.inline(rows)).withColumn("mean_score", F.round("mean_score", 4))
 
 
 _add(
     "u04_stacked_totals",
     _stacked_totals,
-    """SELECT 'posts' AS source, COUNT(*) AS total, round(AVG(score), 4) AS avg_score FROM posts
-       UNION ALL SELECT 'questions', COUNT(*), round(AVG(score), 4) FROM posts WHERE post_type_id = 1
-       UNION ALL SELECT 'answers', COUNT(*), round(AVG(score), 4) FROM posts WHERE post_type_id = 2""",
+    """SELECT part, count(*) AS written, round(avg(score), 4) AS mean_score
+       FROM (SELECT score, unnest(CASE post_type_id WHEN 1 THEN ['any', 'question'] WHEN 2 THEN ['any', 'answer'] ELSE ['any'] END) AS part FROM posts) GROUP BY part""",
 )
 
 
 def _place_counts(t):
     located = t.users.filter(c("location").isNotNull())
     owned = t.posts.groupBy("owner_user_id").agg(F.count("*").alias("n"))
-    users = located.groupBy("location").agg(F.count("*").alias("count"))
-    posts = located.join(owned, c("id") == c("owner_user_id")).groupBy("location").agg(F.sum("n").alias("count"))
-    return _tag(users, "type", "users", "location", "count").unionByName(_tag(posts, "type", "posts", "location", "count"))
+    users = located.groupBy("location").agg(F.count("*").alias("total"))
+    posts = located.join(owned, c("id") == c("owner_user_id")).groupBy("location").agg(F.sum("n").alias("total"))
+    return _tag(users, "what", "members", "location", "total").unionByName(_tag(posts, "what", "written", "location", "total"))
 
 
 _add(
     "u05_union_of_groups",
     _place_counts,
-    f"""SELECT u.location, COUNT(*) AS count, 'users' AS type FROM users u WHERE u.location IS NOT NULL GROUP BY u.location
-       UNION ALL SELECT u.location, COUNT(p.id), 'posts' AS type {AUTHORS} WHERE u.location IS NOT NULL GROUP BY u.location""",
+    """WITH owned AS (SELECT location, (SELECT count(*) FROM posts WHERE owner_user_id = users.id) AS n FROM users WHERE location IS NOT NULL)
+       SELECT location, count(*) AS total, 'members' AS what FROM owned GROUP BY location
+       UNION ALL SELECT location, CAST(sum(n) AS BIGINT), 'written' FROM owned GROUP BY location HAVING sum(n) > 0""",
 )
 
 # ---- scalar functions
@@ -827,12 +810,8 @@ _add(
 )
 _add(
     "f03_case_tiers",
-    lambda t: t.posts.select(
-        "id",
-        F.when(c("score") >= 400, "viral").when(c("score") >= 100, "popular").when(c("score") > 0, "normal").otherwise("poor").alias("tier"),
-    ),
-    """SELECT id, CASE WHEN score >= 400 THEN 'viral' WHEN score >= 100 THEN 'popular' WHEN score > 0 THEN 'normal'
-         ELSE 'poor' END AS tier FROM posts""",
+    lambda t: t.posts.select("id", F.when(c("score") >= 350, "top").when(c("score") >= 120, "good").when(c("score") > 0, "fair").otherwise("low").alias("band")),
+    "SELECT id, coalesce(['low', 'fair', 'good', 'top'][1 + (score > 0)::INT + (score >= 120)::INT + (score >= 350)::INT], 'low') AS band FROM posts",
 )
 _add(
     "f04_coalesce",

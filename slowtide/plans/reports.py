@@ -177,7 +177,11 @@ def _prompts(t):
     return P.prompts(t.pairs, fixes)
 
 
-_SCHEMA_SQL = P.PROMPT_SCHEMA.replace("'", "''")
+_SCHEMA_SQL = (
+    "CREATE TABLE posts (id INT, post_type_id INT, owner_user_id INT, title TEXT, score INT, view_count INT, answer_count INT, creation_date TIMESTAMP);\n"
+    "CREATE TABLE users (id INT, display_name TEXT, location TEXT, reputation INT, creation_date TIMESTAMP);\n"
+    "CREATE TABLE votes (id INT, post_id INT, vote_type_id INT, creation_date TIMESTAMP);"
+)
 _add(
     "d28_prompts",
     _prompts,

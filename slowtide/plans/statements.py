@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from slowtide.functions import numeric as N
 from slowtide.functions import text as T
-from slowtide.functions.plantree import NODE_FLAGS, PLAN_FEATURES, plan_features
+from slowtide.functions.plantree import NODE_FLAGS, PLAN_FEATURES, plan_features, plan_rejected
 from slowtide.operators import candidates as C
 from slowtide.operators import reports, runs
 from slowtide.plans import fixtures as X
 from slowtide.plans.fixtures import Log
 from slowtide.plans.relational import r4
-from slowtide.session import spread
 
 QUERIES: dict = {}
 CHECKS: dict = {}
@@ -110,14 +109,14 @@ def _plan_documents(t):
         F.lit(', "Actual Rows": 3, "Plans": ['), chain, second, F.lit(']}, "Execution Time": 1.5}]'),
     )
     document = F.when(c("l_tax") == 0, F.substring(whole, 1, 40)).otherwise(whole)
-    return spread(t.lineitem).select(
+    return t.lineitem.repartition("l_orderkey", "l_linenumber").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"), document.alias("document")
     )
 
 
 def _plan_rows(t):
-    plans = _plan_documents(t).select("row_id", plan_features(c("document")).alias("p"))
-    return plans.select("row_id", *[c(f"p.{f}").alias(f) for f in PLAN_FEATURES])
+    plans = _plan_documents(t).select("row_id", plan_features(c("document")).alias("p"), plan_rejected(c("document")).alias("plan_rejected"))
+    return plans.select("row_id", "plan_rejected", *[c(f"p.{f}").alias(f) for f in PLAN_FEATURES])
 
 
 _FLAG_SQL = {
@@ -131,7 +130,7 @@ _FLAG_SQL = {
 _add(
     "d03_plan_features",
     _plan_rows,
-    """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS row_id,
+    """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS row_id, l_tax = 0 AS plan_rejected,
          CASE WHEN l_tax = 0 THEN 0 ELSE l_extendedprice END AS plan_total_cost,
          CASE WHEN l_tax = 0 THEN 0 ELSE l_orderkey END AS plan_rows,
          CAST(CASE WHEN l_tax = 0 THEN 0 ELSE 3 END AS BIGINT) AS actual_rows,
@@ -154,8 +153,8 @@ _add(
 )
 _add(
     "d05_measurements",
-    lambda t: t.measurements.drop("query_text"),
-    f"WITH {X.SQL_MEASUREMENTS} SELECT * FROM measurements",
+    lambda t: t.protocol,
+    f"WITH {X.SQL_PROTOCOL} SELECT * FROM protocol",
 )
 _add(
     "d06_slow_label",
@@ -172,7 +171,7 @@ _add(
 _add(
     "d08_first_seen",
     lambda t: runs.first_seen(t.documents, runs.statement_key(c("text")), [c("doc_id")]).select("doc_id", "text"),
-    """SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY substr(text, 1, 100) ORDER BY doc_id) AS n
+    """SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n
          FROM documents) WHERE n = 1""",
 )
 _add(

@@ -120,6 +120,26 @@ _add(
 )
 
 
+def _damaged_log(t):
+    """A log among whose records lie cut-off ones, one for each region."""
+    path = scratch_path(t.spark, "log")
+    files.append_log(t.log.drop("stmt"), path)
+    t.region.select(F.concat(F.lit('{"type": "slow_query_handled", "query": "'), "r_name")).write.mode("append").text(path)
+    return path
+
+
+_add(
+    "s07_rejected_records",
+    lambda t: files.rejected_log(t.spark, _damaged_log(t)),
+    """SELECT '{"type": "slow_query_handled", "query": "' || r_name AS raw FROM region""",
+)
+_add(
+    "s07_damaged_log",
+    lambda t: files.read_log(t.spark, _damaged_log(t)).agg(F.count("*").alias("n"), F.count("query").alias("n_queries")),
+    f"WITH {X.SQL_SCORED} SELECT count(*) AS n, count(query) AS n_queries FROM scored",
+)
+
+
 def _two_appends(t):
     path = scratch_path(t.spark, "events")
     old = c("pg_stat_mean_ms").isNull()

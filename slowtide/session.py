@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Paths handed out by `scratch_path`, by application.
+_written: dict[str, list[str]] = {}
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
@@ -26,18 +30,31 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    A session on one machine (`local[..]`) without that setting gets a temporary folder; on a cluster, whose
+    machines do not share one, a missing setting is an error.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="slowtide-"))
     return named or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one written table below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application has written below the shared folder; frames over them end with it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
 
 
 def materialize(df, label: str):
@@ -49,11 +66,3 @@ def materialize(df, label: str):
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df):
-    """Repartition an input that has fewer splits than the cluster has cores; leave any other alone.
-
-    For work that costs far more per row than shuffling the row.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

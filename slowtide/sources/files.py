@@ -119,19 +119,31 @@ def append_measurements(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 # ---- JSON logs, pairs, run results, history
 
 
+def _marked_json(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFrame:
+    full = f"{schema}, _corrupt string"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], full)
+    rows = spark.read.schema(full).option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", not lines).json(path)
+    # always true; it has every column parsed, so a corrupt record is found whatever a query reads
+    parsed = F.hash(*[c for c in rows.columns if c != "_corrupt"]) >= F.lit(-(2**31))
+    return rows.filter(parsed)
+
+
 def read_json(spark: SparkSession, path: str, schema: str, lines: bool = True) -> DataFrame:
-    """Records of a JSON file or folder; an absent path gives no rows, a corrupt record is dropped.
+    """Records of a JSON file or folder; an absent path gives no rows. `rejected_json` has the corrupt records.
 
     `lines=False` reads one JSON array per file.
     """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    full = f"{schema}, _corrupt string"
-    read = spark.read.schema(full).option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", not lines)
-    rows = read.json(path)
-    # always true; it has every column parsed, so a corrupt record is found whatever a query reads
-    parsed = F.hash(*[c for c in rows.columns if c != "_corrupt"]) >= F.lit(-(2**31))
-    return rows.filter(F.col("_corrupt").isNull() & parsed).drop("_corrupt")
+    return _marked_json(spark, path, schema, lines).filter(F.col("_corrupt").isNull()).drop("_corrupt")
+
+
+def rejected_json(spark: SparkSession, path: str, schema: str, lines: bool = True) -> DataFrame:
+    """The text (`raw`) of every corrupt record that `read_json` leaves out."""
+    return _marked_json(spark, path, schema, lines).filter(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("raw"))
+
+
+def rejected_log(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    return rejected_json(spark, path, EVENT, lines)
 
 
 def read_log(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
