@@ -145,12 +145,11 @@ _add(
 
 
 def _running_means(t):
-    """Update mode: each poll writes the statements it changed; the latest row of each is its mean."""
-    out = scratch_path(t.spark, "means")
-    _drain(t, M.statement_means(_stream(t)), lambda rows, i: M.write_batch(rows, i, out), "update")
-    polls = t.spark.read.parquet(out)
-    latest = polls.groupBy("query").agg(F.max_by(F.struct("mean_exec_time", "calls"), "batch_id").alias("s"))
-    return latest.select("query", F.round("s.mean_exec_time", 6).alias("mean_exec_time"), "s.calls")
+    """Each poll writes sums and calls; the parts are compacted once and then added up."""
+    out, merged = scratch_path(t.spark, "means"), scratch_path(t.spark, "merged")
+    _drain(t, _stream(t), M.keep_parts(out, M.mean_parts))
+    M.compact(t.spark, out, ["query"], merged)
+    return M.running_means(t.spark, merged).select("query", F.round("mean_exec_time", 6).alias("mean_exec_time"), "calls")
 
 
 _add(
@@ -161,20 +160,16 @@ _add(
 
 
 def _windows(t):
-    """Hourly counts; an hour is written once the watermark has passed its end."""
+    """Hourly counts of all hours, the open ones and late rows included."""
     out = scratch_path(t.spark, "windows")
-    _drain(t, M.slow_windows(_stream(t), "1 hour", "2 hours", 100.0), lambda rows, i: M.write_batch(rows, i, out))
-    done = t.spark.read.parquet(out)
-    # rows in the final open hours are held back until later events arrive
-    return done.select(c("start").cast("timestamp_ntz").alias("start"), "n", "slow")
+    _drain(t, _stream(t), M.keep_parts(out, lambda rows: M.window_parts(rows, "1 hour", 100.0)))
+    return M.slow_windows(t.spark, out).select(c("start").cast("timestamp_ntz").alias("start"), "n", "slow")
 
 
 _add(
     "t08_slow_windows",
     _windows,
-    """WITH hours AS (SELECT date_trunc('hour', ts) AS start, count(*) AS n, count(*) FILTER (value > 100) AS slow FROM events GROUP BY 1)
-       SELECT CAST(start AS TIMESTAMP) AS start, n, slow FROM hours
-       WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""",
+    "SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS start, count(*) AS n, count(*) FILTER (value > 100) AS slow FROM events GROUP BY ALL",
 )
 
 

@@ -11,6 +11,7 @@ from slowtide.operators import templates
 from slowtide.plans import fixtures as X
 from slowtide.plans.fixtures import Log
 from slowtide.plans.relational import r4
+from slowtide.plans.stack import on_stack
 
 QUERIES: dict = {}
 CHECKS: dict = {}
@@ -167,7 +168,19 @@ _PENDING = f"""WITH {X.SQL_VERIFIED}, {X.SQL_MEASUREMENTS}, texts2 AS (
          SELECT {X.sql_text_of(X.TEXTS, 'event_type', 'user_id')} AS query_text FROM measurements WHERE label = 'slow')
        SELECT query_text FROM texts2 WHERE query_text NOT IN (SELECT query FROM verified WHERE measured_speedup_ms > 0)"""
 _add("d27_pending", _pending, _PENDING)
-_add("j21_resume_anti_join", _pending, _PENDING)
+
+
+def _resumed(t):
+    """A job that takes up where it stopped: statements of which no long run is in its log yet."""
+    done = t.events.filter(c("value") >= 2 * X.LABEL_MS).select(*X.KEYS).distinct()
+    return t.stats.join(done, X.KEYS, "left_anti").select("user_id", "event_type", "calls")
+
+
+_add(
+    "j21_resume_anti_join",
+    _resumed,
+    "SELECT user_id, event_type, count(*) AS calls FROM events GROUP BY ALL HAVING max(value) < 70",
+)
 
 
 def _prompts(t):
@@ -208,43 +221,57 @@ def _draws(t):
 
 
 def _expanded(t):
-    return templates.expand(_draws(t), "draw")
+    return templates.expand(_draws(t), "draw", templates.limits(t.users, t.posts, t.votes))
+
+
+# The statements as SQL builds them, from pieces restated here.
+_PIECES = """source AS (SELECT * FROM (VALUES ('u', 'users u'), ('p', 'posts p'), ('up', 'users u JOIN posts p ON p.owner_user_id = u.id'),
+    ('pv', 'posts p JOIN votes v ON v.post_id = p.id'), ('upv', 'users u JOIN posts p ON p.owner_user_id = u.id JOIN votes v ON v.post_id = p.id')) AS s(tables, source)),
+condition AS (SELECT * FROM (VALUES ('u', 'u.reputation >= {reputation}'), ('u', 'u.location = (SELECT location FROM users WHERE id = {user})'),
+    ('p', 'p.score BETWEEN {score} AND {score} + 60'), ('p', 'EXTRACT(YEAR FROM p.creation_date) = {year}'), ('v', 'v.vote_type_id <= {vote}')) AS c(needs, condition)),
+part AS (SELECT * FROM (VALUES ('u', 'u.location'), ('p', 'p.post_type_id'), ('p', 'EXTRACT(MONTH FROM p.creation_date)')) AS g(needs, part)),
+statement AS (
+  SELECT 'rows' AS family, 'SELECT ' || tables[1] || '.id FROM ' || source || ' WHERE ' || condition || ' ORDER BY 1 LIMIT {n}' AS text
+  FROM source, condition WHERE contains(tables, needs)
+  UNION ALL SELECT 'grouped', 'SELECT ' || part || ' AS part, ' || fold || ' AS result FROM ' || source || ' GROUP BY ' || part
+  FROM source, part, unnest(['COUNT(*)', 'AVG(p.score)', 'MAX(p.view_count)']) AS f(fold) WHERE contains(tables, needs) AND tables IN ('up', 'pv', 'upv')
+  UNION ALL SELECT shape.family, replace(shape.text, '@', part) FROM part, (VALUES
+    ('having', 'SELECT @ AS part, COUNT(*) AS total FROM users u JOIN posts p ON p.owner_user_id = u.id GROUP BY @ HAVING COUNT(*) >= {few} AND MAX(p.score) >= {score}'),
+    ('with', 'WITH totals AS (SELECT @ AS part, COUNT(*) AS total FROM users u JOIN posts p ON p.owner_user_id = u.id GROUP BY @) SELECT part FROM totals WHERE total > {few} ORDER BY total DESC, part LIMIT {n}'),
+    ('case', 'SELECT @ AS part, SUM(CASE WHEN v.vote_type_id <= {vote} THEN 1 ELSE 0 END) AS hits FROM users u JOIN posts p ON p.owner_user_id = u.id JOIN votes v ON v.post_id = p.id GROUP BY @')) AS shape(family, text)
+  UNION ALL SELECT 'exists', 'SELECT t.id FROM ' || t || ' WHERE ' || word || 'EXISTS (SELECT 1 FROM ' || link || ')' FROM unnest(['', 'NOT ']) AS w(word), (VALUES
+    ('users t', 'posts p WHERE p.owner_user_id = t.id AND p.score >= {score}'), ('posts t', 'votes v WHERE v.post_id = t.id AND v.vote_type_id <= {vote}')) AS l(t, link)
+  UNION ALL SELECT 'sets', 'SELECT p.post_type_id, p.score FROM posts p WHERE p.score >= {score} ' || j || ' SELECT p.post_type_id, p.score FROM posts p WHERE p.post_type_id = {kind}'
+  FROM unnest(['UNION', 'UNION ALL', 'EXCEPT']) AS x(j)
+  UNION ALL SELECT 'window', 'SELECT p.id, ' || r || ' OVER (PARTITION BY p.post_type_id ORDER BY p.score DESC, p.id) AS place FROM posts p'
+  FROM unnest(['RANK()', 'ROW_NUMBER()', 'SUM(p.score)', 'LAG(p.id)']) AS x(r)
+  UNION ALL SELECT * FROM (VALUES ('lookup', 'SELECT * FROM users WHERE id = {user}'), ('lookup', 'SELECT score, view_count FROM posts WHERE id >= {post} ORDER BY id LIMIT 1'),
+    ('dates', 'SELECT EXTRACT(YEAR FROM creation_date) AS y, COUNT(*) AS total FROM votes WHERE EXTRACT(MONTH FROM creation_date) = {month} GROUP BY 1'),
+    ('pairs', 'SELECT l.id AS one, r.id AS other FROM posts l JOIN posts r ON r.owner_user_id = l.owner_user_id AND r.id > l.id ORDER BY 1, 2 LIMIT {n}'),
+    ('scalar', 'SELECT u.id, (SELECT COUNT(*) FROM posts p WHERE p.owner_user_id = u.id AND p.score >= {score}) AS total FROM users u WHERE u.reputation >= {reputation}')) AS v(family, text)),
+numbered AS (SELECT CAST(row_number() OVER (ORDER BY text) - 1 AS INTEGER) AS template, family, text, count(*) OVER () AS many FROM statement)"""
 
 
-def _q(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+def _expanded_sql() -> str:
+    """The composed statements filled in SQL: the same seeded hash between the least and the greatest value."""
+    bounds = {
+        "reputation": ("min(reputation)", "max(reputation)", "users"), "user": ("min(id)", "max(id)", "users"), "score": ("min(score)", "max(score)", "posts"),
+        "year": ("min(year(creation_date))", "max(year(creation_date))", "posts"), "post": ("min(id)", "max(id)", "posts"), "kind": ("min(post_type_id)", "max(post_type_id)", "posts"),
+        "month": ("min(month(creation_date))", "max(month(creation_date))", "votes"), "vote": ("min(vote_type_id)", "max(vote_type_id)", "votes"),
+    }
 
+    def drawn(name, low, high):
+        return f"{low} + CAST('0x' || substr(md5('7:{name}:' || s_suppkey), 1, 8) AS BIGINT) % ({high} - {low} + 1) AS v_{name}"
 
-def _expanded_sql() -> str:
-    """Template expansion in SQL: the same seeded hash, the pools as lists."""
-
-    def h(name):
-        return f"CAST('0x' || substr(md5('7:{name}:' || s_suppkey), 1, 8) AS BIGINT)"
-
-    def listed(values):
-        return "[" + ", ".join(_q(str(v)) for v in values) + "]"
-
-    cols = [f"{listed(pool)}[1 + {h(n)} % {len(pool)}] AS p_{n}" for n, pool in templates.POOLS.items()]
-    for small, large, pool in templates.PAIRS:
-        n = len(templates.POOLS[pool])
-        first = f"({h(small)} % {n - 1})"
-        cols.append(f"{listed(templates.POOLS[pool])}[1 + {first}] AS p_{small}")
-        cols.append(f"{listed(templates.POOLS[pool])}[2 + {first} + {h(large)} % ({n - 1} - {first})] AS p_{large}")
-    for name, largest in templates.IDS.items():
-        cols.append(f"CAST(1 + {h(name)} % {largest} AS VARCHAR) AS p_{name}")
-    names = [*templates.POOLS, *[x for a, b, _ in templates.PAIRS for x in (a, b)], *templates.IDS]
+    values = [drawn(n, f"(SELECT {a} FROM {t})", f"(SELECT {b} FROM {t})") for n, (a, b, t) in bounds.items()] + [drawn("few", 2, 6), drawn("n", 5, 60)]
     text = "text"
-    for n in names:
-        value = "substr(p_place, 1, 6)" if n == "place" else f"p_{n}"
-        text = f"replace({text}, '{{{n}}}', {value})"
-    rows = ", ".join(f"({i}, {_q(f)}, {_q(x)})" for i, (f, x) in enumerate(templates.TEMPLATES))
-    return f"""drawn AS (SELECT s_suppkey AS draw, {", ".join(cols)} FROM supplier),
-expanded AS (
-  SELECT draw, template, family, draw * {len(templates.TEMPLATES)} + template AS position, {text} AS query_text
-  FROM drawn, (VALUES {rows}) AS v(template, family, text))"""
+    for name in [*bounds, "few", "n"]:
+        text = f"replace({text}, '{{{name}}}', CAST(v_{name} AS VARCHAR))"
+    return f"""{_PIECES}, drawn AS (SELECT s_suppkey AS draw, {", ".join(values)} FROM supplier),
+expanded AS (SELECT draw, template, family, draw * many + template AS position, {text} AS query_text FROM drawn, numbered)"""
 
 
-_add("d30_template_expansion", _expanded, f"WITH {_expanded_sql()} SELECT * FROM expanded")
+_add("d30_template_expansion", _expanded, on_stack(f"WITH {_expanded_sql()} SELECT * FROM expanded"))
 
 
 def _existing(t):
@@ -262,12 +289,12 @@ _FRESH_SQL = f"""{_expanded_sql()}, existing AS (
 fresh AS (
   SELECT query_text, min(position) AS position FROM expanded
   WHERE trim(query_text) NOT IN (SELECT trim(query_text) FROM existing) GROUP BY query_text)"""
-_add("d31_new_queries", lambda t: _fresh(t).select("position", "query_text"), f"WITH {_FRESH_SQL} SELECT position, query_text FROM fresh")
+_add("d31_new_queries", lambda t: _fresh(t).select("position", "query_text"), on_stack(f"WITH {_FRESH_SQL} SELECT position, query_text FROM fresh"))
 _add(
     "d32_continued_ids",
     lambda t: P.continue_ids(_fresh(t), t.orders.select(c("o_orderkey").alias("query_id")), [c("position")]).select("query_id", "query_text"),
-    f"""WITH {_FRESH_SQL} SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY position) AS query_id,
-         query_text FROM fresh""",
+    on_stack(f"""WITH {_FRESH_SQL} SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY position) AS query_id,
+         query_text FROM fresh"""),
 )
 
 

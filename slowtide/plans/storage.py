@@ -10,6 +10,7 @@ from slowtide.plans import fixtures as X
 from slowtide.plans.fixtures import Log
 from slowtide.plans.relational import r4
 from slowtide.plans.reports import _RUN_RESULTS_SQL, _evaluation, _run_results
+from slowtide.plans.stack import on_stack
 from slowtide.session import scratch_path
 from slowtide.sources import files
 
@@ -64,6 +65,27 @@ _add(
     f"""WITH {_DUMP_SQL} SELECT CAST(coalesce(Reputation, '0') AS INTEGER) AS reputation, count(*) AS n, count(Location) AS placed
        FROM dump WHERE Reputation IS DISTINCT FROM 'many' GROUP BY 1""",
 )
+def _dump_of(t, table):
+    """The derived posts or votes as a dump, read back and typed."""
+    path = scratch_path(t.spark, "dump")
+    shown = {name: attribute for attribute, name, *_ in files.DUMPS[table]}
+    rows = getattr(t, table).withColumn("creation_date", F.date_format("creation_date", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    if table == "votes":  # dump ids are numbers
+        rows = rows.withColumn("id", c("post_id") * 10 + c("vote_type_id"))
+    files.write_dump(rows.select(*[c(name).cast("string").alias(attribute) for name, attribute in shown.items()]), path, table)
+    return files.accepted(files.typed(files.read_dump(t.spark, path, table), table))
+
+
+_add(
+    "s02_typed_posts",
+    lambda t: _dump_of(t, "posts"),
+    on_stack("SELECT CAST(id AS INTEGER) AS id, post_type_id, CAST(owner_user_id AS INTEGER) AS owner_user_id, title, score, view_count, answer_count, CAST(creation_date AS TIMESTAMP) AS creation_date FROM posts"),
+)
+_add(
+    "s02_typed_votes",
+    lambda t: _dump_of(t, "votes"),
+    on_stack("SELECT CAST(post_id * 10 + vote_type_id AS INTEGER) AS id, CAST(post_id AS INTEGER) AS post_id, CAST(vote_type_id AS INTEGER) AS vote_type_id, CAST(creation_date AS TIMESTAMP) AS creation_date FROM votes"),
+)
 _add(
     "s04_insert_if_absent",
     # documents by text: repeated texts are the conflicting keys, benchmark texts are there already

@@ -72,10 +72,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # ---- XML dumps
 
 
-def read_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One row of strings per <row> element; an absent attribute is NULL."""
+def read_dump(spark: SparkSession, path: str, table: str, lines: bool = True) -> DataFrame:
+    """One row of strings per <row> element; an absent attribute is NULL.
+
+    Dumps have one <row> per line, so a file splits over many tasks; `lines=False` reads elements that span
+    lines, one task per file. A line that is no element gives a row of NULLs, which `typed` rejects.
+    """
     schema = ", ".join(f"_{attribute} string" for attribute, *_ in DUMPS[table])
-    rows = spark.read.format("xml").option("rowTag", "row").schema(schema).load(path)
+    if lines:
+        rows = spark.read.text(path).filter(F.ltrim("value").startswith("<row"))
+        rows = rows.select(F.from_xml("value", F.lit(schema), {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    else:
+        rows = spark.read.format("xml").option("rowTag", "row").schema(schema).load(path)
     return rows.toDF(*[attribute for attribute, *_ in DUMPS[table]])
 
 
@@ -103,8 +111,9 @@ def quarantined(rows: DataFrame) -> DataFrame:
 # ---- measurement tables
 
 
-def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MEASUREMENT).csv(path, header=True, escape='"', multiLine=True)
+def read_measurements(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A measurement CSV; files with line breaks inside a field need `multi_line`, which reads each in one task."""
+    return spark.read.schema(MEASUREMENT).csv(path, header=True, escape='"', multiLine=multi_line)
 
 
 def append_measurements(df: DataFrame, path: str, fmt: str = "parquet") -> None:

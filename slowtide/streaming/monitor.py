@@ -1,7 +1,9 @@
 """The monitor as Structured Streaming jobs over executions.
 
-Executions are rows with `query`, `ms` and an event time `ts`. All state is bounded or lies in
-written tables, and a restart continues from the checkpoint.
+Executions are rows with `query`, `ms` and an event time `ts`. A restart continues from the checkpoint.
+Windows, running means and the dashboard keep no state in the stream: each poll writes what it adds, and
+`compact` merges the parts. First-seen keys are remembered for a horizon of event time. Only the ranking of
+each poll (`statement_means` in complete mode) keeps every statement in state.
 """
 
 from __future__ import annotations
@@ -56,21 +58,49 @@ def statement_means(stream: DataFrame) -> DataFrame:
     return stream.groupBy("query").agg(F.avg("ms").alias("mean_exec_time"), F.count("*").alias("calls"))
 
 
-def slow_windows(stream: DataFrame, width: str, late: str, threshold_ms: float) -> DataFrame:
-    """Executions and slow executions per window; a window is final once the watermark has passed it."""
-    return (
-        stream.withWatermark("ts", late)
-        .groupBy(F.window("ts", width).alias("w"))
-        .agg(F.count("*").alias("n"), F.count_if(F.col("ms") > threshold_ms).alias("slow"))
-        .select(F.col("w.start").alias("start"), "n", "slow")
-    )
-
-
 def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     """Write one poll's rows in its own partition folder; a repeated poll replaces, never doubles, them."""
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def window_parts(rows: DataFrame, width: str, threshold_ms: float) -> DataFrame:
+    """Executions and slow executions per window, of the rows of one poll."""
+    grouped = rows.groupBy(F.window("ts", width).alias("w"))
+    return grouped.agg(F.count("*").alias("n"), F.count_if(F.col("ms") > threshold_ms).alias("slow")).select(F.col("w.start").alias("start"), "n", "slow")
+
+
+def mean_parts(rows: DataFrame) -> DataFrame:
+    """Sum of times and calls per statement text, of the rows of one poll."""
+    return rows.groupBy("query").agg(F.sum("ms").alias("ms"), F.count("ms").alias("timed"), F.count("*").alias("calls"))
+
+
+def keep_parts(path: str, part: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Per poll: write what its rows add. The stream itself keeps no state, and a late row counts as any other."""
+
+    def each(rows: DataFrame, batch_id: int) -> None:
+        write_batch(part(rows), batch_id, path)
+
+    return each
+
+
+def slow_windows(spark: SparkSession, path: str) -> DataFrame:
+    """All windows met so far, open ones included, from the parts of the polls."""
+    return spark.read.parquet(path).groupBy("start").agg(F.sum("n").alias("n"), F.sum("slow").alias("slow"))
+
+
+def running_means(spark: SparkSession, path: str) -> DataFrame:
+    """Mean time and calls of every statement so far, from the parts of the polls."""
+    sums = spark.read.parquet(path).groupBy("query").agg(F.sum("ms").alias("ms"), F.sum("timed").alias("timed"), F.sum("calls").alias("calls"))
+    return sums.select("query", F.try_divide("ms", "timed").alias("mean_exec_time"), "calls")
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
+    """Write the parts below `path` as one part per key below `target`, for a job that goes on there."""
+    parts = spark.read.parquet(path)
+    sums = [F.sum(c).alias(c) for c in parts.columns if c not in (*keys, "batch_id")]
+    write_batch(parts.groupBy(*keys).agg(*sums), -1, target)
+
+
 def split_valid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Executions with text and a time, and the others, so that a bad one cannot stop the stream."""
     good = F.col("query").isNotNull() & F.col("ms").isNotNull() & (F.col("ms") >= 0)

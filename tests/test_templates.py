@@ -10,6 +10,7 @@ from slowtide.operators import templates
 from slowtide.plans.stack import Stack, on_stack
 
 FOLDER = f"{DATA}/sf0.001"
+ANSWERED: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def filled(spark):
     for name in ("users", "posts", "votes"):
         getattr(stack, name).createOrReplaceTempView(name)
     draws = spark.createDataFrame([(3,)], "draw int")
-    rows = templates.expand(draws, "draw").orderBy("template").collect()
+    rows = templates.expand(draws, "draw", templates.limits(stack.users, stack.posts, stack.votes)).orderBy("template").collect()
     return [r.query_text for r in rows]
 
 
@@ -41,11 +42,21 @@ def test_template(spark, filled, con, i):
     want = sorted(tuple(map(_same, r)) for r in con.execute(on_stack(text)).fetchall())
     assert len(got) == len(want)
     assert got == want
+    if got:
+        ANSWERED.add(templates.TEMPLATES[i][0])
+
+
+def test_every_family_has_answers():
+    """Runs after the statements above."""
+    assert {f for f, _ in templates.TEMPLATES} == ANSWERED
 
 
 def test_draws_repeat_and_differ(spark):
     draws = spark.range(20).withColumnRenamed("id", "draw")
-    one = {(r.draw, r.template): r.query_text for r in templates.expand(draws, "draw").collect()}
-    two = {(r.draw, r.template): r.query_text for r in templates.expand(draws.repartition(4), "draw").collect()}
+    stack = Stack(spark, FOLDER)
+    bounds = templates.limits(stack.users, stack.posts, stack.votes)
+    one = {(r.draw, r.template): r.query_text for r in templates.expand(draws, "draw", bounds).collect()}
+    two = {(r.draw, r.template): r.query_text for r in templates.expand(draws.repartition(4), "draw", bounds).collect()}
     assert one == two
-    assert len({one[(d, 0)] for d in range(20)}) > 5
+    varied = next(i for i, (_, text) in enumerate(templates.TEMPLATES) if "{user}" in text)
+    assert len({one[(d, varied)] for d in range(20)}) > 5
