@@ -111,16 +111,38 @@ def quarantined(rows: DataFrame) -> DataFrame:
 # ---- measurement tables
 
 
+_BREAKS = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _one_line(text: Column) -> Column:
+    for plain, written in _BREAKS:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _with_breaks(text: Column) -> Column:
+    mark = F.lit("\x00")  # stands for an escaped backslash meanwhile; no text in a database holds it
+    text = F.replace(text, F.lit(_BREAKS[0][1]), mark)
+    for plain, written in _BREAKS[1:]:
+        text = F.replace(text, F.lit(written), F.lit(plain))
+    return F.replace(text, mark, F.lit("\\"))
+
+
 def read_measurements(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A measurement CSV; files with line breaks inside a field need `multi_line`, which reads each in one task."""
-    return spark.read.schema(MEASUREMENT).csv(path, header=True, escape='"', multiLine=multi_line)
+    """A measurement CSV as `append_measurements` writes it, line breaks in a statement escaped, so that files split.
+
+    `multi_line` reads foreign files with plain line breaks inside a field, each in one task.
+    """
+    rows = spark.read.schema(MEASUREMENT).csv(path, header=True, escape='"', multiLine=multi_line)
+    return rows if multi_line else rows.withColumn("query_text", _with_breaks(F.col("query_text")))
 
 
 def append_measurements(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append in the fixed column order, whatever order the frame has."""
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MEASUREMENT.fields]).write.mode("append")
     if fmt == "csv":
-        out.csv(path, header=True, escape='"')
+        lines = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MEASUREMENT.fields])
+        lines.withColumn("query_text", _one_line(F.col("query_text"))).write.mode("append").csv(path, header=True, escape='"')
     else:
         out.format(fmt).save(path)
 

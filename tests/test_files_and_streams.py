@@ -37,7 +37,7 @@ def test_dump_with_bad_rows(spark, tmp_path):
 
 def test_measurements_survive_csv(spark, tmp_path):
     path = str(tmp_path / "m")
-    text = 'SELECT "a", \'b\'\nFROM t -- x, "y"'
+    text = 'SELECT "a", \'b\'\nFROM t -- x, "y" \\n \\\\ \r'
     row = {f.name: None for f in files.MEASUREMENT.fields} | {"query_id": 7, "query_text": text, "all_runs_ms": "1.00;2.50"}
     files.append_measurements(spark.createDataFrame([tuple(row.values())], files.MEASUREMENT), path, "csv")
     back = files.read_measurements(spark, path).first()
@@ -98,7 +98,7 @@ def test_first_seen_over_restarts(spark, place):
     _feed(spark, place["in"], "b", [("q1", 1.0, "2024-01-02 00:00:00"), (long + "2", 1.0, "2024-01-02 00:00:00"), ("q2", 1.0, "2024-01-02 00:00:00")])
     _drain(stream(), each, place["check"])
     keys = [r.key for r in spark.read.parquet(place["out"]).collect()]
-    assert sorted(keys) == sorted(["q1", long[:100], "q2"])
+    assert sorted(keys) == sorted(["q1", long + "1", long + "2", "q2"])
 
 
 def test_streamed_means_equal_batch(spark, place):
@@ -115,12 +115,50 @@ def test_streamed_means_equal_batch(spark, place):
     assert polls.select("batch_id").distinct().count() == 4
 
 
-def test_windows_close_behind_the_watermark(spark, place):
+def test_windows_count_late_and_open_rows(spark, place):
     rows = [("q", float(100 + m), f"2024-01-01 0{h}:{m:02d}:00") for h in range(5) for m in (0, 20, 40)]
-    _feed(spark, place["in"], "a", rows)
-    _drain(M.slow_windows(M.executions(spark, place["in"], SCHEMA), "1 hour", "1 hour", 100.0), lambda r, i: M.write_batch(r, i, place["out"]), place["check"])
-    got = sorted((str(r.start), r.n, r.slow) for r in spark.read.parquet(place["out"]).collect())
-    assert got == [(f"2024-01-01 0{h}:00:00", 3, 2) for h in range(3)]
+    each = M.keep_parts(place["out"], lambda r: M.window_parts(r, "1 hour", 100.0))
+    for name, part in (("a", rows), ("b", [("q", 500.0, "2024-01-01 00:30:00"), ("r", 1.0, "2024-01-09 00:00:00")]), ("c", [("q", 1.0, "2024-01-01 01:30:00")])):
+        _feed(spark, place["in"], name, part)
+        _drain(M.executions(spark, place["in"], SCHEMA), each, place["check"])
+    want = [("2024-01-01 00:00:00", 4, 3), ("2024-01-01 01:00:00", 4, 2)] + [(f"2024-01-01 0{h}:00:00", 3, 2) for h in (2, 3, 4)] + [("2024-01-09 00:00:00", 1, 0)]
+    assert sorted((str(r.start), r.n, r.slow) for r in M.slow_windows(spark, place["out"]).collect()) == want
+    M.compact(spark, place["out"], ["start"], place["parts"])
+    assert sorted((str(r.start), r.n, r.slow) for r in M.slow_windows(spark, place["parts"]).collect()) == want
+
+
+def test_running_means_from_parts(spark, place):
+    each = M.keep_parts(place["out"], M.mean_parts)
+    for i, part in enumerate([[("q", 10.0), ("q", None), ("r", None)], [("q", 20.0)]]):
+        each(spark.createDataFrame(part, "query string, ms double"), i)
+    each(spark.createDataFrame([("q", 20.0)], "query string, ms double"), 1)  # a repeated poll
+    assert {tuple(r) for r in M.running_means(spark, place["out"]).collect()} == {("q", 15.0, 3), ("r", None, 1)}
+
+
+def test_files_split_over_tasks(spark, tmp_path):
+    rows = spark.range(4000).select(c("id").cast("string").alias("Id"), F.lit("a & b").alias("DisplayName"), F.lit(None).cast("string").alias("Location"), F.lit("5").alias("Reputation"), F.lit("2010-07-19T06:55:26.860").alias("CreationDate"))
+    files.write_dump(rows.coalesce(1), str(tmp_path / "dump"), "users")
+    measured = spark.range(4000).select(*[(c("id") if f.name == "query_id" else F.lit("1")).cast(f.dataType).alias(f.name) for f in files.MEASUREMENT])
+    files.append_measurements(measured.coalesce(1), str(tmp_path / "csv"), "csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        for read in (files.read_dump(spark, str(tmp_path / "dump"), "users"), files.read_measurements(spark, str(tmp_path / "csv"))):
+            assert read.rdd.getNumPartitions() > 2 and read.count() == 4000
+        typed = files.accepted(files.typed(files.read_dump(spark, str(tmp_path / "dump"), "users"), "users"))
+        assert typed.filter("display_name = 'a & b' and reputation = 5 and location is null").count() == 4000
+        whole = files.read_dump(spark, str(tmp_path / "dump"), "users", lines=False)
+        assert sorted(r.Id for r in whole.collect()) == sorted(str(i) for i in range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_corrupt_records_are_set_aside(spark, tmp_path):
+    path = tmp_path / "log"
+    path.mkdir()
+    (path / "a.json").write_text('{"type": "x", "query": "q"}\n{"type": "cut\n{"type": "y", "calls": "many"}\n')
+    assert [r.type for r in files.read_log(spark, str(path)).collect()] == ["x"]
+    assert sorted(r.raw for r in files.rejected_log(spark, str(path)).collect()) == ['{"type": "cut', '{"type": "y", "calls": "many"}']
+    assert files.rejected_log(spark, str(tmp_path / "none")).collect() == []
 
 
 def test_bad_rows_do_not_stop_the_stream(spark, place, tmp_path):

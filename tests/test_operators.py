@@ -276,13 +276,74 @@ def test_verify_only_promising(spark):
         [("a", "qa", 100.0, 60.0, 1), ("b", "qb", 100.0, -5.0, 1), ("a", "qz", 100.0, 5.0, 2)],
         "stmt string, sql string, mean double, predicted_speedup_ms double, rank int",
     ).withColumn("query", c("stmt"))
-    measured = spark.createDataFrame([("qa", 55.25, 40.04), ("qb", 1.0, 1.0)], "sql string, cold_ms double, warm_ms double")
+    measured = spark.createDataFrame(
+        [("a", "qa", 55.25, 40.04, [1.0]), ("b", "qb", 1.0, 1.0, [1.0])], "stmt string, sql string, cold_ms double, warm_ms double, all_runs_ms array<double>"
+    )
     out = C.verify(ranked, measured, "stmt", "mean")
     got = {r.stmt: (r.verified_cold_ms, r.verified_warm_ms, r.measured_speedup_ms) for r in out.collect()}
     assert got == {"a": (55.2, 40.0, 60.0), "b": (None, None, None)}
     assert [(r.slow_query, r.fix, r.speedup_ms) for r in C.wins(out).collect()] == [("a", "qa", 60.0)]
 
 
+def test_verify_of_a_shared_rewrite(spark):
+    ranked = spark.createDataFrame([("a", "qa", 100.0, 60.0, 1, "s"), ("b", "qb", 100.0, 60.0, 1, "s")], "stmt string, query string, base double, predicted_speedup_ms double, rank int, sql string")
+    measured = spark.createDataFrame([("a", "s", 1.0, 2.0, [1.0, 2.0]), ("b", "s", 3.0, 4.0, [3.0])], "stmt string, sql string, cold_ms double, warm_ms double, all_runs_ms array<double>")
+    got = {r.stmt: (r.verified_warm_ms, r.all_runs_ms) for r in C.verify(ranked, measured, "stmt", "base").collect()}
+    assert got == {"a": (2.0, [1.0, 2.0]), "b": (4.0, [3.0])} and C.verify(ranked, measured, "stmt", "base").count() == 2
+
+
+def test_nulls_come_last_in_lag_and_first_among_leaders(spark):
+    df = spark.createDataFrame([("k", 1, None, 10), ("k", 2, 5, 20), ("k", 3, 4, None), ("j", 4, None, 7)], "k string, id int, at int, score int")
+    lag = {r.id: r.before for r in ordered.previous(df, ["k"], ["at", "id"], "score", "before").collect()}
+    assert lag == {3: None, 2: None, 1: 20, 4: None}
+    lead = {r.id: r.best for r in windows.leader(df, "k", "score", "id", "id", "best").collect()}
+    assert lead == {1: 3, 2: 3, 3: 3, 4: 4}
+    named = df.withColumn("name", F.concat(F.lit("n"), c("id").cast("string"))).withColumn("score", F.lit(1))
+    assert {r.best for r in windows.leader(named.filter("k = 'k'"), "k", "score", "name", "name", "best").collect()} == {"n1"}
+
+
+def test_repeated_lookup_ids_are_refused(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0])], "lookup_id bigint, vector array<double>")
+    history = spark.createDataFrame([(1, [1.0, 0.0])], "entry_id bigint, vector array<double>")
+    with pytest.raises(ValueError):
+        vectors.similar_fixes(rows, history)
+
+
+def test_unreadable_plans_are_told_apart(spark):
+    from slowtide.functions.plantree import plan_rejected
+
+    deep = '{"Plans": [' * 600 + "{}" + "]}" * 600
+    df = spark.createDataFrame([('{"Plan": {}}',), ("{cut",), (None,), (deep,)], "d string").coalesce(1)
+    assert [r[0] for r in df.select(plan_rejected(c("d"))).collect()] == [False, True, False, True]
+
+
+def test_grid_keeps_large_integers(spark):
+    from slowtide.operators.aggregates import aggregate_grid
+
+    users = spark.createDataFrame([(1, "x", "n", 1)], "id int, location string, display_name string, reputation int")
+    posts = spark.createDataFrame([(1, 1, 1, 2**53), (2, 1, 1, 1)], "id int, owner_user_id int, post_type_id int, score long")
+    votes = spark.createDataFrame([(1, 1), (2, 2)], "id int, post_id int")
+    got = aggregate_grid(users, posts, votes, ["SUM", "AVG", "COUNT"], ["score"], ["u_location", "post_type_id"]).collect()
+    assert {(r.key_name, r.key_value, r.function): r.whole for r in got if r.function != "AVG"} == {
+        (k, v, f): n for k, v in (("u_location", "x"), ("post_type_id", "1")) for f, n in (("SUM", 2**53 + 1), ("COUNT", 2))
+    }
+
+
+def test_scratch_is_removed(spark):
+    import os
+
+    from slowtide import session
+
+    frame = session.materialize(spark.range(3), "three")
+    path = session._written[spark.sparkContext.applicationId][-1].removeprefix("file:")
+    assert frame.count() == 3 and os.path.isdir(path)
+    kept = session._written[spark.sparkContext.applicationId][:-1]
+    session._written[spark.sparkContext.applicationId] = [path]
+    session.remove_scratch(spark)
+    session._written[spark.sparkContext.applicationId] = kept
+    assert not os.path.exists(path)
+
+
 def test_same_rows(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "i int, s string")
     b = spark.createDataFrame([(2, "x"), (1, None), (1, None)], "i int, s string")

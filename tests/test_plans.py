@@ -28,7 +28,10 @@ def test_no_products_and_no_python(spark, name):
 
 
 # one row per slice, per kept rank, or per opened pair: bounded by a parameter
-BOUNDED_WINDOW = {"j10_self_join_posts", "j10_self_join_locations", "w03_ntile", "w07_rank_filtered"}
+BOUNDED_WINDOW = {
+    "j10_self_join_posts", "j10_self_join_locations", "w03_ntile", "w07_rank_filtered",
+    "o05_order_by_aggregate", "o06_order_by_expression", "o07_mixed_directions", "o08_order_by_hidden_column", "o08_order_by_nullable",
+}
 
 
 @pytest.mark.parametrize("name", [n for n in RELATIONAL if n not in BOUNDED_WINDOW])
