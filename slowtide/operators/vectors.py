@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slowtide.session import ship
+
 # Fixed value: a hit must be more similar than this.
 SIMILAR = 0.7
 # rows of one matrix product
@@ -48,6 +50,7 @@ def similar_fixes(
     entries of each lookup. No pair is emitted otherwise, and no side is broadcast. Larger blocks
     shuffle less and need more memory: a block is held as doubles.
     """
+    ship(lookups.sparkSession)
     rows = max(1, int(block_rows))
     sizes = []
     for side, name in ((lookups, "lookup_id"), (history, "entry_id")):

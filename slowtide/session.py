@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
 #: Paths handed out by `scratch_path`, by application.
 _written: dict[str, list[str]] = {}
 
@@ -66,3 +69,18 @@ def materialize(df, label: str):
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def ship(spark) -> None:
+    """Give the executors this package, whatever folder the driver was started in (once a session)."""
+    context = spark.sparkContext
+    if getattr(context, "shipped_package__", False):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(PACKAGE):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(PACKAGE)))
+    context.addPyFile(path)
+    context.shipped_package__ = True
