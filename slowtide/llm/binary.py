@@ -25,9 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import pick, ship
+from slowtide.llm.common import pick
 from slowtide.llm.tokens import encoded, encoder
-from slowtide.session import materialize
+from slowtide.session import materialize, ship
 
 MAGIC = b"FWIDS\x00\x00\x01"
 HEADER = struct.Struct("<8sHHIQQII")

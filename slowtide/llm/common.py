@@ -1,35 +1,13 @@
-"""Shared helpers: exact column picking, UTF-8 views of Arrow columns, bounded chunks, code shipping."""
+"""Shared helpers: exact column picking, UTF-8 views of Arrow columns, bounded chunks."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-
-
-def ship(spark) -> None:
-    """Give the executors this package, whatever folder the driver was started in (once a session)."""
-    context = spark.sparkContext
-    if getattr(context, "shipped_package__", False):
-        return
-    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "package.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(PACKAGE):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.relpath(full, os.path.dirname(PACKAGE)))
-    context.addPyFile(path)
-    context.shipped_package__ = True
-
-
 def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The frame with columns in0__, in1__, .. and where each old name went.
 

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import chunks, pick, ship, text_bytes
+from slowtide.llm.common import chunks, pick, text_bytes
+from slowtide.session import ship
 
 UNKNOWN = "und"
 HOLD_OUT = 5

@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import pick, ship
-from slowtide.session import materialize
+from slowtide.llm.common import pick
+from slowtide.session import materialize, ship
 
 SCALE = 1024
 EVERY = 100

@@ -24,9 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import chunks, numbered, pick, ship, text_bytes
+from slowtide.llm.common import chunks, numbered, pick, text_bytes
 from slowtide.llm.components import components
-from slowtide.session import materialize
+from slowtide.session import materialize, ship
 
 SHINGLE = 3
 SEED = 42

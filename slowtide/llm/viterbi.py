@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from slowtide.llm.common import pick, ship, text_bytes
+from slowtide.llm.common import pick, text_bytes
 from slowtide.llm.tokens import Encoder, encoded, encoder
+from slowtide.session import ship
 
 SPACE = "▁"
 UNKNOWN = 10.0
