@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide.functions.numeric import log_ms_to_ms, sigmoid
@@ -12,6 +12,10 @@ from slowtide.functions.plantree import PLAN_FEATURES
 from slowtide.functions.text import TEXT_FEATURES
 
 FEATURES = TEXT_FEATURES + PLAN_FEATURES
+SAVED = (
+    "features array<string>, means array<double>, scales array<double>, slow_weights array<double>, slow_bias double, "
+    "log_weights array<double>, log_bias double"
+)
 
 
 @dataclass(frozen=True)
@@ -26,6 +30,14 @@ class Scorer:
     log_weights: list[float]
     log_bias: float
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the coefficients as one Parquet row, so that training and scoring can be two jobs."""
+        spark.createDataFrame([tuple(asdict(self).values())], SAVED).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Scorer:
+        return cls(**spark.read.schema(SAVED).parquet(path).first().asDict())
+
     def _linear(self, weights: list[float], bias: float) -> Column:
         out = F.lit(float(bias))
         for name, mean, scale, weight in zip(self.features, self.means, self.scales, weights, strict=True):

@@ -527,6 +527,12 @@ def test_scorer_learns_and_clips(spark):
     assert [r.ms for r in top] == [pytest.approx(9995.6, abs=0.1), pytest.approx(-0.632, abs=0.001)]
 
 
+def test_scorer_is_saved_and_loaded(spark, tmp_path):
+    one = Scorer(["a", "b"], [1.0, 2.0], [3.0, 0.1], [0.25, -1e-9], 0.5, [1 / 3, 2.0], -7.0)
+    one.save(spark, str(tmp_path / "s"))
+    assert Scorer.load(spark, str(tmp_path / "s")) == one
+
+
 def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([("a", 5.0)] * 3 + [("b", 0.0), ("b", 100.0)], "k string, v double")
     got = sorted((r.k, r.bin, r.n) for r in metrics.log_histogram(df, "k", "v").collect())
