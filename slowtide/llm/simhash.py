@@ -1,6 +1,7 @@
 """Near duplicates by SimHash: a binary trie joined with itself.
 
-Every text gets a 64-bit fingerprint of its 3-word shingles. The distinct fingerprints form a binary trie,
+Every text gets a 64-bit fingerprint of its 3-word shingles, with `lower` (as in `op4_simhash` and the pipeline) of
+the text with A-Z, and no other letters, in lower case. The distinct fingerprints form a binary trie,
 cut into subtrees of at most `SUBTREE` fingerprints; a subtree that holds more (a cluster of near copies) is
 cut deeper, so no task gets an unbounded one. Spark walks pairs of trie nodes together from the root, `STEP`
 bits a level, adds up the bits in which the two paths differ, and drops a pair once they exceed the budget.
@@ -39,8 +40,8 @@ CHUNK = 4 << 20
 PAIRS = 1 << 17
 
 
-def fingerprint(text: bytes) -> int:
-    words = text.split()
+def fingerprint(text: bytes, lower: bool = False) -> int:
+    words = (text.lower() if lower else text).split()  # lower() of bytes folds A-Z only
     if not words:
         return 0
     if len(words) < SHINGLE:
@@ -52,7 +53,7 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), lower: bool = False) -> DataFrame:
     """The columns in `keep` and the fingerprint, as a signed bigint, of every row."""
     ship(docs.sparkSession)
     source = docs.select(*dict.fromkeys([*keep, text]))
@@ -63,7 +64,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             data, offsets = text_bytes(batch.column(text))
             for a, b in chunks(offsets, CHUNK):
                 whole, ends = data[offsets[a] : offsets[b]].tobytes(), (offsets[a : b + 1] - offsets[a]).tolist()
-                found = np.fromiter((fingerprint(whole[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)), np.uint64, b - a)
+                found = np.fromiter((fingerprint(whole[i:j], lower) for i, j in zip(ends[:-1], ends[1:], strict=True)), np.uint64, b - a)
                 yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(a, b - a) for k in kept], pa.array(found.view(np.int64))], names=[*kept, "print"])
 
     return source.mapInArrow(rows, source.select(*kept).schema.add("print", "long"))
@@ -271,13 +272,13 @@ def links(prints: DataFrame, most: int = SUBTREE) -> DataFrame:
     return inner.union(pairs.select("a_prints", "a_first", "b_prints", "b_first").mapInArrow(_across, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lower: bool = False) -> DataFrame:
     """(doc_id, text_hash, print, root, component_id, first) of every row.
 
     `root` names the component; `first` is its first row as (no id, doc_id, text_hash), ids before none.
     """
     marked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
-    rows = materialize(fingerprints(marked, keep=("doc_id", "text_hash")), "prints")
+    rows = materialize(fingerprints(marked, keep=("doc_id", "text_hash"), lower=lower), "prints")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
     firsts = materialize(rows.groupBy("print").agg(least.alias("first")), "firsts")
     roots = components(links(firsts.select("print")))
@@ -287,10 +288,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     return rows.join(classes, "print").select("doc_id", "text_hash", "print", "root", F.col("first.doc_id").alias("component_id"), "first")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lower: bool = False) -> DataFrame:
     """The rows of `docs`, all columns, without all but the first row of each component."""
     plain, at = numbered(docs)
-    found = near_duplicates(plain, at[text], at[doc_id])
+    found = near_duplicates(plain, at[text], at[doc_id], lower)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = found.filter(F.col("first") == first).select(
         F.col("doc_id").isNull().alias("no_id__"), F.coalesce("doc_id", F.lit(0)).alias("id__"), F.col("text_hash").alias("hash__")
@@ -309,5 +310,5 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
-    found = near_duplicates(pick(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text"))
+    found = near_duplicates(pick(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text"), lower=True)
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
