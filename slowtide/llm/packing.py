@@ -1,11 +1,12 @@
 """Packing token sequences by patterns of a few lengths, fitted with non-negative least squares.
 
 Texts become pieces of at most `LIMIT` ids (only longer texts are cut). The histogram of piece lengths, which
-has at most `LIMIT` rows whatever the input, goes to the driver. There, patterns of two and three lengths that
-fill a sequence exactly are enumerated; multiplicative updates fit non-negative repeat counts whose use of each
-length comes nearest to the histogram; counts are rounded down, and what is left over is packed best fit decreasing,
-again on counts. The plan (how often each pattern is used) is bounded by the number of
-patterns. Spark then gives the k-th piece of a length its place: pieces are numbered within length by task and
+has at most `LIMIT` rows whatever the input, goes to the driver. There, all patterns of two and three lengths that
+fill a sequence exactly are enumerated (about 350,000 at most); multiplicative updates fit non-negative repeat counts
+whose use of each length comes nearest to the histogram; counts are rounded down. The same is tried with patterns that
+leave some waste, over the `HOT` most frequent lengths left, and what is left over then is packed best fit decreasing,
+again on counts; the plan of fewest sequences counts. Patterns of four or more lengths come from best fit only. The plan
+(how often each pattern is used) is bounded by the number of patterns. Spark then gives the k-th piece of a length its place: pieces are numbered within length by task and
 then by the tasks before, so a length that most pieces share is still spread over all tasks.
 
 Edge cases: a null or empty text is its end id alone. Repeated rows and null ids are packed like any other. An
@@ -29,25 +30,38 @@ from slowtide.session import materialize, ship
 
 LIMIT = 2048
 END = 0
-#: One in so many triples of lengths is a pattern.
-EVERY = 8
+#: So many of the most frequent lengths that the exact patterns leave over form patterns with some waste ..
+HOT = 96
+#: .. of at most this share of a sequence, each tried.
+WASTES = (32, 8)
 ROUNDS = 300
 
 
-def patterns(counts: np.ndarray, limit: int = LIMIT, every: int = EVERY) -> np.ndarray:
-    """Rows of three lengths (0: none) that occur and add up to the limit."""
+def patterns(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
+    """All rows of two or three lengths (0: none) that occur and add up to the limit."""
     have = np.flatnonzero(counts[:limit])
     have = have[have > 0]
     a, b = np.meshgrid(have, have, indexing="ij")
     a, b = a[a <= b], b[a <= b]
     c = limit - a - b
-    three = (c >= b) & ((7 * a + 13 * b) % every == 0)
+    three = c >= b
     three[three] = counts[c[three]] > 0
     pair = have[(2 * have <= limit)]
     pair = pair[counts[limit - pair] > 0]
     return np.concatenate([np.stack([a[three], b[three], c[three]], axis=1), np.stack([pair, limit - pair, np.zeros_like(pair)], axis=1)]).astype(np.int64)
 
 
+def loose(counts: np.ndarray, waste: int, limit: int = LIMIT, hot: int = HOT) -> np.ndarray:
+    """Rows of two or three of the `hot` most frequent lengths (0: none) that leave at most `waste` of the limit."""
+    have = np.flatnonzero(counts[:limit])
+    have = have[have > 0]
+    have = np.sort(have[np.argsort(-counts[have], kind="stable")[:hot]])
+    a, b, c = (x.ravel() for x in np.meshgrid(np.append(0, have), have, have, indexing="ij"))
+    total = a + b + c
+    fits = (a <= b) & (b <= c) & (total <= limit) & (total >= limit - waste)
+    return np.stack([c[fits], b[fits], a[fits]], axis=1).astype(np.int64)
+
+
 def repeats(found: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Non-negative counts x of the patterns that bring the lengths they use near `counts`, by least squares.
 
@@ -107,15 +121,10 @@ def best_fit(left: np.ndarray, limit: int = LIMIT) -> list[tuple[tuple[int, ...]
     return done + [x for gap in gaps for x in open_at[gap]]
 
 
-def plan(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, times) of all sequences; each length is used as often as it occurs."""
-    left = counts.astype(np.int64).copy()
-    out = [((limit,), int(left[limit]))] if left[limit] else []
-    left[limit] = 0
-    found = patterns(left, limit)
-    x = repeats(found, left)
+def _take(found: np.ndarray, left: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Fitted repeats of the patterns, taken off `left`."""
     # rounded down: what is left over then keeps short pieces to go with the long ones
-    whole = np.floor(x + 1e-9).astype(np.int64)
+    whole, out = np.floor(repeats(found, left) + 1e-9).astype(np.int64), []
     for k in np.flatnonzero(whole).tolist():
         lengths = tuple(v for v in found[k].tolist() if v)
         times = min([int(whole[k]), *[int(left[v]) // lengths.count(v) for v in lengths]])
@@ -123,7 +132,24 @@ def plan(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[tuple[int, ...],
             for v in lengths:
                 left[v] -= times
             out.append((lengths, times))
-    return out + best_fit(left, limit)
+    return out
+
+
+def plan(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths, times) of all sequences; each length is used as often as it occurs.
+
+    The one of fewest sequences of: best fit decreasing alone, after the exact patterns, and after those and loose ones.
+    """
+    left = counts.astype(np.int64).copy()
+    full = [((limit,), int(left[limit]))] if left[limit] else []
+    left[limit] = 0
+    made = [best_fit(left, limit)]
+    exact = _take(patterns(left, limit), left)
+    made.append(exact + best_fit(left, limit))
+    for share in WASTES:
+        rest = left.copy()
+        made.append(exact + _take(loose(rest, limit // share, limit), rest) + best_fit(rest, limit))
+    return full + min(made, key=lambda m: sum(times for _, times in m))
 
 
 def _places(made: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,10 +1,11 @@
 """Cases of the second review: what the operators did only in part."""
 
+import numpy as np
 import plain
 import pytest
 
 import corpus_pipeline
-from slowtide.llm import simhash
+from slowtide.llm import packing, simhash
 
 
 def test_simhash_folds_a_to_z_only(spark, tmp_path):
@@ -16,3 +17,16 @@ def test_simhash_folds_a_to_z_only(spark, tmp_path):
     assert got[4][0] == plain.fingerprint("É " + text.lower()) and got[5][0] == plain.fingerprint("é " + text.lower())
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows[:3], "doc_id long, text string"), str(tmp_path))
     assert [r["doc_id"] for r in kept.collect()] == [1]
+
+
+@pytest.mark.parametrize("lengths", [(500, 600, 948), (500, 600, 940), (500, 600, 800)])
+def test_hot_lengths_keep_their_pattern(lengths):
+    counts = np.zeros(2049, np.int64)
+    counts[list(lengths)] = 1000
+    made = packing.plan(counts)
+    assert sum(times for _, times in made) <= 1000
+    used = np.zeros(2049, np.int64)
+    for pattern, times in made:
+        assert sum(pattern) <= 2048 and times > 0
+        np.add.at(used, list(pattern), times)
+    assert (used == counts).all()
