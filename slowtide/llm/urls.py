@@ -1,12 +1,12 @@
 """URL filter: host and path rules, and gradient-boosted trees on lexical features for all other URLs.
 
-URLs that a rule decides are the labelled ones. The trees learn from at most `SAMPLE` of them, chosen by the hash
-of the URL, and judge every URL without a rule. Features: lengths of URL, host and path, depth, host labels,
-share of digits, character entropy, number of parameters, a fragment flag, and statistics of the host's suffix
-(its last two labels): how often it is met among labelled URLs and its smoothed share of blocked ones. Half of the
-sample gives the suffix statistics and the other half trains the trees, so no row sees its own label.
+URLs that a rule decides are the labelled ones. The trees learn from at most `SAMPLE` distinct ones, chosen by the hash
+of the URL within each class, and judge every URL without a rule. Features: lengths of URL, host and path, depth, host
+labels, share of digits, character entropy, number of parameters, a fragment flag, and statistics of the host's suffix
+(its last two labels): how often it is met among all labelled URLs and its smoothed share of blocked ones. For a training
+row, the fold (by the hash of the URL) that it is in is left out of them, so no row sees its own label.
 
-Everything is Spark SQL and MLlib. The suffix table has at most `SAMPLE` rows, hence its broadcast.
+Everything is Spark SQL and MLlib. The suffix table grows with the input and is joined without a hint.
 
 Edge cases: a null URL, or one without `://`, has an empty host and path, no rule, and is judged on its
 features; with one class or no labelled URL there is nothing to learn, and the verdict is that class (`allow` for
@@ -34,6 +34,8 @@ RULES = [
 SAMPLE = 20_000
 TREES = 20
 DEPTH = 3
+#: Rows learn from the suffix statistics of the folds they are not in.
+FOLDS = 5
 #: Weight of the overall share in a suffix's share.
 PRIOR = 20.0
 
@@ -107,12 +109,30 @@ def described(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFr
     )
 
 
-def _with_suffix(rows: DataFrame, suffixes: DataFrame, share: float) -> DataFrame:
-    known = F.broadcast(suffixes.select("suffix", F.col("seen").alias("seen__"), F.col("blocked").alias("blocked__")))
-    seen, blocked = F.coalesce("seen__", F.lit(0)), F.coalesce("blocked__", F.lit(0))
-    return rows.join(known, "suffix", "left").select(
-        *rows.columns, F.log1p(seen).alias("suffix_seen"), ((blocked + PRIOR * share) / (seen + PRIOR)).alias("suffix_blocked")
-    )
+def suffix_counts(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(suffix, seen, blocked) over all labelled rows, and the same by fold of the URL."""
+    by_fold = materialize(labelled.groupBy("suffix", "fold").agg(F.count("*").alias("seen"), F.sum("label").alias("blocked")), "suffixes")
+    return by_fold.groupBy("suffix").agg(F.sum("seen").alias("seen__"), F.sum("blocked").alias("blocked__")), by_fold
+
+
+def _with_suffix(rows: DataFrame, suffixes: DataFrame, share: float, without: DataFrame | None = None) -> DataFrame:
+    """Adds the statistics of the suffix; those of the row's own fold, `without`, are left out."""
+    joined = rows.join(suffixes, "suffix", "left")
+    seen, blocked = F.coalesce("seen__", F.lit(0)), F.coalesce("blocked__", F.lit(0.0))
+    if without is not None:
+        own = without.select("suffix", "fold", F.col("seen").alias("own_seen__"), F.col("blocked").alias("own_blocked__"))
+        joined = joined.join(own, ["suffix", "fold"], "left")
+        seen, blocked = seen - F.coalesce("own_seen__", F.lit(0)), blocked - F.coalesce("own_blocked__", F.lit(0.0))
+    return joined.select(*rows.columns, F.log1p(seen).alias("suffix_seen"), ((blocked + PRIOR * share) / (seen + PRIOR)).alias("suffix_blocked"))
+
+
+def training_sample(labelled: DataFrame, most: int) -> tuple[DataFrame, int, int]:
+    """At most `most` distinct labelled URLs by their hash, half of them of each class if there are so many; rows of each class."""
+    distinct = labelled.drop("page_id", "host", "path", "rule", "ruled").distinct()
+    picked = [materialize(distinct.filter(F.col("label") == c).orderBy("url_hash").limit(most), "urls") for c in (0, 1)]
+    n = [p.count() for p in picked]
+    sizes = [min(n[c], max(most // 2, most - n[1 - c])) for c in (0, 1)]
+    return picked[0].orderBy("url_hash").limit(sizes[0]).union(picked[1].orderBy("url_hash").limit(sizes[1])), sizes[0], sizes[1]
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, most: int = SAMPLE) -> DataFrame:
@@ -123,22 +143,21 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, most:
 
     rows = described(pages, rules)
     labelled = rows.filter("ruled is not null").withColumn("label", (F.col("ruled") == "block").cast("double"))
-    sample = materialize(labelled.orderBy("url_hash", "page_id").limit(most), "urls")
-    totals = sample.agg(F.count("*"), F.sum("label")).first()
-    n, blocked = totals[0], totals[1] or 0
+    labelled = labelled.withColumn("fold", F.pmod(F.shiftright("url_hash", 7), F.lit(FOLDS)))
+    suffixes, by_fold = suffix_counts(labelled)
+    totals = by_fold.agg(F.sum("seen"), F.sum("blocked")).first()
+    n, blocked = totals[0] or 0, totals[1] or 0
     columns = ["page_id", "host", "path", "rule"]
     if blocked in (0, n):
         only = "block" if n and blocked == n else "allow"
         return rows.select(*columns, F.coalesce("ruled", F.lit(only)).alias("verdict"), F.lit(float(only == "block")).alias("score"))
     share = blocked / n
-    half = F.pmod(F.shiftright("url_hash", 7), F.lit(2))
-    suffixes = materialize(sample.filter(half == 0).groupBy("suffix").agg(F.count("*").alias("seen"), F.sum("label").alias("blocked")), "suffixes")
-    taught = _with_suffix(sample.filter(half == 1), suffixes, share)
+    sample, n_allow, n_block = training_sample(labelled, most)
+    taught = _with_suffix(sample, suffixes, share, by_fold)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    if taught.select("label").distinct().count() < 2:  # a tiny sample: use all of it
-        taught = _with_suffix(sample, suffixes, share)
     # both classes weigh the same, so that a rare one is not simply outvoted
-    taught = taught.withColumn("weight", F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share)))
+    both = n_allow + n_block
+    taught = taught.withColumn("weight", F.when(F.col("label") == 1, 0.5 * both / n_block).otherwise(0.5 * both / n_allow))
     trees = GBTClassifier(weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(vectors.transform(taught))
     scored = trees.transform(vectors.transform(_with_suffix(rows, suffixes, share)))
     score = vector_to_array("probability")[1]
