@@ -8,7 +8,8 @@ template's words that lie in a shared run must reach the template's coverage. Th
 themselves when the hashes meet, so no hash can mislead.
 
 Base phrases are templates without slack that must be covered whole. Templates of one family (versions of a license)
-differ in a word or two; in a text, only those of the family with the best coverage count.
+differ in a word or two; of spans of a family that share words of a text, only those with the best coverage count, and
+spans at other places keep their labels.
 
 Bounds: the templates are constants, hence their broadcast; a text is never shuffled, only its votes, which are added
 up per task first. Edge cases: a null or empty text has no words and no labels (empty strings, score 0, null places).
@@ -137,15 +138,22 @@ def spans(docs: DataFrame) -> DataFrame:
         )
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda t: F.sequence(t, t + K - 1)))))
-    best = Window.partitionBy("doc_id", "text_hash", "family")
-    return (
+    span = F.struct((-F.col("coverage")).alias("order"), "first_word", "last_word", "label", "coverage")
+    verified = (
         merged.withColumn("coverage", covered / F.col("size"))
         .filter("coverage >= least")
-        .withColumn("best", F.max("coverage").over(best))
-        .filter("coverage = best")
-        .select("doc_id", "text_hash", "label", "family", "base", "coverage", "first_word", "last_word")
+        .groupBy("doc_id", "text_hash", "family", "base")
+        .agg(F.array_sort(F.collect_list(span)).alias("all"), F.min("coverage").alias("low"), F.max("coverage").alias("high"))
     )
 
+    def beaten(kept, s):
+        return F.exists(kept, lambda x: (x["coverage"] > s["coverage"]) & (x["first_word"] <= s["last_word"]) & (s["first_word"] <= x["last_word"]))
+
+    # best coverage first, so only spans that stay can beat others
+    best = F.aggregate("all", F.slice("all", 1, 0), lambda kept, s: F.when(beaten(kept, s), kept).otherwise(F.concat(kept, F.array(s))))
+    kept = verified.select("doc_id", "text_hash", "family", "base", F.explode(F.when(F.col("low") == F.col("high"), F.col("all")).otherwise(best)).alias("s"))
+    return kept.select("doc_id", "text_hash", "s.label", "family", "base", "s.coverage", "s.first_word", "s.last_word")
+
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document with its labels."""
