@@ -127,7 +127,7 @@ def captures_of(pages: DataFrame) -> DataFrame:
                {"content-type": F.when(front, html), "etag": front_tag, "cache-control": age, "date": (at + 1).cast("string"), "set-cookie": text("c=", F.col("page_id"))}),
         record(2, F.concat("url", F.lit("#again")), at + 5, F.lit("revisit"), again_tag, F.lit(None).cast("string"), F.lit(None).cast("string"), {"etag": again_tag, "date": (at + 5).cast("string")}),
     ]
-    return p.select("page_id", F.explode(F.array(*records)).alias("r")).filter("r.record_id % 4 <> 2 or page_id % 3 = 1").select("r.*")
+    return p.select("page_id", F.posexplode(F.array(*records)).alias("number", "r")).filter("number <> 2 or coalesce(page_id % 3 = 1, false)").select("r.*")
 
 
 def op3_warc_revisits(spark, sf_dir: str) -> DataFrame:
