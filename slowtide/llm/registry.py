@@ -16,6 +16,7 @@ _PLACES = {
     "op10_sentencepiece": ("viterbi", "op10_sentencepiece"),
     "op9_top_k": ("nearest", "op9_top_k"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
+    "op11_pairwise_quality": ("ranking", "op11_pairwise_quality"),
 }
 
 
