@@ -17,6 +17,7 @@ _PLACES = {
     "op9_top_k": ("nearest", "op9_top_k"),
     "op8_quality_rules": ("quality", "op8_quality_rules"),
     "op11_pairwise_quality": ("ranking", "op11_pairwise_quality"),
+    "op12_conversation_repair": ("repair", "op12_conversation_repair"),
 }
 
 
