@@ -18,6 +18,7 @@ _PLACES = {
     "op8_quality_rules": ("quality", "op8_quality_rules"),
     "op11_pairwise_quality": ("ranking", "op11_pairwise_quality"),
     "op12_conversation_repair": ("repair", "op12_conversation_repair"),
+    "op13_prefix_trie": ("trie", "op13_prefix_trie"),
 }
 
 

@@ -10,7 +10,7 @@ from collections import defaultdict
 
 import pytest
 
-from slowtide.llm import repair
+from slowtide.llm import repair, trie
 
 SCHEMA = "Text string, conv_id long, turn long, role string, text string, kind string, place string, cost string"
 
@@ -186,3 +186,76 @@ def test_repair_of_nothing(spark):
     empty = frame(spark, [(1, 1, "user", "x")]).filter("false")
     assert repair.report(repair.damaged(empty), repair._integers(empty)).count() == 0
     assert repair.repair(empty).count() == 0
+
+
+# trie
+
+
+def rebuilt_plain(rows):
+    by = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            by[conv].append((turn is not None, turn or 0, hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest(), role, text))
+    first = {c: [r[3:] for r in sorted(v)] for c, v in by.items()}
+    out = {}
+    for c, own in first.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        donor = c - (c % 100 if c >= 0 else -(-c % 100))
+        out[c] = first.get(donor, [])[:h] + own[h:]
+    return out
+
+
+def plain_trie(paths):
+    groups = defaultdict(list)
+    for c, turns in paths.items():
+        for d in range(len(turns) + 1):
+            groups[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for p in groups:
+        if p:
+            children[p[:-1]].append(p)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for p, convs in groups.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(convs) - 1) * len(p[-1][1]) if p else 0
+    ends = {p: ",".join(map(str, sorted(c for c in convs if len(paths[c]) == len(p)))) for p, convs in groups.items()}
+    return sorted(
+        (min(convs), len(p), min(groups[p[:-1]]) if p else None, len(convs), len(children[p]), leaves[p], saved[p], hashlib.sha256(ends[p].encode()).hexdigest())
+        for p, convs in groups.items()
+    )
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+@pytest.mark.parametrize("which", ["table", "awkward", "nested"])
+def test_trie(spark, which):
+    if which == "table":
+        rows = [tuple(r) for r in conversations(spark).select("conv_id", "turn", "role", "text").collect()]
+    elif which == "awkward":
+        rows = awkward_rows()
+    else:  # few different turns, shared prefixes that cross bands, chains of owners, many copies
+        rng = random.Random(9)
+        rows = [(c, t, "user", str(t % 7) if t < (c * 37) % 150 else rng.choice("ab")) for c in range(40) for t in range((c * 53) % 160)]
+        rows += [(c, t, "user", str(t % 7)) for c in range(500, 560) for t in range(70)]
+    got = trie.trie(*trie.rebuilt(trie.sequences(frame(spark, rows)))).select(*COLUMNS).collect()
+    assert sorted(map(tuple, got)) == plain_trie(rebuilt_plain(rows))
+
+
+def test_trie_texts_and_nothing(spark):
+    source = conversations(spark)
+    nodes = trie.with_texts(trie.trie(*trie.rebuilt(trie.sequences(source))), source).collect()
+    paths = rebuilt_plain([tuple(r) for r in source.select("conv_id", "turn", "role", "text").collect()])
+    assert all((r["role"], r["text"]) == paths[r["conv_id"]][r["depth"] - 1] for r in nodes if r["depth"])
+    empty = frame(spark, [(1, 1, "user", "x")]).filter("false")
+    assert trie.trie(*trie.rebuilt(trie.sequences(empty))).count() == 0
+
+
+def test_prefix_names():
+    """Names depend on the prefix alone, not on what follows it."""
+    turns = [trie.name_of(bytes([i])) for i in range(32)]
+    whole = trie.prefixes(turns)
+    assert len(set(whole)) == 32
+    assert all(trie.prefixes(turns[:n]) == whole[:n] for n in range(1, 33))
