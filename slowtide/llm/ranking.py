@@ -9,8 +9,8 @@ that a document at the threshold gets `CUT`.
 
 Bounds: the pairs come from at most `PER_LABEL` distinct texts of either label (by hash), each meeting `RIVALS` of the
 other label; that bounds what fits the weights and nothing else. The threshold comes from all labelled training rows,
-by a histogram of `BINS` fixed-width bins of the score, which is also what reaches the driver. Every document is scored
-in one pass without a shuffle. Rows whose crc32(doc_id) leaves 0 modulo `HOLD_OUT` never teach anything.
+by a histogram of `BINS` fixed-width bins of the score, which is also what reaches the driver. Every document is described
+in one pass without a shuffle; what is joined with the labels and scored are the descriptions, never the texts. Rows whose crc32(doc_id) leaves 0 modulo `HOLD_OUT` never teach anything.
 
 Edge cases: a null text is empty and has a score like any other. A doc_id with both labels, a null label or a null
 doc_id teaches nothing; several rows of a labelled document each count in the threshold. Without a preference (one
@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from slowtide.llm.common import chunks, pick, sums, text_bytes
 from slowtide.llm.language import held_out
@@ -118,28 +119,34 @@ def bradley_terry(good: np.ndarray, bad: np.ndarray, rivals: int = RIVALS, ridge
     return w
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, good) of the documents outside the hold-out that have one label."""
-    one = pick(labels, "doc_id", "quality").filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"), F.count_if(F.col("quality").isNull()).alias("none"))
-    told = one.filter("low = high and low in (0, 1) and none = 0").filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("labelled_id"), (F.col("low") == 1).alias("good"))
-    texts = pick(docs, "doc_id", "text")
-    return texts.join(told, F.col("doc_id") == F.col("labelled_id")).select("text", "good")
-
-
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ranker:
-    """Learn the weights from preference pairs of a bounded sample, the threshold from all labelled training rows."""
+def describe(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in `keep`, with the features `x` of the whole text, of every document, in one pass without a shuffle."""
     ship(docs.sparkSession)
-    width = len(FEATURES)
+    source = docs.select(*dict.fromkeys([*keep, text]))
+    out = StructType([*source.select(*keep).schema, StructField("x", ArrayType(DoubleType()))])
+    kept = list(keep)
 
     def described(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            good = batch.column("good")
+            data, offsets = text_bytes(batch.column(text))
             for a, b in chunks(offsets, CHUNK):
                 x = features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                yield pa.RecordBatch.from_arrays([good.slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))], names=["good", "x"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(a, b - a) for k in kept], pa.array(list(x), pa.list_(pa.float64()))], names=[*kept, "x"])
+
+    return source.mapInArrow(described, out)
+
 
-    rows = materialize(_labelled(docs, labels).mapInArrow(described, "good boolean, x array<double>"), "described")
+def _labelled(described: DataFrame, labels: DataFrame) -> DataFrame:
+    """(x, good) of the documents outside the hold-out that have one label; texts are not needed any more."""
+    one = pick(labels, "doc_id", "quality").filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"), F.count_if(F.col("quality").isNull()).alias("none"))
+    told = one.filter("low = high and low in (0, 1) and none = 0").filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("labelled_id"), (F.col("low") == 1).alias("good"))
+    return described.select("doc_id", "x").join(told, F.col("doc_id") == F.col("labelled_id")).select("x", "good")
+
+
+def fit(described: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ranker:
+    """Learn from described documents: weights from preference pairs of a bounded sample, the threshold from all labelled training rows."""
+    width = len(FEATURES)
+    rows = materialize(_labelled(described, labels), "labelled")
     # copies of one text have one row of features; the hash puts the labels' rows in an order of their own
     code = F.xxhash64("x")
     sampled = []
@@ -181,24 +188,22 @@ def quantile(counts: np.ndarray, rejected: int) -> float:
     return ((at + 1 + min(after, BINS - 1)) / 2 - BINS // 2) * BIN
 
 
-def rank(docs: DataFrame, ranker: Ranker, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in `keep`, with score and predicted, of every document."""
-    ship(docs.sparkSession)
-    source = docs.select(*dict.fromkeys([*keep, text]))
-    out = source.select(*keep).schema.add("score", "double").add("predicted", "integer")
-    kept = list(keep)
+def rank(described: DataFrame, ranker: Ranker) -> DataFrame:
+    """The columns of the described documents, with score and predicted in place of `x`."""
+    kept = [c for c in described.columns if c != "x"]
+    out = StructType([*described.select(*kept).schema, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
     def rows(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column(text))
-            for a, b in chunks(offsets, CHUNK):
-                score = ranker.score(features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(a, b - a) for k in kept], pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=[*kept, "score", "predicted"])
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, len(FEATURES))
+            score = ranker.score(x)
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in kept], pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return source.mapInArrow(rows, out)
+    return described.select(*kept, "x").mapInArrow(rows, out)
 
 
 def op11_pairwise_quality(spark, sf_dir: str) -> DataFrame:
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    found = rank(pick(docs, "doc_id", "text"), fit(docs, labels))
+    described = materialize(describe(pick(docs, "doc_id", "text")), "described")
+    found = rank(described, fit(described, labels))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

@@ -11,7 +11,7 @@ from slowtide.llm import ranking
 from slowtide.llm.common import pick, text_bytes
 
 
-def described(text):
+def plain_features(text):
     """The features of one text, by their definitions."""
     raw = (text or "").encode()
     size = max(1, len(raw))
@@ -29,10 +29,14 @@ def described(text):
     return [out[f] for f in ranking.FEATURES]
 
 
+def described(docs):
+    return ranking.describe(pick(docs, "doc_id", "text"))
+
+
 def test_features(spark):
     rows = pick(plain.edge_docs(spark), "text").union(pick(plain.documents(spark), "text")).toArrow()
     got = ranking.features(*text_bytes(rows.column("text")))
-    assert np.allclose(got, [described(t) for t in rows.column("text").to_pylist()])
+    assert np.allclose(got, [plain_features(t) for t in rows.column("text").to_pylist()])
 
 
 def test_weights_are_the_optimum():
@@ -69,7 +73,7 @@ def test_held_out_accuracy(spark):
 def test_held_out_labels_do_not_matter(spark):
     docs, labels = plain.documents(spark), plain.documents(spark, "labels")
     turned = labels.selectExpr("doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 then 1 - quality else quality end as quality")
-    a, b = ranking.fit(docs, labels), ranking.fit(docs, turned)
+    a, b = ranking.fit(described(docs), labels), ranking.fit(described(docs), turned)
     assert np.array_equal(a.weights, b.weights) and a.threshold == b.threshold
 
 
@@ -77,17 +81,17 @@ def test_held_out_labels_do_not_matter(spark):
 def test_without_preferences(spark, which):
     docs, labels = plain.edge_docs(spark), plain.documents(spark, "labels")
     labels = labels.filter("false" if which == "none" else "quality = 1" if which == "one label" else "true")
-    ranker = ranking.fit(docs.filter("false") if which == "no documents" else plain.documents(spark), labels)
-    assert {(r["score"], r["predicted"]) for r in ranking.rank(pick(docs, "doc_id", "text"), ranker).collect()} == {(0.5, 1)}
+    ranker = ranking.fit(described(docs.filter("false") if which == "no documents" else plain.documents(spark)), labels)
+    assert {(r["score"], r["predicted"]) for r in ranking.rank(described(docs), ranker).collect()} == {(0.5, 1)}
 
 
 def test_edge_rows(spark):
     docs = plain.edge_docs(spark)
-    ranker = ranking.fit(plain.documents(spark), plain.documents(spark, "labels"))
-    got = ranking.rank(pick(docs, "doc_id", "text"), ranker)
+    ranker = ranking.fit(described(plain.documents(spark)), plain.documents(spark, "labels"))
+    got = ranking.rank(described(docs), ranker)
     assert got.columns == ["doc_id", "score", "predicted"] and got.count() == docs.count()
     assert all(0 <= r["score"] <= 1 for r in got.collect())
     assert not re.search("nan", str(got.collect()))
     # contradictory, null and repeated labels
     odd = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, None, 0), (None, 1, 0), (4, 1, None), (4, 1, None), (6, 0, 0), (7, 0, 1), (9, 1, 1)], "doc_id long, quality int, toxic int")
-    assert len(ranking.fit(docs, odd).weights) in (0, len(ranking.FEATURES))
+    assert len(ranking.fit(described(docs), odd).weights) in (0, len(ranking.FEATURES))
