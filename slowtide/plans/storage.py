@@ -65,6 +65,32 @@ _add(
     f"""WITH {_DUMP_SQL} SELECT CAST(coalesce(Reputation, '0') AS INTEGER) AS reputation, count(*) AS n, count(Location) AS placed
        FROM dump WHERE Reputation IS DISTINCT FROM 'many' GROUP BY 1""",
 )
+
+
+def _layout_dump(t):
+    """A dump of customers whose elements are indented, share lines or span them, with damaged ones from the regions among them."""
+    path = scratch_path(t.spark, "layouts")
+    one = F.concat(F.lit('<row Id="'), c("c_custkey"), F.lit('" DisplayName="'), c("c_name"), F.lit('"'))
+    shape = c("c_custkey") % 3
+    whole = F.when(shape == 0, F.concat(F.lit("\t"), one, F.lit(" />"))).when(shape == 1, F.concat(one, F.lit('/> <row Id="-'), c("c_custkey"), F.lit("\" ></row>"))).otherwise(F.concat(one, F.lit('\n    Location="x > y" />')))
+    t.customer.select(whole).write.text(path)
+    t.region.select(F.concat(F.lit('<row Id="'), "r_regionkey", F.lit('" DisplayName="'), "r_name", F.lit(" is cut"))).write.mode("append").text(path)
+    return path
+
+
+_add(
+    "s01_dump_layouts",
+    lambda t: files.read_dump(t.spark, _layout_dump(t), "users").select("Id", "DisplayName", "Location"),
+    """SELECT CAST(c_custkey AS VARCHAR) AS Id, c_name AS DisplayName, CASE WHEN c_custkey % 3 = 2 THEN 'x > y' END AS Location FROM customer
+       UNION ALL SELECT '-' || c_custkey, NULL, NULL FROM customer WHERE c_custkey % 3 = 1""",
+)
+_add(
+    "s02_rejected_elements",
+    lambda t: files.rejected_dump(t.spark, _layout_dump(t), "users"),
+    """SELECT '<row Id="' || r_regionkey || '" DisplayName="' || r_name || ' is cut' AS raw FROM region""",
+)
+
+
 def _dump_of(t, table):
     """The derived posts or votes as a dump, read back and typed."""
     path = scratch_path(t.spark, "dump")
@@ -116,6 +142,31 @@ _MEASURED_SQL = f"""WITH {X.SQL_MEASUREMENTS}, {X.SQL_SCORED}
 _add("s05_measurement_csv", _csv_round_trip, _MEASURED_SQL)
 
 
+
+
+def _foreign_measurements(t):
+    """Measurements of the customers as another program writes them: line breaks inside quoted names; the suppliers' keys are no numbers."""
+    path = scratch_path(t.spark, "foreign")
+    rest = [F.lit(None).cast("string").alias(f.name) for f in files.MEASUREMENT.fields[3:]]
+    line = lambda key, text: [key.cast("string").alias("query_id"), text.alias("query_text"), F.lit("1.5").alias("execution_time_cold_ms"), *rest]
+    rows = t.customer.select(*line(c("c_custkey"), F.replace("c_name", F.lit("#"), F.lit('\n"#"\n'))))
+    bad = t.supplier.select(*line(F.concat(F.lit("s"), c("s_suppkey")), F.concat(c("s_name"), F.lit("\n;"))))
+    rows.unionAll(bad).write.csv(path, header=True, escape='"')
+    return path
+
+
+_add(
+    "s05_foreign_csv",
+    lambda t: files.read_measurements(t.spark, _foreign_measurements(t)).select("query_id", "query_text", "execution_time_cold_ms"),
+    """SELECT c_custkey AS query_id, replace(c_name, '#', chr(10) || '"#"' || chr(10)) AS query_text, CAST(1.5 AS DOUBLE) AS execution_time_cold_ms FROM customer""",
+)
+_add(
+    "s05_rejected_csv",
+    lambda t: files.rejected_measurements(t.spark, _foreign_measurements(t)),
+    f"""SELECT 's' || s_suppkey || ',"' || s_name || chr(10) || ';",1.5' || repeat(',', {len(files.MEASUREMENT.fields) - 3}) AS raw FROM supplier""",
+)
+
+
 def _appended(t):
     path = scratch_path(t.spark, "appended")
     rows = _measurement_rows(t)

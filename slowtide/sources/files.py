@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slowtide.functions.plantree import PLAN_FEATURES
 from slowtide.functions.text import TEXT_FEATURES
+from slowtide.session import materialize, ship
 
 # Dump attributes, target columns, types, and the default of a missing attribute.
 DUMPS: dict[str, list[tuple[str, str, str, str | None]]] = {
@@ -72,19 +73,42 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # ---- XML dumps
 
 
-def read_dump(spark: SparkSession, path: str, table: str, lines: bool = True) -> DataFrame:
+# A "<" cannot stand in an attribute value, so this mark begins an element wherever it stands, whatever the lines are.
+_MARK = "<row"
+_ATTRIBUTES = r"""(?:\s+[\w:.-]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*"""
+_ELEMENT = rf"\A({_ATTRIBUTES})/?>"
+# what may lie between elements: the end of a longer tag name, then declarations, comments, tags and white space
+_BETWEEN = r"\A(?:[\w:.-][^<>]*>)?(?:\s+|\uFEFF|<\?[^?]*\?>|<!--(?:[^-]|-(?!->))*-->|<!\w[^>]*>|</?[\w:.-]+[^<>]*>)*\z"
+
+
+def _dump_pieces(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Per piece of a dump from one element to the next: `r` (the attributes, null if it is no element), and `left`, its
+    text apart from a whole element."""
+    schema = ", ".join(f"_{attribute} string" for attribute, *_ in DUMPS[table]) + ", _broken string"
+    piece = F.col("value")
+    element = piece.rlike(_ELEMENT)
+    inside = F.concat(F.lit(_MARK), F.regexp_extract(piece, _ELEMENT, 1), F.lit("/>"))
+    parsed = F.from_xml(F.when(element, inside), F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    rows = spark.read.option("lineSep", _MARK).text(path).select("value", parsed.alias("r"))
+    whole = F.col("r").isNotNull() & F.col("r._broken").isNull()
+    left = F.when(whole, F.regexp_replace(piece, _ELEMENT, "")).otherwise(piece)
+    return rows.select(F.when(whole, F.col("r")).alias("r"), left.alias("left"), whole.alias("whole"))
+
+
+def read_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One row of strings per <row> element; an absent attribute is NULL.
 
-    Dumps have one <row> per line, so a file splits over many tasks; `lines=False` reads elements that span
-    lines, one task per file. A line that is no element gives a row of NULLs, which `typed` rejects.
+    Files are cut at the mark that opens an element, so they split over many tasks, and elements may share a line, be
+    indented in any way or span lines. `rejected_dump` has all that is no element.
     """
-    schema = ", ".join(f"_{attribute} string" for attribute, *_ in DUMPS[table])
-    if lines:
-        rows = spark.read.text(path).filter(F.ltrim("value").startswith("<row"))
-        rows = rows.select(F.from_xml("value", F.lit(schema), {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    else:
-        rows = spark.read.format("xml").option("rowTag", "row").schema(schema).load(path)
-    return rows.toDF(*[attribute for attribute, *_ in DUMPS[table]])
+    rows = _dump_pieces(spark, path, table).filter("whole")
+    return rows.select(*[F.col(f"r._{attribute}").alias(attribute) for attribute, *_ in DUMPS[table]])
+
+
+def rejected_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The text (`raw`) of damaged elements and of whatever else lies between elements and is no markup."""
+    rows = _dump_pieces(spark, path, table).filter(~F.col("left").rlike(_BETWEEN))
+    return rows.select(F.trim(F.when(F.col("whole"), F.col("left")).otherwise(F.concat(F.lit(_MARK), "left")), F.lit(" \t\r\n")).alias("raw"))
 
 
 def typed(raw: DataFrame, table: str) -> DataFrame:
@@ -111,38 +135,87 @@ def quarantined(rows: DataFrame) -> DataFrame:
 # ---- measurement tables
 
 
-_BREAKS = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+def _joined(batches):
+    """Records of the lines of each slice, in order: whole ones, and the fragments at the slice's ends.
 
+    `part` is 0 for a whole record, 1 for one that goes on in the next slice, 2 for what continues from an earlier one
+    and ends here, 3 for a slice inside one record. The first record of a file is its header.
+    """
+    import pyarrow as pa
+
+    names = ["file", "block", "part", "record"]
+    slice_, held, open_, begun = None, [], False, False
+    first = True
+
+    def close(file, block, ended):
+        part = (0 if ended else 1) if begun else (2 if ended else 3)
+        return file, block, part, "\n".join(held)
+
+    for batch in batches:
+        out = []
+        for value, file, block, inside in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+            if (file, block) != slice_:
+                if held:
+                    out.append(close(*slice_, False))
+                slice_, held, open_, begun = (file, block), [], inside, not inside
+                first = block == 0
+            held.append(value)
+            open_ ^= value.count('"') % 2 == 1
+            if not open_:
+                if not first:
+                    out.append(close(file, block, True))
+                first, held, begun = False, [], True
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.string()), strict=True)], names=names)
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(close(*slice_, False), (pa.string(), pa.int64(), pa.int32(), pa.string()), strict=True)], names=names)
+
+
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records (`record`) of CSV files without their headers; a quoted field may span lines.
+
+    Files split: each slice's number of quotes is counted, the parity of those before a slice in its file says whether it
+    begins inside a field (a table of one row per slice), and lines are joined within slices. Only fragments at the ends
+    of slices are gathered.
+    """
+    ship(spark)
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    slices = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = slices.select("file", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside")).filter("inside")
+    told = lines.join(F.broadcast(inside), ["file", "block"], "left").select("value", "file", "block", F.coalesce("inside", F.lit(False)).alias("inside"))
+    pieces = materialize(told.mapInArrow(_joined, "file string, block bigint, part int, record string"), "records")
+    # at most two fragments a slice; those of one record follow each other
+    upto = Window.partitionBy("file").orderBy("block", F.col("part") == 1)
+    fragments = pieces.filter("part > 0").withColumn("begun", F.count_if(F.col("part") == 1).over(upto))
+    spanning = fragments.groupBy("file", "begun").agg(F.array_sort(F.collect_list(F.struct("block", "record"))).alias("parts")).select(F.array_join("parts.record", "\n").alias("record"))
+    return pieces.filter("part = 0").select("record").union(spanning)
 
-def _one_line(text: Column) -> Column:
-    for plain, written in _BREAKS:
-        text = F.replace(text, F.lit(plain), F.lit(written))
-    return text
 
+def _measured(spark: SparkSession, path: str) -> DataFrame:
+    record = F.regexp_replace("record", r"\r\z", "")
+    schema = f"{MEASUREMENT.simpleString()[7:-1].replace(':', ' ')}, _corrupt string"
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "true"}
+    rows = quoted_records(spark, path).filter(F.trim("record", F.lit(" \t\r")) != "")
+    return rows.select(record.alias("raw"), F.from_csv(record, schema, options).alias("r"))
 
-def _with_breaks(text: Column) -> Column:
-    mark = F.lit("\x00")  # stands for an escaped backslash meanwhile; no text in a database holds it
-    text = F.replace(text, F.lit(_BREAKS[0][1]), mark)
-    for plain, written in _BREAKS[1:]:
-        text = F.replace(text, F.lit(written), F.lit(plain))
-    return F.replace(text, mark, F.lit("\\"))
 
+def read_measurements(spark: SparkSession, path: str) -> DataFrame:
+    """The records of measurement CSV files; `rejected_measurements` has those with a cell that is none of its kind."""
+    return _measured(spark, path).filter("r._corrupt is null").select(*[F.col(f"r.{f.name}").alias(f.name) for f in MEASUREMENT.fields])
 
-def read_measurements(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A measurement CSV as `append_measurements` writes it, line breaks in a statement escaped, so that files split.
 
-    `multi_line` reads foreign files with plain line breaks inside a field, each in one task.
-    """
-    rows = spark.read.schema(MEASUREMENT).csv(path, header=True, escape='"', multiLine=multi_line)
-    return rows if multi_line else rows.withColumn("query_text", _with_breaks(F.col("query_text")))
+def rejected_measurements(spark: SparkSession, path: str) -> DataFrame:
+    """The text (`raw`) of every record that `read_measurements` leaves out."""
+    return _measured(spark, path).filter("r._corrupt is not null").select("raw")
 
 
 def append_measurements(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append in the fixed column order, whatever order the frame has."""
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MEASUREMENT.fields]).write.mode("append")
     if fmt == "csv":
-        lines = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MEASUREMENT.fields])
-        lines.withColumn("query_text", _one_line(F.col("query_text"))).write.mode("append").csv(path, header=True, escape='"')
+        out.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     else:
         out.format(fmt).save(path)
 

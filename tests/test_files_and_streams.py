@@ -35,6 +35,69 @@ def test_dump_with_bad_rows(spark, tmp_path):
     assert [(r.id, r.display_name) for r in new.collect()] == [(1, "a & b")]
 
 
+LAYOUTS = """\ufeff<?xml version="1.0" encoding="utf-8"?>
+<!-- six elements, five of them whole -->
+<rows>
+  <row Id="1" DisplayName="a" />
+\t<row Id='2' DisplayName='tab &quot;q&quot; > b'/> <row Id="3" DisplayName="same line"></row>
+  <row Id="4"
+       DisplayName="over
+lines" />
+  <row Id="5" DisplayName="cut off
+  some words <row Id="6" Reputation="7"/>
+  <ro Id="7" /> lost
+</rows>
+"""
+
+
+@pytest.mark.parametrize("size", ["16", "128m"])
+def test_dump_layouts(spark, tmp_path, size):
+    (tmp_path / "Users.xml").write_text(LAYOUTS, encoding="utf-8")
+    path = str(tmp_path / "Users.xml")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = {r.Id: r for r in files.read_dump(spark, path, "users").collect()}
+        assert sorted(rows) == ["1", "2", "3", "4", "6"]
+        assert rows["2"].DisplayName == 'tab "q" > b' and rows["6"].Reputation == "7" and rows["4"].DisplayName.split() == ["over", "lines"]
+        rejected = sorted(r.raw for r in files.rejected_dump(spark, path, "users").collect())
+        assert [r.split()[0] for r in rejected] == ["<ro", "<row"] and "cut off" in rejected[1] and "some words" in rejected[1] and "lost" in rejected[0]
+        assert spark.read.option("lineSep", "<row").text(path).rdd.getNumPartitions() > 3 or size != "16"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_dump_elements_with_unknown_entities_are_rejected(spark, tmp_path):
+    (tmp_path / "u.xml").write_text('<users><row Id="1" DisplayName="a&nbsp;b"/><row Id="2"/></users>')
+    assert [r.Id for r in files.read_dump(spark, str(tmp_path / "u.xml"), "users").collect()] == ["2"]
+    assert [r.raw for r in files.rejected_dump(spark, str(tmp_path / "u.xml"), "users").collect()] == ['<row Id="1" DisplayName="a&nbsp;b"/>']
+
+
+@pytest.mark.parametrize("size", ["40", "200", "128m"])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_foreign_measurements(spark, tmp_path, size, ending):
+    """Quoted line breaks, quotes and backslashes; bad cells are set aside; a file may be cut anywhere."""
+    n = len(files.MEASUREMENT.fields)
+    texts = ["SELECT 1", "a\nb", 'say ""x""\n\n, y', "C:\\new", "long " + "line\n" * 40, "", "end"]
+    lines = [",".join(f.name for f in files.MEASUREMENT.fields)]
+    lines += [f'{i},"{t}",1.5' + ",0" * (n - 3) for i, t in enumerate(texts)]
+    lines.insert(3, 'many,"bad id\nhere",1.5' + ",0" * (n - 3))
+    lines.insert(5, "77,too few cells")
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.csv").write_bytes(ending.join(x.replace("\n", ending) for x in lines).encode() + ending.encode())
+    (tmp_path / "m" / "b.csv").write_bytes((lines[0] + ending + '100,"other\nfile",2.5' + ",0" * (n - 3)).encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r.query_id: r.query_text for r in files.read_measurements(spark, str(tmp_path / "m")).collect()}
+        want = {i: t.replace('""', '"').replace("\n", ending) or None for i, t in enumerate(texts)} | {100: "other\nfile"}
+        assert got == want
+        bad = sorted(r.raw for r in files.rejected_measurements(spark, str(tmp_path / "m")).collect())
+        assert [b.split(",")[0] for b in bad] == ["77", "many"] and f"bad id{ending}here" in bad[1]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_measurements_survive_csv(spark, tmp_path):
     path = str(tmp_path / "m")
     text = 'SELECT "a", \'b\'\nFROM t -- x, "y" \\n \\\\ \r'
@@ -142,12 +205,14 @@ def test_files_split_over_tasks(spark, tmp_path):
     files.append_measurements(measured.coalesce(1), str(tmp_path / "csv"), "csv")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
     try:
-        for read in (files.read_dump(spark, str(tmp_path / "dump"), "users"), files.read_measurements(spark, str(tmp_path / "csv"))):
-            assert read.rdd.getNumPartitions() > 2 and read.count() == 4000
+        read = files.read_dump(spark, str(tmp_path / "dump"), "users")
+        assert read.rdd.getNumPartitions() > 2 and read.count() == 4000
+        assert spark.read.text(str(tmp_path / "csv")).rdd.getNumPartitions() > 2
+        assert files.read_measurements(spark, str(tmp_path / "csv")).select("query_id").distinct().count() == 4000
         typed = files.accepted(files.typed(files.read_dump(spark, str(tmp_path / "dump"), "users"), "users"))
         assert typed.filter("display_name = 'a & b' and reputation = 5 and location is null").count() == 4000
-        whole = files.read_dump(spark, str(tmp_path / "dump"), "users", lines=False)
-        assert sorted(r.Id for r in whole.collect()) == sorted(str(i) for i in range(4000))
+        assert sorted(r.Id for r in read.collect()) == sorted(str(i) for i in range(4000))
+        assert files.rejected_dump(spark, str(tmp_path / "dump"), "users").count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
