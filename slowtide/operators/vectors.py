@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slowtide.session import ship
+from slowtide.session import materialize, ship
 
 # Fixed value: a hit must be more similar than this.
 SIMILAR = 0.7
 # rows of one matrix product
 STRIP = 512
-
-
-def _unit(vectors: pd.Series) -> np.ndarray:
-    stacked = np.asarray(vectors.tolist(), dtype=np.float64)
-    lengths = np.linalg.norm(stacked, axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return np.where(lengths > 0, stacked / lengths, np.nan)
+# Pivots of the index, the entries they are chosen from, and rings of angle around each.
+PIVOTS, SAMPLE, RINGS = 64, 4096, 16
+# Angles are compared with this margin; arccos is exact to about 1e-8 near 0.
+SLACK = 1e-6
 
 
 def best_columns(sims: np.ndarray, k: int) -> np.ndarray:
@@ -34,6 +32,134 @@ def best_columns(sims: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(-sims, axis=1, kind="stable")[:, :k]
 
 
+def _ones(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows of a list column, and which rows have a direction; those that have none are left out."""
+    rows = vectors.to_pylist()
+    usable = np.array([v is not None and None not in v for v in rows], bool)
+    if not usable.any():
+        return np.zeros((0, 1)), usable
+    stacked = np.array([v for v, u in zip(rows, usable, strict=True) if u], np.float64)
+    lengths = np.linalg.norm(stacked, axis=1)
+    fine = np.isfinite(lengths) & (lengths > 0)
+    usable[np.flatnonzero(usable)[~fine]] = False
+    return stacked[fine] / lengths[fine, None], usable
+
+
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(a @ b.T, -1.0, 1.0))
+
+
+def farthest_first(sample: np.ndarray, n: int) -> np.ndarray:
+    """Up to n different rows of unit vectors, each at the largest angle from those before it."""
+    if not len(sample):
+        return sample
+    chosen = sample[:1]
+    away = _angles(sample, chosen)[:, 0]
+    while len(chosen) < n and away.max(initial=0) > SLACK:
+        chosen = np.concatenate([chosen, sample[away.argmax()][None]])
+        away = np.minimum(away, _angles(sample, chosen[-1:])[:, 0])
+    return chosen
+
+
+class Index:
+    """The history in cells: nearest pivot and ring of its angle, with the true range of angles of each cell."""
+
+    def __init__(self, pivots: np.ndarray, cells: pd.DataFrame, rows: DataFrame):
+        self.pivots, self.rows = pivots, rows
+        self.cell = cells["cell"].to_numpy()
+        self.low, self.high = cells["low"].to_numpy(), cells["high"].to_numpy()
+
+
+def least_angles(units: np.ndarray, pivots: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Of each row and cell, an angle that no entry of the cell is nearer than (triangle inequality)."""
+    away = _angles(units, pivots)[:, cells // RINGS]
+    return np.maximum(0.0, np.maximum(away - high, low - away))
+
+
+def build_index(history: DataFrame, pivots: int = PIVOTS) -> Index:
+    """Index every entry (entry_id, vector) that has a direction; pivots come from at most `SAMPLE` of them."""
+    ship(history.sparkSession)
+    source = history.select("entry_id", F.col("vector").cast("array<double>").alias("vector"))
+    sample = source.orderBy(F.xxhash64("entry_id"), "entry_id").limit(SAMPLE).toArrow()
+    units, _ = _ones(sample.column("vector").combine_chunks())
+    chosen = farthest_first(units, pivots)
+
+    def keyed(batches):
+        for batch in batches:
+            unit, usable = _ones(batch.column("vector"))
+            if not len(unit) or not len(chosen):
+                continue
+            away = _angles(unit, chosen)
+            nearest = away.argmin(axis=1)
+            angle = away[np.arange(len(unit)), nearest]
+            cell = nearest * RINGS + np.minimum(angle / np.pi * RINGS, RINGS - 1).astype(int)
+            kept = batch.column("entry_id").filter(pa.array(usable))
+            yield pa.RecordBatch.from_arrays([kept, pa.array(list(unit), pa.list_(pa.float64())), pa.array(cell.astype(np.int32)), pa.array(angle)], names=["entry_id", "unit", "cell", "angle"])
+
+    rows = materialize(source.mapInArrow(keyed, "entry_id bigint, unit array<double>, cell int, angle double"), "index")
+    # at most PIVOTS * RINGS rows
+    cells = rows.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).orderBy("cell").toPandas()
+    return Index(chosen, cells, rows)
+
+
+def _routes(lookups: DataFrame, index: Index, visit: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """A row for each lookup and cell that it visits."""
+    pivots, cells, low, high = index.pivots, index.cell, index.low, index.high
+
+    def routed(batches):
+        for batch in batches:
+            if not batch.num_rows or not len(cells):
+                continue
+            unit = batch.column("unit").flatten().to_numpy().reshape(batch.num_rows, -1)
+            at, which = np.nonzero(visit(least_angles(unit, pivots, cells, low, high), batch.column("floor").to_numpy()))
+            columns = [batch.column(n).take(pa.array(at)) for n in ("lookup_id", "unit", "floor")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(cells[which].astype(np.int32))], names=["lookup_id", "unit", "floor", "cell"])
+
+    return lookups.mapInArrow(routed, "lookup_id bigint, unit array<double>, floor double, cell int")
+
+
+def _met(routes: DataFrame, index: Index, k: int, exclude_same_id: bool, block_rows: int) -> DataFrame:
+    """(lookup_id, entry_id, similarity): the k best entries of each lookup in each part of a visited cell, if above its floor."""
+    # a cell's entries and the lookups that visit it are cut into parts of about block_rows
+    routes = materialize(routes, "routes")
+    visits = routes.groupBy("cell").agg(F.count("*").alias("visits"))
+    sizes = index.rows.groupBy("cell").agg(F.count("*").alias("entries"))
+    # at most PIVOTS * RINGS rows
+    parts = F.broadcast(visits.join(sizes, "cell").select("cell", F.ceil(F.col("visits") / block_rows).cast("int").alias("shares"), F.ceil(F.col("entries") / block_rows).cast("int").alias("parts")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = routes.join(parts, "cell").select("cell", F.pmod(F.xxhash64("lookup_id"), "shares").cast("int").alias("share"), every("parts").alias("part"), "lookup_id", "unit", "floor")
+    right = index.rows.join(parts, "cell").select("cell", every("shares").alias("share"), F.pmod(F.xxhash64("entry_id"), "parts").cast("int").alias("part"), "entry_id", "unit")
+
+    def best(a: pa.Table, b: pa.Table) -> pa.Table:
+        schema = pa.schema([("lookup_id", pa.int64()), ("entry_id", pa.int64()), ("similarity", pa.float64())])
+        if not a.num_rows or not b.num_rows:
+            return schema.empty_table()
+        b = b.sort_by("entry_id")
+        ids, entries = b.column("entry_id").to_numpy(), _matrix(b.column("unit")).T
+        found = []
+        for start in range(0, a.num_rows, STRIP):
+            strip = a.slice(start, STRIP)
+            wanted = strip.column("lookup_id").to_numpy()
+            # rounded, so that equal vectors tie whatever part they are in
+            sims = np.round(_matrix(strip.column("unit")) @ entries, 12)
+            if exclude_same_id:
+                sims[wanted[:, None] == ids[None, :]] = -np.inf
+            top = best_columns(sims, k)
+            value = np.take_along_axis(sims, top, axis=1).ravel()
+            # the floor is a similarity that k entries reach already: ties with it still count
+            good = value >= np.repeat(strip.column("floor").to_numpy(), top.shape[1])
+            good &= np.isfinite(value)
+            found.append(pa.table([np.repeat(wanted, top.shape[1])[good], ids[top].ravel()[good], value[good]], schema=schema))
+        return pa.concat_tables(found)
+
+    return left.groupBy("cell", "share", "part").cogroup(right.groupBy("cell", "share", "part")).applyInArrow(best, "lookup_id bigint, entry_id bigint, similarity double")
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks()
+    return flat.flatten().to_numpy().reshape(len(flat), -1)
+
+
 def similar_fixes(
     lookups: DataFrame,
     history: DataFrame,
@@ -41,70 +167,67 @@ def similar_fixes(
     k: int = 1,
     exclude_same_id: bool = False,
     block_rows: int = 16384,
+    index: Index | None = None,
 ) -> DataFrame:
     """For each lookup (lookup_id, vector) its k most similar history entries (entry_id, vector)
     above the threshold; the smaller entry_id wins ties. Ids are unique and not null (else an error).
 
-    Exact at any size. Both sides are cut into blocks of about `block_rows` by hash; every pair of
-    blocks meets in one task as matrix products of a few hundred rows, which hand on only the k best
-    entries of each lookup. No pair is emitted otherwise, and no side is broadcast. Larger blocks
-    shuffle less and need more memory: a block is held as doubles.
+    Exact at any size. Entries lie in cells around pivots, by angle. A lookup first meets the cell that could hold the
+    nearest entry; then it meets only the cells that, by the triangle inequality on angles, could hold one above the
+    threshold and as near as its k-th best so far. Crowded cells and cells that many lookups visit are cut into parts of
+    about `block_rows` rows a side, which meet in one task as matrix products of a few hundred rows. No pair is emitted
+    but the k best of each part. A lookup without a direction (null, zero, not finite) finds nothing.
     """
-    ship(lookups.sparkSession)
+    spark = lookups.sparkSession
+    ship(spark)
     rows = max(1, int(block_rows))
-    sizes = []
     for side, name in ((lookups, "lookup_id"), (history, "entry_id")):
         n, different = side.agg(F.count("*"), F.count_distinct(name)).first()
         if n != different:
             raise ValueError(f"{name} must be unique and not null: {n} rows, {different} values")
-        sizes.append(max(1, math.ceil(n / rows)))
-    left_blocks, right_blocks = sizes
-    left = lookups.select(
-        F.pmod(F.xxhash64("lookup_id"), F.lit(left_blocks)).cast("int").alias("lb"),
-        F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1))).alias("rb"),
-        "lookup_id",
-        F.col("vector").cast("array<double>").alias("vector"),
-    )
-    right = history.select(
-        F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1))).alias("lb"),
-        F.pmod(F.xxhash64("entry_id"), F.lit(right_blocks)).cast("int").alias("rb"),
-        "entry_id",
-        F.col("vector").cast("array<double>").alias("vector"),
-    )
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"lookup_id": [], "entry_id": [], "similarity": []})
-        if a.empty or b.empty:
-            return empty
-        b = b.sort_values("entry_id", kind="stable")
-        ids, entries = b["entry_id"].to_numpy(), _unit(b["vector"]).T
-        found = [empty]
-        for start in range(0, len(a), STRIP):
-            strip = a.iloc[start : start + STRIP]
-            wanted = strip["lookup_id"].to_numpy()
-            # rounded, so that equal vectors tie whatever block they are in
-            sims = np.round(_unit(strip["vector"]) @ entries, 12)
-            sims[np.isnan(sims)] = -np.inf
-            if exclude_same_id:
-                sims[wanted[:, None] == ids[None, :]] = -np.inf
-            top = best_columns(sims, k)
-            out = pd.DataFrame(
-                {
-                    "lookup_id": np.repeat(wanted, top.shape[1]),
-                    "entry_id": ids[top].ravel(),
-                    "similarity": np.take_along_axis(sims, top, axis=1).ravel(),
-                }
-            )
-            found.append(out[out["similarity"] > threshold])
-        return pd.concat([f for f in found if len(f)] or [empty])
-
-    per_block = (
-        left.groupBy("lb", "rb")
-        .cogroup(right.groupBy("lb", "rb"))
-        .applyInPandas(best, "lookup_id bigint, entry_id bigint, similarity double")
-    )
+    index = index or build_index(history)
+
+    def directed(batches):
+        for batch in batches:
+            unit, usable = _ones(batch.column("vector"))
+            kept = batch.column("lookup_id").filter(pa.array(usable))
+            yield pa.RecordBatch.from_arrays([kept, pa.array(list(unit), pa.list_(pa.float64()))], names=["lookup_id", "unit"])
+
+    units = materialize(lookups.select("lookup_id", F.col("vector").cast("array<double>").alias("vector")).mapInArrow(directed, "lookup_id bigint, unit array<double>"), "lookups")
+    start = F.lit(float(threshold))
+    home = _met(_routes(units.withColumn("floor", start), index, _home), index, k, exclude_same_id, rows)
+    home = materialize(home.filter(F.col("similarity") > threshold), "home")
     order = Window.partitionBy("lookup_id").orderBy(F.col("similarity").desc(), "entry_id")
-    return per_block.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    if len(index.cell) > 1:
+        reached = home.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k).select("lookup_id", F.col("similarity").alias("reached"))
+        again = units.join(reached, "lookup_id", "left").select("lookup_id", "unit", F.coalesce("reached", start).alias("floor"))
+        rest = _met(_routes(again, index, _others), index, k, exclude_same_id, rows)
+        home = home.union(rest.filter(F.col("similarity") > threshold))
+    return home.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def visited_pairs(lookups: DataFrame, index: Index, threshold: float = SIMILAR) -> int:
+    """Pairs of lookup and entry that the angles do not rule out at this threshold, before any entry is met."""
+    known = lookups.select("lookup_id", F.col("vector").cast("array<double>").alias("unit"))
+    unit = F.transform("unit", lambda x: x / F.sqrt(F.aggregate("unit", F.lit(0.0), lambda s, y: s + y * y)))
+    routes = _routes(known.select("lookup_id", unit.alias("unit"), F.lit(float(threshold)).alias("floor")), index, lambda least, floor: least <= _reach(floor))
+    sizes = index.rows.groupBy("cell").agg(F.count("*").alias("entries"))
+    return routes.join(F.broadcast(sizes), "cell").agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
+
+
+def _reach(floor: np.ndarray) -> np.ndarray:
+    """The angle up to which an entry has at least this similarity, and a margin above float and rounding error."""
+    return np.arccos(np.clip(floor, -1.0, 1.0))[:, None] + SLACK
+
+
+def _home(least: np.ndarray, floor: np.ndarray) -> np.ndarray:
+    first = np.zeros(least.shape, bool)
+    first[np.arange(len(least)), least.argmin(axis=1)] = True
+    return first & (least <= _reach(floor))
+
+
+def _others(least: np.ndarray, floor: np.ndarray) -> np.ndarray:
+    return (least <= _reach(floor)) & ~_home(least, floor)
 
 
 def with_similar_fix(lookups: DataFrame, history: DataFrame, **options) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import statistics
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -481,6 +482,30 @@ def test_similar_fixes_against_brute_force(spark):
     assert vectors.with_similar_fix(lookups, history.limit(0)).filter("entry_id is not null").count() == 0
 
 
+def _clusters(n, centres, seed):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, 24))
+    return middle[rng.integers(0, centres, n)] + 0.1 * rng.normal(size=(n, 24))
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_lookup_meets_few_cells_and_loses_nothing(spark, k):
+    """Clustered vectors with one crowded direction: exact answers from a small part of all pairs."""
+    entries = np.concatenate([_clusters(1500, 40, 1), np.tile(_clusters(1, 1, 2), (700, 1))])
+    asked = np.concatenate([_clusters(200, 40, 1), entries[1500:1510] * 3, _clusters(20, 5, 9)])
+    history = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(entries)] + [(9000, None), (9001, [0.0] * 24)], "entry_id bigint, vector array<double>")
+    lookups = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)] + [(9000, None)], "lookup_id bigint, vector array<double>")
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sims = np.round(unit(asked) @ unit(entries).T, 12)
+    want = {(i, int(j), round(float(sims[i, j]), 10)) for i in range(len(asked)) for j in np.lexsort((np.arange(len(entries)), -sims[i]))[:k] if sims[i, j] > 0.7}
+    index = vectors.build_index(history)
+    for rows in (16384, 50):
+        got = {(r.lookup_id, r.entry_id, round(r.similarity, 10)) for r in vectors.similar_fixes(lookups, history, k=k, block_rows=rows, index=index).collect()}
+        assert {g[0::2] for g in got} == {w[0::2] for w in want} and (k > 1 or got == want)
+    assert vectors.visited_pairs(lookups.filter("vector is not null"), index) < 0.2 * sims.size
+    assert index.rows.count() == len(entries)
+
+
 # ---- metrics and models
 
 
