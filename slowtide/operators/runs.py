@@ -102,18 +102,14 @@ def slow_statements(stats: DataFrame, threshold_ms: float = SLOW_MS, n: int = 10
 
     The exclusions are case-sensitive substrings, so OFFSET is excluded through SET.
     """
+    return stats.filter(is_slow(threshold_ms)).orderBy(F.col("mean_exec_time").desc(), "query").limit(n)
+
+
+def is_slow(threshold_ms: float = SLOW_MS) -> Column:
+    """Whether a row with `mean_exec_time` and `query` is a slow statement."""
     text = F.col("query")
-    return (
-        stats.filter(
-            (F.col("mean_exec_time") > threshold_ms)
-            & ~text.contains("pg_stat_statements")
-            & ~text.contains("EXPLAIN")
-            & ~text.contains("SET")
-            & F.upper(text).contains("SELECT")
-        )
-        .orderBy(F.col("mean_exec_time").desc(), "query")
-        .limit(n)
-    )
+    own = text.contains("pg_stat_statements") | text.contains("EXPLAIN") | text.contains("SET")
+    return (F.col("mean_exec_time") > threshold_ms) & ~own & F.upper(text).contains("SELECT")
 
 
 def first_seen(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:

@@ -109,9 +109,12 @@ class Log(Stack):
 
     @cached_property
     def answers(self) -> DataFrame:
+        return self.answers_to(self.stats)
+
+    def answers_to(self, statements: DataFrame) -> DataFrame:
         """One generated answer per statement for each other event type, in order of the types."""
         others = F.filter(F.array(*[F.lit(k) for k in TYPES]), lambda k: k != F.col("event_type"))
-        each = self.stats.select("stmt", "query", "user_id", "mean_exec_time", F.posexplode(others).alias("position", "other"))
+        each = statements.select("stmt", "query", "user_id", "mean_exec_time", F.posexplode(others).alias("position", "other"))
         raw = F.concat(
             F.lit("### Slow Query\n"), F.col("query"), F.lit("\n### Optimized Query\n```sql\n"),
             text_of(ANSWERS, F.col("other"), F.col("user_id")), F.lit("\n```"),
@@ -122,11 +125,15 @@ class Log(Stack):
     def candidates(self) -> DataFrame:
         return C.extract_candidates(self.answers, "stmt", "position")
 
+    @staticmethod
+    def planned(candidates: DataFrame) -> DataFrame:
+        """Candidates with the features of their plans."""
+        plan = {f: F.lit(0) for f in PLAN_FEATURES}
+        return candidates.withColumns(plan | {"plan_total_cost": (F.col("position") * 25).cast("double")})
+
     @cached_property
     def ranked(self) -> DataFrame:
-        plan = {f: F.lit(0) for f in PLAN_FEATURES}
-        plan["plan_total_cost"] = (F.col("position") * 25).cast("double")
-        scored = self.candidates.withColumns({**text_features(F.col("sql")), **plan}).withColumn(
+        scored = self.planned(self.candidates).withColumns(text_features(F.col("sql"))).withColumn(
             "predicted_ms", SCORER.predicted_ms()
         )
         ranked = C.rank_candidates(scored.drop(*FEATURES), "stmt", "position", "mean_exec_time")
@@ -139,10 +146,13 @@ class Log(Stack):
 
     @cached_property
     def measured(self) -> DataFrame:
+        return self.measured_of(self.ranked)
+
+    def measured_of(self, ranked: DataFrame) -> DataFrame:
         """Each statement's candidates with the summary of the runs that stand for their text."""
         runs = self.summaries.join(self.protocol.select(*KEYS, parse_runs(F.col("all_runs_ms")).alias("all_runs_ms")), KEYS)
         named = runs.withColumn("sql", text_of(CLEAN, F.col("event_type"), F.col("user_id"))).filter("sql IS NOT NULL")
-        return self.ranked.select("stmt", "sql").join(named.select("sql", "cold_ms", "warm_ms", "all_runs_ms"), "sql")
+        return ranked.select("stmt", "sql").join(named.select("sql", "cold_ms", "warm_ms", "all_runs_ms"), "sql")
 
     @cached_property
     def verified(self) -> DataFrame:

@@ -65,7 +65,7 @@ PAIR = "slow string, optimized string"
 HISTORY = "entry_id bigint, slow_query string, fix string, speedup_ms double, vector array<float>"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
@@ -225,7 +225,7 @@ def append_measurements(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def _marked_json(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFrame:
     full = f"{schema}, _corrupt string"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], full)
     rows = spark.read.schema(full).option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", not lines).json(path)
     # always true; it has every column parsed, so a corrupt record is found whatever a query reads
@@ -273,7 +273,7 @@ def read_run_results(spark: SparkSession, path: str, lines: bool = False) -> Dat
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Past fixes; empty before the first one is stored."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], HISTORY)
     return spark.read.schema(HISTORY).parquet(path)
 

@@ -154,14 +154,20 @@ def place(tmp_path):
 
 def test_first_seen_over_restarts(spark, place):
     long = "SELECT " + "x" * 120
-    _feed(spark, place["in"], "a", [("q1", 1.0, "2024-01-01 00:00:00"), (long + "1", 1.0, "2024-01-01 00:01:00"), ("q1", 2.0, "2024-01-01 00:02:00")])
-    stream = lambda: M.first_seen_stream(M.executions(spark, place["in"], SCHEMA, files_per_poll=1), "10 days")
-    each = lambda rows, i: M.write_batch(rows.select("key"), i, place["out"])
+    _feed(spark, place["in"], "a", [("q1", 1.0, "2024-01-01 00:00:00"), (long + "1", 1.0, "2024-01-01 00:01:00"), ("q1", 2.0, "2024-01-01 00:02:00"), (None, 1.0, "2024-01-01 00:00:00")])
+    stream = lambda: M.executions(spark, place["in"], SCHEMA, files_per_poll=1)
+    each = M.keep_first_seen(place["out"], "10 days")
     _drain(stream(), each, place["check"])
-    _feed(spark, place["in"], "b", [("q1", 1.0, "2024-01-02 00:00:00"), (long + "2", 1.0, "2024-01-02 00:00:00"), ("q2", 1.0, "2024-01-02 00:00:00")])
+    _feed(spark, place["in"], "b", [("q1", 1.0, "2024-01-02 00:00:00"), (long + "2", 1.0, "2024-01-02 00:00:00"), ("q2", 1.0, "2024-01-20 00:00:00"), (None, 1.0, "2024-01-02 00:00:00")])
     _drain(stream(), each, place["check"])
-    keys = [r.key for r in spark.read.parquet(place["out"]).collect()]
-    assert sorted(keys) == sorted(["q1", long + "1", long + "2", "q2"])
+    found = [r["query"] for r in spark.read.parquet(f"{place['out']}/new").collect()]
+    assert Counter(found) == Counter(["q1", long + "1", long + "2", "q2", None])
+    # ten days before the 20th: late rows are set aside, a key that was met before that is new again, and a repeated poll changes nothing
+    _feed(spark, place["in"], "c", [("q3", 1.0, "2024-01-09 00:00:00"), ("q1", 1.0, "2024-01-21 00:00:00"), ("q2", 5.0, "2024-01-11 00:00:00"), ("q4", 1.0, None)])
+    _drain(stream(), each, place["check"])
+    each(spark.read.schema(SCHEMA).parquet(f"{place['in']}/c.parquet"), 2)
+    assert Counter(r["query"] for r in spark.read.parquet(f"{place['out']}/late").collect()) == Counter(["q3", "q4"])
+    assert Counter(r["query"] for r in spark.read.parquet(f"{place['out']}/new").collect()) == Counter([*found, "q1"])
 
 
 def test_streamed_means_equal_batch(spark, place):
@@ -170,8 +176,8 @@ def test_streamed_means_equal_batch(spark, place):
         part = events.iloc[i::4]
         _feed(spark, place["in"], f"f{i}", [(f"SELECT {r.event_type}", float(r.value), str(r.ts)) for r in part.itertuples()])
     raw = M.executions(spark, place["in"], SCHEMA, files_per_poll=1)
-    _drain(M.statement_means(raw), M.top_of_poll(place["out"], 0.0), place["check"], "complete")
-    polls = spark.read.parquet(place["out"])
+    _drain(raw, M.keep_top(place["out"], 0.0, buckets=4, merge_every=2), place["check"])
+    polls = spark.read.parquet(f"{place['out']}/top")
     last = polls.filter(c("batch_id") == polls.agg(F.max("batch_id")).first()[0]).collect()
     want = events.groupby("event_type").value.agg(["mean", "count"])
     assert {r.query[7:]: (round(r.mean_exec_time, 6), r.calls) for r in last} == {k: (round(m, 6), n) for k, m, n in want.itertuples()}
@@ -226,15 +232,70 @@ def test_corrupt_records_are_set_aside(spark, tmp_path):
     assert files.rejected_log(spark, str(tmp_path / "none")).collect() == []
 
 
-def test_bad_rows_do_not_stop_the_stream(spark, place, tmp_path):
-    _feed(spark, place["in"], "a", [("q1", 10.0, "2024-01-01 00:00:00"), (None, 1.0, "2024-01-01 00:00:00"), ("q2", None, "2024-01-01 00:00:00"), ("q3", -1.0, "2024-01-01 00:00:00")])
-    stream = M.executions(spark, place["in"], SCHEMA).withColumns({"lookup_id": F.length("query").cast("bigint"), "vector": F.array(F.lit(1.0), F.lit(0.0))})
-    history = str(tmp_path / "history")
-    files.append_history(spark.createDataFrame([(9, "s", "f", 2.0, [1.0, 0.0])], files.HISTORY), history)
-    each = M.enrich(place["out"], place["bad"], history, lambda rows: rows.withColumn("p_slow", F.lit(0.5)), 0.5)
-    _drain(stream, each, place["check"])
-    assert [(r["query"], r.entry_id) for r in spark.read.parquet(place["out"]).collect()] == [("q1", 9)]
-    assert spark.read.parquet(place["bad"]).count() == 3
+def test_top_of_many_polls_keeps_bounded_candidates(spark, place):
+    """Statements rise, fall and come back; a poll that is repeated counts once; what is ranked stays bounded."""
+    import random
+
+    rnd, sums, n, buckets = random.Random(1), {}, 3, 4
+    each = M.keep_top(place["out"], 5.0, n=n, buckets=buckets, merge_every=3)
+    for i in range(8):
+        rows = [(f"SELECT {rnd.randrange(40)}", float(rnd.randrange(100))) for _ in range(25)] + [("SET x", 99.0), ("SELECT 1", None)]
+        for q, ms in rows:
+            sums.setdefault(q, []).append(ms)
+        frame = spark.createDataFrame(rows, "query string, ms double")
+        for _ in range(1 + (i % 3 == 2)):
+            each(frame, i)
+        means = {q: sum(x for x in v if x is not None) / k for q, v in sums.items() if (k := sum(x is not None for x in v))}
+        want = sorted(((m, q) for q, m in means.items() if m > 5 and "SET" not in q), key=lambda x: (-x[0], x[1]))[:n]
+        got = spark.read.parquet(f"{place['out']}/top/batch_id={i}").collect()
+        assert sorted((round(r.mean_exec_time, 6), r["query"], r.calls) for r in got) == sorted((round(m, 6), q, len(sums[q])) for m, q in want)
+        kept = spark.read.parquet(f"{place['out']}/best/batch_id={i}").select(F.inline("best"))
+        assert kept.count() <= n * buckets
+
+
+def _chain(spark, place, scorer, **changed):
+    from slowtide.streaming import chain
+
+    answers = lambda s: s.select("stmt", "query", "mean_exec_time", F.lit(0).alias("position"), F.lit("### Optimized Query\nSELECT id FROM t LIMIT 1").alias("raw"))
+    plans = lambda rows: rows.withColumns({f: F.lit(0) for f in chain_features()})
+    measured = lambda ranked: ranked.select("stmt", "sql", F.lit(3.0).alias("cold_ms"), F.lit(2.0).alias("warm_ms"), F.array(F.lit(2.0)).alias("all_runs_ms"))
+    sources = {"answers": answers, "plans": plans, "measured": measured} | changed
+    return chain.watch(place["out"], place["parts"], scorer, chain.Sources(**sources))
+
+
+def chain_features():
+    from slowtide.functions.plantree import PLAN_FEATURES
+
+    return PLAN_FEATURES
+
+
+def test_chain_sets_bad_statements_and_failed_stages_aside(spark, place):
+    from slowtide.plans.fixtures import SCORER
+    from slowtide.streaming import chain
+
+    plan = '{"Plan": {"Node Type": "Seq Scan", "Total Cost": 500.0}}'
+    rows = [
+        ("a", "SELECT * FROM t", 90.0, 1, plan, [1.0, 0.0]), ("b", None, 90.0, 1, plan, [1.0, 0.0]), ("c", "SELECT * FROM u", -1.0, 1, plan, None),
+        ("d", "SELECT * FROM v", 90.0, 1, '{"Plan": ', None), (None, "SELECT 1", 1.0, 1, plan, None), ("e", "SELECT * FROM w", 70.0, 1, None, None), ("f", "SELECT * FROM t", 80.0, 1, plan, [1.0, 0.1]),
+    ]
+    poll = spark.createDataFrame(rows, "stmt string, query string, mean_exec_time double, calls bigint, plan string, vector array<double>").withColumn("timestamp", F.lit("now"))
+    each = _chain(spark, place, SCORER)
+    each(poll, 0)
+    events = {r.stmt: r for r in spark.read.parquet(f"{place['out']}/events").collect()}
+    assert set(events) == {"a", "f"} and events["a"].measured_speedup_ms == 88.0 and not events["a"].similar_fix_used
+    assert Counter((r.stmt, r.stage) for r in chain.quarantined(spark, place["out"]).collect()) == Counter([("b", "statement"), ("c", "statement"), (None, "statement"), ("d", "plan")])
+
+    def down(_):
+        raise ConnectionError("no answer")
+
+    _chain(spark, place, SCORER, answers=down)(poll, 1)  # the source fails in one poll
+    failed = [(r.stmt, r.stage, r.why) for r in chain.quarantined(spark, place["out"]).collect() if r.batch_id == 1 and r.stage.startswith("failed")]
+    assert sorted(f[0] for f in failed) == ["a", "f"] and failed[0][1:] == ("failed_candidates", "ConnectionError: no answer")
+    for _ in range(2):  # the stream goes on, with the fixes of the first poll; a repeated poll does not find its own
+        each(poll, 2)
+    last = spark.read.parquet(f"{place['out']}/handled/batch_id=2").collect()
+    assert {r.stmt for r in last} == {"a", "f"} and all(r.similar_fix_used for r in last)
+    assert files.read_history(spark, place["parts"]).count() == 4
 
 
 def test_repeated_poll_is_written_once(spark, tmp_path):
