@@ -32,19 +32,39 @@ def test_runs_over_the_whole_table(spark, name):
 
 
 def brute(rows, k):
-    """First vector of each id by value, as integers; top k per query by (-score, id)."""
-    vectors = {}
-    for name, v in rows:
-        if name is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        v = [math.floor(1024 * x) for x in v]
-        vectors[name] = min(vectors.get(name, v), v)
+    """Integer vectors of all rows that take part; top k per query row by (-score, id) over all other rows."""
+    vectors = [(name, [math.floor(1024 * x) for x in v]) for name, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in vectors:
-        if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(vectors[q], v)), i) for i, v in vectors.items() if i != q)
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
-    return sorted(out)
+    for n, (q, a) in enumerate(vectors):
+        if q is not None and q % 100 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), (i is not None, i or 0), i) for m, (i, b) in enumerate(vectors) if m != n)
+            out += [(q, r + 1, i, -s) for r, (s, _, i) in enumerate(scored[:k])]
+    return sorted(out, key=str)
+
+
+def test_rows_under_one_id(spark):
+    frame = spark.createDataFrame([(i, [x]) for i, x in [(0, 0.5), (1, 1.0), (1, 1.0), (2, 0.25), (2, 0.9)]], "vec_id long, embedding array<double>")
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in nearest.top_k(frame).orderBy("rank").collect()]
+    assert got == [(1, 1, 512 * 1024), (2, 1, 512 * 1024), (3, 2, 512 * 921), (4, 2, 512 * 256)]
+
+
+def test_a_part_has_a_bound(spark, monkeypatch):
+    """Whatever the partitions hold, one task sees at most ANNULI annuli of at most ANNULUS vectors."""
+    monkeypatch.setattr(nearest, "ANNULUS", 8)
+    monkeypatch.setattr(nearest, "ANNULI", 4)
+    monkeypatch.setattr(nearest, "PIVOTS", 3)
+    kept = {}
+    keep = nearest.materialize
+    monkeypatch.setattr(nearest, "materialize", lambda df, label: kept.setdefault(label, keep(df, label)))
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, 2.0] if i % 3 == 0 else rng.normal(size=2).tolist()) for i in range(400)]
+    got = nearest.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 10)
+    parts = Counter()
+    for r in kept["annuli"].collect():
+        assert len(r["ids"]) <= 8 * 8
+        parts[r["part"]] += 1
+    assert max(parts.values()) <= 4 and len(parts) >= 13
 
 
 @pytest.mark.parametrize("annulus,pivots", [(512, 32), (7, 3), (1, 1)])
@@ -55,9 +75,9 @@ def test_top_k(spark, monkeypatch, annulus, pivots):
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(250)]
     rows += [(1000 + i, [1.0, 0.5, 0.0, 0.0, 0.0, 0.0]) for i in range(200)]  # one very common vector, two queries among them
     rows += [(300, None), (400, [1.0, None, 0.0]), (500, [float("nan")] * 6), (600, [float("inf")] * 6), (None, [1.0] * 6), (700, []), (800, [3.0, 3.0])]
-    rows += [(900, [0.0] * 6), (900, [0.0] * 6), (901, [2.0] * 6), (901, [1.0] * 6), (-100, [9.0] * 6)]
+    rows += [(900, [0.0] * 6), (900, [0.0] * 6), (901, [2.0] * 6), (901, [1.0] * 6), (-100, [9.0] * 6), (None, [9.0] * 6), (1100, [1.0, 0.5, 0.0, 0.0, 0.0, 0.0])]
     frame = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, VEC_ID string").repartition(5)
-    got = sorted(tuple(r) for r in nearest.top_k(frame).select("query_id", "rank", "vec_id", "score").collect())
+    got = sorted((tuple(r) for r in nearest.top_k(frame).select("query_id", "rank", "vec_id", "score").collect()), key=str)
     assert got == brute(rows, 10)
 
 
