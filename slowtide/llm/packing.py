@@ -5,8 +5,11 @@ has at most `LIMIT` rows whatever the input, goes to the driver. There, all patt
 fill a sequence exactly are enumerated (about 350,000 at most); multiplicative updates fit non-negative repeat counts
 whose use of each length comes nearest to the histogram; counts are rounded down. The same is tried with patterns that
 leave some waste, over the `HOT` most frequent lengths left, and what is left over then is packed best fit decreasing,
-again on counts; the plan of fewest sequences counts. Patterns of four or more lengths come from best fit only. The plan
-(how often each pattern is used) is bounded by the number of patterns. Spark then gives the k-th piece of a length its place: pieces are numbered within length by task and
+again on counts. Where the fewest sequences so far exceed what the ids need, patterns of any number of lengths are priced:
+a knapsack over the lengths finds the pattern that fills a sequence (but for a stated waste) and gains most by what the fit
+still lacks of each length, and the fit goes on with it, until no pattern gains. The plan of fewest sequences counts; as
+bin packing is hard, it may still miss the optimum. The plan (how often each pattern is used) is bounded by the number of
+patterns. Spark then gives the k-th piece of a length its place: pieces are numbered within length by task and
 then by the tasks before, so a length that most pieces share is still spread over all tasks.
 
 Edge cases: a null or empty text is its end id alone. Repeated rows and null ids are packed like any other. An
@@ -35,6 +38,9 @@ HOT = 96
 #: .. of at most this share of a sequence, each tried.
 WASTES = (32, 8)
 ROUNDS = 300
+#: Waste that priced patterns may leave (as a share of a sequence; 0: none), patterns at most, passes, and whether a pass
+#: takes its strongest pattern only.
+PRICINGS = ((0, 64, 2, False), (0, 12, 8, True), (256, 64, 1, False), (64, 64, 1, False))
 
 
 def patterns(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -135,21 +141,94 @@ def _take(found: np.ndarray, left: np.ndarray) -> list[tuple[tuple[int, ...], in
     return out
 
 
+def knapsack(lengths: np.ndarray, value: np.ndarray, limit: int, least: int) -> np.ndarray | None:
+    """How often each length stands in the pattern of `least` to `limit` ids whose values add up highest; None without one."""
+    best, last = np.full(limit + 1, -np.inf), np.full(limit + 1, -1)
+    best[0] = 0
+    for c in range(int(lengths[0]), limit + 1):
+        fits = int(np.searchsorted(lengths, c, side="right"))
+        gain = best[c - lengths[:fits]] + value[:fits]
+        last[c] = gain.argmax()
+        best[c] = gain[last[c]]
+    at = least + int(best[least:].argmax())
+    if not np.isfinite(best[at]):
+        return None
+    use = np.zeros(len(lengths), np.int64)
+    while at:
+        use[last[at]] += 1
+        at -= int(lengths[last[at]])
+    return use
+
+
+def priced(left: np.ndarray, waste: int, limit: int = LIMIT, most: int = 64, eager: bool = False) -> list[tuple[tuple[int, ...], int]]:
+    """Sequences of patterns of any number of lengths that leave at most `waste`, taken off `left`.
+
+    Patterns are added one at a time: the one that gains most by the residual of the least-squares fit of those so far.
+    """
+    lengths = np.flatnonzero(left[: limit + 1])
+    lengths = lengths[lengths > 0]
+    if not len(lengths):
+        return []
+    goal = left[lengths].astype(float)
+    used, x, known = np.zeros((0, len(lengths))), np.zeros(0), set()
+    while len(x) < most:
+        lacking = goal - used.T @ x
+        pattern = knapsack(lengths, lacking, limit, limit - waste)
+        if pattern is None or pattern.tobytes() in known or pattern @ lacking <= 1e-6 * goal.max():
+            break
+        known.add(pattern.tobytes())
+        used = np.vstack([used, pattern])
+        x = np.append(x, max(1.0, (pattern @ lacking) / (pattern @ pattern)))
+        square, up = used @ used.T, used @ goal
+        for _ in range(ROUNDS):
+            x *= up / np.maximum(square @ x, 1e-12)
+    out = []
+    for k in np.argsort(-x, kind="stable")[: 1 if eager else None].tolist():
+        on = used[k] > 0
+        reach = int((left[lengths[on]] // used[k][on].astype(np.int64)).min())
+        # the nearest whole number of repeats, as far as the lengths reach
+        times = reach if eager else min(int(np.rint(x[k])), reach)
+        if times:
+            left[lengths[on]] -= times * used[k][on].astype(np.int64)
+            out.append((tuple(np.repeat(lengths, used[k].astype(np.int64))[::-1].tolist()), times))
+    return out
+
+
+def least_sequences(counts: np.ndarray, limit: int = LIMIT) -> int:
+    """What the ids alone need, or the pieces longer than half a sequence."""
+    return max(-(-int(counts @ np.arange(limit + 1)) // limit), int(counts[limit // 2 + 1 :].sum()))
+
+
 def plan(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, times) of all sequences; each length is used as often as it occurs.
 
-    The one of fewest sequences of: best fit decreasing alone, after the exact patterns, and after those and loose ones.
+    The one of fewest sequences of: best fit decreasing alone, after the exact patterns, after those and loose ones, and,
+    if these need more than `least_sequences`, after priced patterns.
     """
     left = counts.astype(np.int64).copy()
     full = [((limit,), int(left[limit]))] if left[limit] else []
     left[limit] = 0
+    start = left.copy()
     made = [best_fit(left, limit)]
     exact = _take(patterns(left, limit), left)
     made.append(exact + best_fit(left, limit))
     for share in WASTES:
         rest = left.copy()
         made.append(exact + _take(loose(rest, limit // share, limit), rest) + best_fit(rest, limit))
-    return full + min(made, key=lambda m: sum(times for _, times in m))
+    size = lambda m: sum(times for _, times in m)
+    need = least_sequences(start, limit)
+    # what rounding leaves is fitted again; then the same with the strongest pattern alone, as often as it goes
+    for share, most, passes, eager in PRICINGS:
+        rest, taken = start.copy(), []
+        for _ in range(passes):
+            if min(map(size, made)) <= need:
+                break
+            new = priced(rest, limit // share if share else 0, limit, most, eager)
+            if not new:
+                break
+            taken = taken + new
+            made.append(taken + best_fit(rest, limit))
+    return full + min(made, key=size)
 
 
 def _places(made: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
