@@ -6,7 +6,7 @@ several widths, max pooling and a softmax; a text's distribution is the mean ove
 trained in numpy (Adam, seeded) on windows of labelled texts.
 
 Bounds: training sees at most `PER_LANGUAGE` documents of a language, `SAMPLE` in all, and `WINDOWS` windows
-of each, spread evenly over the text; documents whose crc32(doc_id) leaves 0 modulo `HOLD_OUT` are never
+of one row of each id, spread evenly over the text; documents whose crc32(doc_id) leaves 0 modulo `HOLD_OUT` are never
 seen. Prediction covers every byte of every text, in one pass without a shuffle.
 
 Edge cases: a null text, or one without a letter, gets `und` with score 0; an empty training set makes all
@@ -195,7 +195,10 @@ def fit(docs: DataFrame) -> Network:
                 names += [batch.column("lang")[i].as_py()] * len(some)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.binary())], names=["lang", "cut"])
 
-    sample = source.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang").mapInArrow(cuts, "lang string, cut binary").toPandas()
+    # one row of each id, whatever it is repeated; the filter on the number is applied before the shuffle, too
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "text")
+    rows = source.join(F.broadcast(chosen), "doc_id", "left_semi").withColumn("turn", F.row_number().over(one)).filter("turn = 1")
+    sample = rows.select("text", "lang").mapInArrow(cuts, "lang string, cut binary").toPandas()
     sample = sample.sort_values(["lang", "cut"], ignore_index=True)
     languages = sorted(sample["lang"].unique())
     if not languages:
