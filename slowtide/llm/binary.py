@@ -121,7 +121,10 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int = END, text: str = "t
     """Encode every text and write the shards; returns the written table (`WRITTEN`)."""
     ship(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ordered = source.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    # rows under one id, or without any, may be dealt to several tasks, and so may equal rows
+    order = [F.col("doc_id").asc_nulls_first(), F.col("code"), F.col("salt")]
+    marked = source.select("doc_id", "text", F.xxhash64("text").alias("code"), F.monotonically_increasing_id().alias("salt"))
+    ordered = marked.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def rows(batches):
         bits = width(max(encoder(tokenizer).size, end + 1))
