@@ -205,11 +205,19 @@ WITH template AS (
     SELECT row_no, template, span, count(DISTINCT place + k) AS n
     FROM (SELECT row_no, template, span, unnest(places) AS place FROM numbered), (SELECT unnest(range({K})) AS k) GROUP BY ALL
 ), merged AS (
-    SELECT row_no, template, label, family, base, least, size, span, min(diagonal + list_min(places)) AS first_word FROM numbered GROUP BY ALL
+    SELECT row_no, template, label, family, base, least, size, span, min(diagonal + list_min(places)) AS first_word,
+        max(diagonal + list_max(places)) + {K - 1} AS last_word
+    FROM numbered GROUP BY ALL
 ), verified AS (
     SELECT m.*, c.n / m.size AS coverage FROM merged m JOIN covered c USING (row_no, template, span) WHERE c.n / m.size >= m.least
+), ordered AS (
+    SELECT row_no, family, list([{{'coverage': coverage, 'first_word': first_word, 'last_word': last_word, 'label': label, 'base': base}}] ORDER BY coverage DESC) AS spans
+    FROM verified GROUP BY ALL
 ), best AS (
-    SELECT * FROM verified QUALIFY coverage = max(coverage) OVER (PARTITION BY row_no, family)
+    -- best coverage first: a span goes if one that stays covers its template better and shares a word with it
+    SELECT row_no, unnest(list_reduce(spans, lambda kept, s: CASE WHEN len(list_filter(kept, lambda x: x.coverage > s[1].coverage
+        AND x.first_word <= s[1].last_word AND s[1].first_word <= x.last_word)) > 0 THEN kept ELSE list_concat(kept, s) END), max_depth := 2)
+    FROM ordered
 ), found AS (
     SELECT row_no, count(*) FILTER (base) AS n_base, min(first_word) FILTER (base) AS first_word, max(first_word) FILTER (base) AS last_word,
         array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels,
