@@ -22,7 +22,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.llm.common import chunks, numbered, pick, text_bytes
@@ -298,14 +298,12 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", low
     )
     kept = kept.distinct()
     key = ["no_id__", "id__", "hash__"]
-    from pyspark.sql import Window
-
-    # equal rows share a key; the join has already brought them together
+    # equal rows share a key; a task sends on one of them at most (the filter on the number is applied before the shuffle)
     one = Window.partitionBy(*key).orderBy(F.lit(1))
     keyed = plain.select(
         "*", F.col(at[doc_id]).isNull().alias("no_id__"), F.coalesce(at[doc_id], F.lit(0)).alias("id__"), F.xxhash64(at[text]).alias("hash__")
     )
-    rows = keyed.join(kept, key, "left_semi").withColumn("turn__", F.row_number().over(one)).filter("turn__ = 1")
+    rows = keyed.withColumn("turn__", F.row_number().over(one)).filter("turn__ = 1").join(kept, key, "left_semi")
     return rows.drop(*key, "turn__").toDF(*docs.columns)
 
 

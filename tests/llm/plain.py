@@ -42,6 +42,10 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def fold(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
 def fingerprint(text):
     w = words(text)
     parts = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []

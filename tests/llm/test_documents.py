@@ -124,19 +124,20 @@ def test_summed_tables_equal_filters():
 # SimHash
 
 
+@pytest.mark.parametrize("lower", [False, True])
 @pytest.mark.parametrize("which", ["edge", "table"])
-def test_simhash(spark, which):
+def test_simhash(spark, which, lower):
     docs = plain.edge_docs(spark) if which == "edge" else plain.documents(spark)
     rows = pairs(docs)
-    prints = [plain.fingerprint(t) for _, t in rows]
+    prints = [plain.fingerprint(plain.fold(t) if lower else t) for _, t in rows]
     roots = plain.groups(prints)
     want = []
     for (d, _), p, root in zip(rows, prints, roots, strict=True):
         ids = [i for (i, _), r in zip(rows, roots, strict=True) if r == root and i is not None]
         want.append((str(d), p, str(min(ids, default=None))))
-    got = simhash.near_duplicates(pick(docs, "doc_id", "text")).collect()
+    got = simhash.near_duplicates(pick(docs, "doc_id", "text"), lower=lower).collect()
     assert sorted((str(r["doc_id"]), r["print"] % 2**64, str(r["component_id"])) for r in got) == sorted(want)
-    kept = simhash.one_of_each(docs)
+    kept = simhash.one_of_each(docs, lower=lower)
     assert kept.columns == docs.columns and kept.count() == len(set(roots))
 
 
