@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.operators.joins import with_author, with_vote_counts
@@ -32,6 +32,20 @@ def posts_with_weights(users: DataFrame, posts: DataFrame, votes: DataFrame, how
     return with_author(with_vote_counts(posts, votes, how), users)
 
 
+def distinct_by_place(posts: DataFrame, users: DataFrame, column: str, name: str) -> DataFrame:
+    """Users with posts, distinct values of a column of the posts, and posts by the location of their authors.
+
+    Posts are grouped by author and value before the join. Of these groups each place then has one row per value, so
+    counting distinct values is counting rows, without an expansion of the joined rows.
+    """
+    groups = posts.groupBy("owner_user_id", column).agg(F.count("*").alias("posts"))
+    # one of an author's groups stands for the author
+    first = F.row_number().over(Window.partitionBy("owner_user_id").orderBy(column)) == 1
+    met = with_author(groups.withColumn("first", first), users)
+    by_value = met.groupBy("u_location", column).agg(F.sum("posts").alias("posts"), F.count_if("first").alias("users"))
+    return by_value.groupBy(F.col("u_location").alias("location")).agg(F.sum("users").alias("users"), F.count(column).alias(name), F.sum("posts").alias("posts"))
+
+
 def vote_breakdown(users: DataFrame, posts: DataFrame, votes: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     """Votes received per user, one conditional count per kind."""
     per_post = votes.groupBy("post_id").agg(*[F.count_if(c).alias(n) for n, c in kinds.items()])

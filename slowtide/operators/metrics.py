@@ -161,16 +161,13 @@ def log_histogram(df: DataFrame, key: str, value: str, bins: int = 40, floor: fl
     The last bin includes its right edge; a key with one value uses a range of width one around it.
     """
     logged = df.select(F.col(key).alias("key__"), log10_floor(F.col(value), floor).alias("x"))
-    counts = logged.groupBy("key__", "x").agg(F.count("*").alias("same__"))
-    ends = counts.groupBy(F.col("key__").alias("end_key__")).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    # one row a key; the values themselves are only counted, by bin, before anything is shuffled
+    ends = logged.groupBy(F.col("key__").alias("end_key__")).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     place = F.when(flat, F.lit(0.5)).otherwise((F.col("x") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)))
     bin_of = F.least(F.floor(place * bins) + 1, F.lit(bins)).cast("int")
-    return (
-        counts.join(ends, F.col("key__") == F.col("end_key__"))
-        .groupBy(F.col("key__").alias(key), bin_of.alias("bin"))
-        .agg(F.sum("same__").alias("n"))
-    )
+    met = logged.join(ends, F.col("key__") == F.col("end_key__"))
+    return met.groupBy(F.col("key__").alias(key), bin_of.alias("bin")).agg(F.count("*").alias("n"))
 
 
 def low_cardinality_means(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:

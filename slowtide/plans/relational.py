@@ -447,9 +447,7 @@ _add(
 )
 _add(
     "a07_count_distinct_by_place",
-    lambda t: J.with_author(t.posts, t.users).groupBy(c("u_location").alias("location")).agg(
-        F.count_distinct("u_id").alias("users"), F.count_distinct("answer_count").alias("answer_counts"), F.count("*").alias("posts")
-    ),
+    lambda t: A.distinct_by_place(t.posts, t.users, "answer_count", "answer_counts"),
     f"""SELECT u.location, COUNT(DISTINCT u.id) AS users, COUNT(DISTINCT p.answer_count) AS answer_counts, COUNT(*) AS posts
        {AUTHORS} GROUP BY u.location""",
 )
@@ -515,9 +513,10 @@ _add(
 )
 _add(
     "a14_distinct_over_groups",
-    lambda t: J.with_author(t.posts, t.users)
+    # posts by owner and type first, so that the join meets groups; means are sums over counts
+    lambda t: J.with_author(t.posts.groupBy("owner_user_id", "post_type_id").agg(F.sum("score").alias("s"), F.count("score").alias("n")), t.users)
     .groupBy(c("u_location").alias("location"), "post_type_id")
-    .agg(r4(F.avg("score"), "avg_score"))
+    .agg(r4(F.try_divide(F.sum("s").cast("double"), F.sum("n")), "avg_score"))
     .distinct(),
     f"SELECT DISTINCT u.location, p.post_type_id, round(AVG(p.score), 4) AS avg_score {AUTHORS} GROUP BY u.location, p.post_type_id",
 )
@@ -569,7 +568,12 @@ def _any_groups(t):
     return some.agg(F.count("*").alias("n_rows")).select("n_rows", found.agg(F.count("*")).scalar().alias("n_members"))
 
 
-_add("a17_group_then_any", _any_groups, "SELECT CAST(10 AS BIGINT) AS n_rows, CAST(10 AS BIGINT) AS n_members")
+_add(
+    "a17_group_then_any",
+    _any_groups,
+    """WITH groups AS (SELECT p.title, count(*) AS n FROM posts p JOIN votes v ON v.post_id = p.id GROUP BY p.title)
+       SELECT least(10, count(*)) AS n_rows, least(10, count(*)) AS n_members FROM groups""",
+)
 
 # ---- windows
 

@@ -315,7 +315,7 @@ def test_unreadable_plans_are_told_apart(spark):
 
     deep = '{"Plans": [' * 600 + "{}" + "]}" * 600
     df = spark.createDataFrame([('{"Plan": {}}',), ("{cut",), (None,), (deep,)], "d string").coalesce(1)
-    assert [r[0] for r in df.select(plan_rejected(c("d"))).collect()] == [False, True, False, True]
+    assert [r[0] for r in df.select(plan_rejected(c("d"))).collect()] == [False, True, False, False]
 
 
 def test_grid_keeps_large_integers(spark):
@@ -390,6 +390,44 @@ def test_plan_features(spark):
         assert (r.p.plan_depth, r.p.shared_hit, r.p.has_seq_scan, r.p.has_bitmap_scan) == cases[r.d]
 
 
+def test_plans_of_any_depth(spark):
+    from slowtide.functions import plantree
+
+    deep = '{"Node Type":"Limit","Shared Hit Blocks":1,"Total Cost":"7.5","Plans":[' * 5000 + '{"Node Type":"Seq Scan","Shared Read Blocks":2}' + "]}" * 5000
+    df = spark.createDataFrame([(f'{{"Plan": {deep}}}',), (deep[:-1],)], "d string").coalesce(1)
+    whole, cut = df.select(plan_features(c("d")).alias("p"), plantree.plan_rejected(c("d")).alias("bad")).collect()
+    assert (whole.p.plan_depth, whole.p.shared_hit, whole.p.shared_read, whole.p.has_seq_scan, whole.p.plan_total_cost, whole.bad) == (5000, 5000, 2, 1, 7.5, False)
+    assert cut.bad and cut.p.plan_depth == 0
+
+
+def test_token_parser_agrees_with_the_library():
+    import json
+
+    from slowtide.functions.plantree import _parse_deep
+
+    rnd = random.Random(7)
+
+    def value(depth):
+        kind = rnd.randrange(7 if depth else 5)
+        if kind > 4:
+            return [value(depth - 1) for _ in range(rnd.randrange(4))] if kind == 5 else {rnd.choice(["a", 'b"', "ü\\"]): value(depth - 1) for _ in range(rnd.randrange(4))}
+        return rnd.choice([1, -2.5, 1e30, "x\n\"y", "", None, True, False, 12345678901234567890])
+
+    for _ in range(300):
+        v = value(4)
+        assert _parse_deep(json.dumps(v, indent=rnd.choice([None, 1]))) == v
+        text = list(json.dumps(v))
+        text[rnd.randrange(len(text))] = rnd.choice('{}[],:"x1 ')
+        text = "".join(text)
+        try:
+            want = json.loads(text)
+        except ValueError:
+            with pytest.raises(ValueError):
+                _parse_deep(text)
+        else:
+            assert _parse_deep(text) == want
+
+
 # ---- preparation
 
 
