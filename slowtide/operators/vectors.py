@@ -16,8 +16,9 @@ from slowtide.session import materialize, ship
 SIMILAR = 0.7
 # rows of one matrix product
 STRIP = 512
-# Pivots of the index, the entries they are chosen from, and rings of angle around each.
-PIVOTS, SAMPLE, RINGS = 64, 4096, 16
+# Pivots of the index at most, the entries they are chosen from, rings of angle around each at most, and entries that a
+# cell should hold before there is another one.
+PIVOTS, SAMPLE, RINGS, CELL = 64, 4096, 16, 16384
 # Angles are compared with this margin; arccos is exact to about 1e-8 near 0.
 SLACK = 1e-6
 
@@ -64,21 +65,27 @@ def farthest_first(sample: np.ndarray, n: int) -> np.ndarray:
 class Index:
     """The history in cells: nearest pivot and ring of its angle, with the true range of angles of each cell."""
 
-    def __init__(self, pivots: np.ndarray, cells: pd.DataFrame, rows: DataFrame):
-        self.pivots, self.rows = pivots, rows
+    def __init__(self, pivots: np.ndarray, rings: int, cells: pd.DataFrame, rows: DataFrame):
+        self.pivots, self.rings, self.rows = pivots, rings, rows
         self.cell = cells["cell"].to_numpy()
         self.low, self.high = cells["low"].to_numpy(), cells["high"].to_numpy()
 
 
-def least_angles(units: np.ndarray, pivots: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Of each row and cell, an angle that no entry of the cell is nearer than (triangle inequality)."""
-    away = _angles(units, pivots)[:, cells // RINGS]
+def least_angles(units: np.ndarray, pivots: np.ndarray, owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Of each row and cell, an angle that no entry of the cell is nearer than (triangle inequality); `owner` is the cell's pivot."""
+    away = _angles(units, pivots)[:, owner]
     return np.maximum(0.0, np.maximum(away - high, low - away))
 
 
-def build_index(history: DataFrame, pivots: int = PIVOTS) -> Index:
-    """Index every entry (entry_id, vector) that has a direction; pivots come from at most `SAMPLE` of them."""
+def build_index(history: DataFrame, pivots: int = PIVOTS, cell: int = CELL) -> Index:
+    """Index every entry (entry_id, vector) that has a direction; pivots come from at most `SAMPLE` of them.
+
+    There is a cell for about every `cell` entries, up to `pivots` pivots and then up to `RINGS` rings around each.
+    """
     ship(history.sparkSession)
+    wanted = -(-max(1, history.count()) // cell)
+    pivots = min(pivots, wanted)
+    rings = min(RINGS, -(-wanted // pivots))
     source = history.select("entry_id", F.col("vector").cast("array<double>").alias("vector"))
     sample = source.orderBy(F.xxhash64("entry_id"), "entry_id").limit(SAMPLE).toArrow()
     units, _ = _ones(sample.column("vector").combine_chunks())
@@ -92,26 +99,26 @@ def build_index(history: DataFrame, pivots: int = PIVOTS) -> Index:
             away = _angles(unit, chosen)
             nearest = away.argmin(axis=1)
             angle = away[np.arange(len(unit)), nearest]
-            cell = nearest * RINGS + np.minimum(angle / np.pi * RINGS, RINGS - 1).astype(int)
+            cell = nearest * rings + np.minimum(angle / np.pi * rings, rings - 1).astype(int)
             kept = batch.column("entry_id").filter(pa.array(usable))
             yield pa.RecordBatch.from_arrays([kept, pa.array(list(unit), pa.list_(pa.float64())), pa.array(cell.astype(np.int32)), pa.array(angle)], names=["entry_id", "unit", "cell", "angle"])
 
     rows = materialize(source.mapInArrow(keyed, "entry_id bigint, unit array<double>, cell int, angle double"), "index")
     # at most PIVOTS * RINGS rows
     cells = rows.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).orderBy("cell").toPandas()
-    return Index(chosen, cells, rows)
+    return Index(chosen, rings, cells, rows)
 
 
 def _routes(lookups: DataFrame, index: Index, visit: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """A row for each lookup and cell that it visits."""
-    pivots, cells, low, high = index.pivots, index.cell, index.low, index.high
+    pivots, cells, owner, low, high = index.pivots, index.cell, index.cell // index.rings, index.low, index.high
 
     def routed(batches):
         for batch in batches:
             if not batch.num_rows or not len(cells):
                 continue
             unit = batch.column("unit").flatten().to_numpy().reshape(batch.num_rows, -1)
-            at, which = np.nonzero(visit(least_angles(unit, pivots, cells, low, high), batch.column("floor").to_numpy()))
+            at, which = np.nonzero(visit(least_angles(unit, pivots, owner, low, high), batch.column("floor").to_numpy()))
             columns = [batch.column(n).take(pa.array(at)) for n in ("lookup_id", "unit", "floor")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(cells[which].astype(np.int32))], names=["lookup_id", "unit", "floor", "cell"])
 

@@ -348,7 +348,7 @@ _add(
 _add(
     "v04_indexed_lookup",
     # the index is built once and serves any number of lookups
-    lambda t: (lambda asked, history: vectors.similar_fixes(asked, history, threshold=0.4, k=5, exclude_same_id=True, index=vectors.build_index(history, pivots=16)))(*_sides(t)).select(
+    lambda t: (lambda asked, history: vectors.similar_fixes(asked, history, threshold=0.4, k=5, exclude_same_id=True, index=vectors.build_index(history, cell=64)))(*_sides(t)).select(
         "lookup_id", "entry_id", c("rank").cast("bigint").alias("rank"), r4(c("similarity"), "similarity")
     ),
     f"WITH {SQL_SIMILAR} SELECT lookup_id, entry_id, rank, round(similarity, 4) AS similarity FROM placed WHERE rank <= 5",

@@ -42,7 +42,7 @@ def start(
     return writer.trigger(processingTime=f"{POLL_SECONDS} seconds").start()
 
 
-BUCKETS = 64
+BUCKETS = 16
 
 
 def _bucket(key, buckets: int):
@@ -83,7 +83,7 @@ def keep_first_seen(path: str, horizon: str, buckets: int = BUCKETS) -> Callable
         known = known.filter(F.col("since").isNull() | (F.col("last") >= F.col("since"))).select(F.col("key").alias("known_key")).distinct()
         new = mine.join(known, F.col("key").eqNullSafe(F.col("known_key")), "left_anti")
         write_batch(new.select("first.*"), batch_id, f"{path}/new")
-        mine.select("key", "last", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/seen/batch_id={batch_id}")
+        mine.select("key", "last", "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/seen/batch_id={batch_id}")
 
     return each
 
@@ -144,7 +144,7 @@ def keep_top(path: str, threshold_ms: float, n: int = 10, buckets: int = BUCKETS
     def each(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         part = mean_parts(rows).withColumn("bucket", _bucket("query", buckets))
-        part.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/sums/batch_id={batch_id}")
+        part.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/sums/batch_id={batch_id}")
         touched = [r["bucket"] for r in spark.read.schema(sums).parquet(f"{path}/sums/batch_id={batch_id}").select("bucket").distinct().collect()]  # at most `buckets`
         merged = _earlier(spark, f"{path}/merged", sums, batch_id)
         done = merged.agg(F.max("batch_id")).first()[0]
@@ -162,7 +162,7 @@ def keep_top(path: str, threshold_ms: float, n: int = 10, buckets: int = BUCKETS
         kept = spark.read.schema(best).parquet(f"{path}/best/batch_id={batch_id}").select(F.inline("best"))
         write_batch(slow_statements(kept, threshold_ms, n), batch_id, f"{path}/top")
         if batch_id % merge_every == merge_every - 1:
-            total(parts).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/merged/batch_id={batch_id}")
+            total(parts).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/merged/batch_id={batch_id}")
 
     return each
 

@@ -515,8 +515,9 @@ def test_similar_fixes_against_brute_force(spark):
         best = max(range(40), key=lambda j: (cos(v, vecs[j]), -j))
         want[100 + i] = best if cos(v, vecs[best]) > 0.7 else None
     for rows in (4096, 7):
-        got = vectors.with_similar_fix(lookups, history, block_rows=rows)
-        assert {r.lookup_id: r.entry_id for r in got.collect()} == want
+        for index in (None, vectors.build_index(history, cell=5)):
+            got = vectors.with_similar_fix(lookups, history, block_rows=rows, index=index)
+            assert {r.lookup_id: r.entry_id for r in got.collect()} == want
     assert vectors.with_similar_fix(lookups, history.limit(0)).filter("entry_id is not null").count() == 0
 
 
@@ -536,7 +537,7 @@ def test_lookup_meets_few_cells_and_loses_nothing(spark, k):
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
     sims = np.round(unit(asked) @ unit(entries).T, 12)
     want = {(i, int(j), round(float(sims[i, j]), 10)) for i in range(len(asked)) for j in np.lexsort((np.arange(len(entries)), -sims[i]))[:k] if sims[i, j] > 0.7}
-    index = vectors.build_index(history)
+    index = vectors.build_index(history, cell=10)
     for rows in (16384, 50):
         got = {(r.lookup_id, r.entry_id, round(r.similarity, 10)) for r in vectors.similar_fixes(lookups, history, k=k, block_rows=rows, index=index).collect()}
         assert {g[0::2] for g in got} == {w[0::2] for w in want} and (k > 1 or got == want)
