@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slowtide.session import materialize
+
 
 def having_match(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
     """Rows of `left` whose key occurs in `right` (IN, EXISTS)."""
@@ -70,7 +72,7 @@ def first_pairs(
     one row's partners.
     """
     last = df.groupBy(F.col(key).alias("key__")).agg(F.max(ident).alias("last__"))
-    heads = (
+    found = (
         df.filter(head)
         .join(last, F.col(key) == F.col("key__"))
         .filter(F.col(ident) < F.col("last__"))
@@ -78,6 +80,8 @@ def first_pairs(
         .orderBy(ident)
         .limit(limit)
     )
+    # at most `limit` rows, read by the counts and by the pairs
+    heads = materialize(found, "heads")
     marks = heads.groupBy(F.col(key).alias("key__")).agg(F.sort_array(F.collect_list(ident)).alias("marks__"))
     passed = F.size(F.filter("marks__", lambda m: m < F.col(ident)))
     later = (

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,11 +54,36 @@ def fit_slow_model(df: DataFrame, features: Sequence[str], label: str = "y_slow"
     ).fit(assemble(weighted, features))
 
 
+def balanced(df: DataFrame, label: str) -> DataFrame:
+    """Rows in which both classes count alike: rows of the rarer class are repeated, none is dropped.
+
+    A row is repeated by the whole part of the ratio, and once more for a share of the rows (by their
+    hash) that makes up for the rest; the result has at most twice the rows of the larger class.
+    With a single class nothing is repeated.
+    """
+    counts = pos_weight(df, label).first()
+    fewer, more = sorted((counts["slow"], counts["fast"]))
+    ratio = more / fewer if fewer else 1.0
+    rare = F.col(label) == (1 if counts["slow"] <= counts["fast"] else 0)
+    rest = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) < int((ratio - int(ratio)) * (1 << 20))
+    times = F.when(rare, F.lit(int(ratio)) + rest.cast("int")).otherwise(1)
+    return df.withColumn("again__", F.explode(F.array_repeat(F.lit(1), times))).drop("again__")
+
+
 def fit_perceptron(df: DataFrame, features: Sequence[str], label: str = "y_slow", max_iter: int = 60, seed: int = 42):
-    """The layered variant of the slow-probability model."""
-    return MultilayerPerceptronClassifier(
-        featuresCol="features", labelCol=label, layers=[len(features), 64, 32, 16, 2], maxIter=max_iter, seed=seed
-    ).fit(assemble(df, features))
+    """The layered variant of the slow-probability model, on standardised features and balanced classes.
+
+    The fitted model takes rows with the features as they are.
+    """
+    net = MultilayerPerceptronClassifier(
+        featuresCol="scaled", labelCol=label, layers=[len(features), 64, 32, 16, 2], maxIter=max_iter, seed=seed
+    )
+    stages = [
+        VectorAssembler(inputCols=list(features), outputCol="features"),
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        net,
+    ]
+    return Pipeline(stages=stages).fit(balanced(df.select(*features, label), label))
 
 
 def _linear(features: Sequence[str], weights: Sequence[float], bias: float) -> Column:
@@ -68,13 +94,20 @@ def _linear(features: Sequence[str], weights: Sequence[float], bias: float) -> C
 
 
 def fit_quantile(
-    df: DataFrame, features: Sequence[str], target: str = "y_log", tau: float = TAU, steps: int = 12
+    df: DataFrame,
+    features: Sequence[str],
+    target: str = "y_log",
+    tau: float = TAU,
+    steps: int = 12,
+    tolerance: float = 5e-3,
+    most_steps: int = 40,
 ) -> tuple[list[float], float]:
     """Linear quantile regression: weights and intercept that make the pinball loss small.
 
     Repeated weighted least squares, one pass over the rows each: a row weighs its pinball slope
-    over the size of its last error, so the weighted squares approach the pinball loss. At the end
-    the intercept becomes the exact quantile of what the weights leave over, which is its best
+    over the size of its last error, so the weighted squares approach the pinball loss. After `steps`
+    passes the fit goes on until `quantile_slopes` are below `tolerance`, at most `most_steps` in all.
+    At the end the intercept becomes the exact quantile of what the weights leave over, which is its best
     value. Only coefficients come to the driver.
     """
     kept = materialize(df.select(*features, target), "quantile")
@@ -82,7 +115,9 @@ def fit_quantile(
     if features:
         ready = assemble(kept, features)
         solver = LinearRegression(featuresCol="features", labelCol=target, weightCol="weight__", solver="normal", regParam=0.0)
-        for step in range(steps):
+        for step in range(most_steps):
+            if step >= steps and max(quantile_slopes(kept, features, weights, bias, target, tau).first()) < tolerance:
+                break
             gap = F.col(target) - _linear(features, weights, bias)
             slope = F.when(gap >= 0, tau).otherwise(1 - tau)
             weight = slope / F.greatest(F.abs(gap), F.lit(max(1e-4, 0.5**step))) if step else F.lit(1.0)
@@ -95,6 +130,36 @@ def fit_quantile(
     return weights, float(quantiles(left, [], "left", {"q": tau}).first()["q"])
 
 
+def quantile_slopes(
+    df: DataFrame, features: Sequence[str], weights: Sequence[float], bias: float, target: str = "y_log", tau: float = TAU
+) -> DataFrame:
+    """How far a quantile fit is from its optimum: one row, `intercept` and one column per feature.
+
+    At the minimum of the pinball loss zero is among its slopes in every direction. A column holds the
+    least absolute mean slope, the feature taken as (x - mean) / deviation; a row that is met exactly
+    may have any slope between tau - 1 and tau. All columns are zero at an exact optimum.
+    """
+    known = df
+    if features:
+        ends = df.agg(*[F.struct(F.avg(f).alias("mean"), F.stddev_pop(f).alias("scale")).alias(f) for f in features])
+        known = df.withColumn("fit__", ends.select(F.struct(*features)).scalar())
+    gap = F.col(target) - _linear(features, weights, bias)
+    met = F.abs(gap) < 1e-9
+
+    def least(x: Column) -> Column:
+        fixed = F.avg(F.when(met, 0.0).when(gap > 0, tau * x).otherwise((tau - 1) * x))
+        # the ties reach from `low` to `high`; what they cannot cancel is left
+        low = F.avg(F.when(met, F.least(tau * x, (tau - 1) * x)).otherwise(0.0))
+        high = F.avg(F.when(met, F.greatest(tau * x, (tau - 1) * x)).otherwise(0.0))
+        return F.greatest(fixed + low, -(fixed + high), F.lit(0.0))
+
+    def scaled(f: str) -> Column:
+        spread = F.col(f"fit__.{f}.scale")
+        return (F.col(f) - F.col(f"fit__.{f}.mean")) / F.when(spread == 0, 1.0).otherwise(spread)
+
+    return known.agg(least(F.lit(1.0)).alias("intercept"), *[least(scaled(f)).alias(f) for f in features])
+
+
 def fit_scorer(train: DataFrame, features: Sequence[str], steps: int = 12) -> Scorer:
     """Both heads on standardised features; `train` has `y_slow` and `y_log`."""
     means, scales = fit_scale(train, features)
@@ -108,6 +173,6 @@ def fit_scorer(train: DataFrame, features: Sequence[str], steps: int = 12) -> Sc
     )
 
 
-def fit_squared(df: DataFrame, features: Sequence[str], target: str = "y_log", seed: int = 42):
+def fit_squared(df: DataFrame, features: Sequence[str], target: str = "y_log", seed: int = 42, depth: int = 4):
     """The squared-error variant of the log-time model."""
-    return GBTRegressor(featuresCol="features", labelCol=target, maxIter=10, maxDepth=4, seed=seed).fit(assemble(df, features))
+    return GBTRegressor(featuresCol="features", labelCol=target, maxIter=10, maxDepth=depth, seed=seed).fit(assemble(df, features))

@@ -152,7 +152,7 @@ _add(
 )
 _add(
     "m06_perceptron",
-    lambda t: models.fit_perceptron(_fitting_rows(t), _FIT).transform(models.assemble(_fitting_rows(t), _FIT)).select("event_id", "label", "prediction"),
+    lambda t: models.fit_perceptron(_fitting_rows(t), _FIT).transform(_fitting_rows(t)).select("event_id", "label", "prediction"),
 )
 
 
@@ -175,6 +175,116 @@ _add(
     .select("row_id", "y_log", "prediction"),
 )
 
+# ---- fits with a closed form: with an indicator per group the best fit of each group is known
+
+_GROUPS = range(2, 8)
+_INDICATORS = [f"line_{k}" for k in _GROUPS]
+
+
+def _grouped(t):
+    """Lineitems with an indicator of each line number but the first."""
+    rows = models.targets(_labelled(t)).withColumns({f"line_{k}": (c("l_linenumber") == k).cast("double") for k in _GROUPS})
+    return rows.select("l_linenumber", *_INDICATORS, "label", "y_slow", "y_log")
+
+
+def _slow_by_group(t):
+    """The weighted logistic fit gives each group its weighted share of slow rows."""
+    rows = _grouped(t)
+    model = models.fit_slow_model(rows, _INDICATORS)
+    p = F.get(_vector_values("probability"), F.lit(1))
+    return model.transform(models.assemble(rows, _INDICATORS)).groupBy("l_linenumber").agg(
+        F.count("*").alias("n"), F.round(F.max(p), 3).alias("p_most"), F.round(F.min(p), 3).alias("p_least")
+    )
+
+
+_add(
+    "m06_slow_by_group",
+    _slow_by_group,
+    f"""WITH {_LABELLED_SQL}, w AS (SELECT count(*) FILTER (label = 'fast') / count(*) FILTER (label = 'slow') AS w FROM labelled),
+       p AS (SELECT l_linenumber, count(*) AS n, any_value(w) * count(*) FILTER (label = 'slow') AS s, count(*) FILTER (label = 'fast') AS f FROM labelled, w GROUP BY l_linenumber)
+       SELECT l_linenumber, n, round(s / (s + f), 3) AS p_most, round(s / (s + f), 3) AS p_least FROM p""",
+)
+
+
+def _perceptron_by_group(t):
+    """The class the network gives to each decade of the quantity is the one with the larger weighted share.
+
+    Slow are the quantities from 20 to 39, a band that no linear model parts, but for rows of high tax.
+    """
+    band = c("l_quantity").between(20, 39)
+    rows = t.lineitem.select(
+        F.floor(c("l_quantity") / 10).cast("double").alias("decade"),
+        F.when(c("l_tax") >= 0.07, ~band).otherwise(band).cast("double").alias("y_slow"),
+    )
+    model = models.fit_perceptron(rows, ["decade"])
+    return model.transform(rows).groupBy(c("decade").cast("int").alias("decade")).agg(
+        F.count("*").alias("n"), F.max("prediction").alias("most"), F.min("prediction").alias("least")
+    )
+
+
+_add(
+    "m06_perceptron_by_group",
+    _perceptron_by_group,
+    """WITH r AS (SELECT CAST(floor(l_quantity / 10) AS INTEGER) AS decade, (l_quantity BETWEEN 20 AND 39) <> (l_tax >= 0.07) AS slow FROM lineitem),
+       w AS (SELECT count(*) FILTER (NOT slow) / count(*) FILTER (slow) AS w FROM r)
+       SELECT decade, count(*) AS n, CAST(any_value(w) * count(*) FILTER (slow) > count(*) FILTER (NOT slow) AS DOUBLE) AS most,
+         CAST(any_value(w) * count(*) FILTER (slow) > count(*) FILTER (NOT slow) AS DOUBLE) AS least FROM r, w GROUP BY decade""",
+)
+
+
+def _quantile_by_group(t):
+    """The pinball loss of each group is the least there is, that of its own quantile."""
+    rows = _grouped(t)
+    weights, bias = models.fit_quantile(rows, _INDICATORS)
+    predicted = F.lit(bias)
+    for name, w in zip(_INDICATORS, weights):
+        predicted = predicted + c(name) * F.lit(w)
+    gap = c("y_log") - predicted
+    loss = F.greatest(M.TAU * gap, (M.TAU - 1) * gap)
+    return rows.groupBy("l_linenumber").agg(F.count("*").alias("n"), r4(F.avg(loss), "pinball"))
+
+
+_add(
+    "m07_quantile_by_group",
+    _quantile_by_group,
+    f"""WITH {_LABELLED_SQL}, q AS (SELECT l_linenumber AS line, quantile_cont(ln(1 + ms), 0.7) AS q FROM labelled GROUP BY line)
+       SELECT l_linenumber, count(*) AS n, round(avg(greatest(0.7 * (ln(1 + ms) - q), -0.3 * (ln(1 + ms) - q))), 4) AS pinball
+       FROM labelled JOIN q ON line = l_linenumber GROUP BY l_linenumber""",
+)
+
+
+def _quantile_slopes(t):
+    """No direction lowers the loss of the fit of m07_quantile_model."""
+    rows = models.targets(_labelled(t)).select(*NUMBERS, "y_log")
+    weights, bias = models.fit_quantile(rows, NUMBERS)
+    slopes = models.quantile_slopes(rows, NUMBERS, weights, bias)
+    n = rows.agg(F.count("*")).scalar()
+    return slopes.unpivot([], ["intercept", *NUMBERS], "direction", "slope").select(n.alias("n"), "direction", (c("slope") < 5e-3).alias("flat"))
+
+
+_add(
+    "m07_quantile_slopes",
+    _quantile_slopes,
+    f"SELECT n, direction, TRUE AS flat FROM (SELECT count(*) AS n FROM lineitem), unnest({['intercept', *NUMBERS]}) AS x(direction)",
+)
+
+
+def _squared_by_group(t):
+    """Trees deep enough to part the groups predict each group's mean."""
+    rows = models.assemble(_grouped(t), ["l_linenumber"])
+    model = models.fit_squared(_grouped(t), ["l_linenumber"], depth=6)
+    return model.transform(rows).groupBy("l_linenumber").agg(
+        F.count("*").alias("n"), r4(F.max("prediction"), "most"), r4(F.min("prediction"), "least")
+    )
+
+
+_add(
+    "m07_squared_by_group",
+    _squared_by_group,
+    f"""WITH {_LABELLED_SQL} SELECT l_linenumber, count(*) AS n, round(avg(ln(1 + ms)), 4) AS most, round(avg(ln(1 + ms)), 4) AS least
+       FROM labelled GROUP BY l_linenumber""",
+)
+
 # ---- metrics on the scored lineitems
 
 _add(

@@ -579,6 +579,41 @@ def test_quantile_recovers_a_line(spark):
     assert sum(y <= w * x + b + 1e-9 for x, y in rows) / 400 == pytest.approx(0.7, abs=0.02)
 
 
+def test_slopes_vanish_at_the_optimum_only(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.random() * 10, rnd.gauss(0, 1)) for _ in range(500)]
+    df = spark.createDataFrame([(x, 2 * x + e) for x, e in rows], "x double, y_log double")
+    weights, bias = models.fit_quantile(df, ["x"])
+    at, off = (models.quantile_slopes(df, ["x"], w, bias).first() for w in (weights, [weights[0] + 0.3]))
+    assert max(at) < 5e-3
+    assert max(off) > 0.05
+    # a row met exactly may have any slope: the median of three is an optimum, its neighbour is not
+    three = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "y_log double")
+    assert models.quantile_slopes(three, [], [], 2.0, tau=0.5).first().intercept == 0.0
+    assert models.quantile_slopes(three, [], [], 3.0, tau=0.5).first().intercept == pytest.approx(1 / 6)
+
+
+@pytest.mark.parametrize("slow, fast", [(10, 25), (25, 10), (7, 7), (0, 5), (5, 0)])
+def test_balanced_repeats_the_rarer_class(spark, slow, fast):
+    df = spark.createDataFrame([(i, 1.0 if i < slow else 0.0) for i in range(slow + fast)], "i int, y_slow double")
+    got = models.balanced(df, "y_slow").groupBy("i", "y_slow").count().collect()
+    assert len(got) == slow + fast  # no row is lost
+    total = {y: sum(r["count"] for r in got if r.y_slow == y) for y in (0.0, 1.0)}
+    larger, rare = max(slow, fast), 1.0 if slow <= fast else 0.0
+    assert total[1 - rare] == larger
+    if min(slow, fast):
+        assert larger // min(slow, fast) * min(slow, fast) <= total[rare] <= (larger // min(slow, fast) + 1) * min(slow, fast)
+
+
+def test_perceptron_takes_unscaled_and_unbalanced_rows(spark):
+    rnd = random.Random(12)
+    # one row in eleven is slow, at features of very different sizes
+    rows = [(1e6 + 1e3 * rnd.random() + (2e3 if i % 11 == 0 else 0), 1e-6 * rnd.random(), float(i % 11 == 0)) for i in range(660)]
+    df = spark.createDataFrame(rows, "a double, b double, y_slow double")
+    right = models.fit_perceptron(df, ["a", "b"]).transform(df).filter("prediction = y_slow").count()
+    assert right == 660
+
+
 def test_scorer_learns_and_clips(spark):
     rnd = random.Random(9)
     rows = [(float(i % 7), 1.0, float(i % 7 > 3), math.log1p((i % 7) * 40 + rnd.random())) for i in range(350)]
