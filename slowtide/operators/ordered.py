@@ -146,20 +146,36 @@ def ntile(df: DataFrame, order: Sequence[Column], tiles: int, name: str) -> Data
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles per key, without gathering a key's values in one place.
 
-    Equal values are counted first; the counts are then accumulated in value order.
+    Equal values are counted first, which is the only pass over `df`; the counts lie in range slices.
+    One row per key and slice gives what came before the slice and the size of the key, so only the
+    slices that hold a wanted place are read again and put in order.
     """
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count("*").alias("same__"))
     )
-    upto = running_sums(counts, keys, [F.col(value)], {"upto__": F.col("same__")})
-    totals = counts.groupBy(*keys).agg(F.sum("same__").alias("rows__"))
-    if keys:
-        sized = join_on(upto, totals, keys)
-    else:
-        sized = upto.withColumn("rows__", totals.scalar())
+    cut = _cut(counts, keys, [F.col(value)])
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        cut.groupBy(*keys, SLICE)
+        .agg(F.sum("same__").alias("here__"))
+        .withColumn("rows__", F.sum("here__").over(whole))
+        .withColumn("before__", F.coalesce(F.sum("here__").over(earlier), F.lit(0)))
+    )
     last = F.col("rows__") - 1
+    wanted = F.lit(False)
+    for p in probs.values():
+        for place in (F.floor(last * F.lit(float(p))), F.ceil(last * F.lit(float(p)))):
+            wanted = wanted | ((F.col("before__") <= place) & (place < F.col("before__") + F.col("here__")))
+    found = slices.filter(wanted).drop("here__").withColumnRenamed(SLICE, "found_slice__")
+    found = found.withColumnsRenamed({k: f"found_{k}__" for k in keys})
+    same = F.col(SLICE) == F.col("found_slice__")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"found_{k}__"))
+    inside_slice = Window.partitionBy(SLICE, *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    sized = cut.join(found, same).withColumn("upto__", F.col("before__") + F.sum("same__").over(inside_slice))
 
     def at(place: Column) -> Column:
         inside = (F.col("upto__") - F.col("same__") <= place) & (place < F.col("upto__"))
