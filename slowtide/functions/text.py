@@ -92,7 +92,7 @@ def strategy(original: Column, rewritten: Column) -> Column:
 
 def optimisation_flags(slow: Column, predicted: Column) -> dict[str, Column]:
     old, new = F.upper(slow), F.upper(predicted)
-    flags = {
+    flags = {  # fixed values: the names of the flags and what each looks for
         "removed_select_star": old.contains("SELECT *") & ~new.contains("SELECT *"),
         "added_limit": ~old.contains("LIMIT") & new.contains("LIMIT"),
         "added_where": ~old.contains("WHERE") & new.contains("WHERE"),
@@ -107,6 +107,7 @@ def optimisation_flags(slow: Column, predicted: Column) -> dict[str, Column]:
 
 def clean_pair_text(sql: Column) -> Column:
     """Without HTML entities, decoding artefacts of `id`, and non-ASCII characters."""
+    # fixed values: the pattern of an entity, and the aliases whose `.id` was decoded as `.99`
     out = F.regexp_replace(sql, "&[a-zA-Z]+;", "")
     for alias in ("u", "p", "v"):
         out = F.replace(out, F.lit(f"{alias}.99"), F.lit(f"{alias}.id"))

@@ -73,6 +73,7 @@ def insert_absent(batch: DataFrame, target: DataFrame, key: str, order: Sequence
 def prompts(pairs: DataFrame, fixes: DataFrame | None = None, key: str = "pair_id") -> DataFrame:
     """`prompt` and `target` per pair; `fixes` (key, slow_query, fix, speedup_ms) adds the nearest past fix."""
     slow = strip(F.col("slow"))
+    # fixed values: the headings of the prompt
     context = F.lit(PROMPT_SCHEMA)
     if fixes is not None:
         pairs = pairs.join(fixes, key, "left")

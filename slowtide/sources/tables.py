@@ -18,3 +18,8 @@ class Tables:
         frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         setattr(self, name, frame)
         return frame
+
+    def views(self, *names: str) -> None:
+        """Make the named tables temporary views of the session, so that statements run as `spark.sql` text."""
+        for name in names:
+            getattr(self, name).createOrReplaceTempView(name)

@@ -564,6 +564,36 @@ def test_metrics_of_one_class(spark):
     assert (slow.precision, slow.recall, slow.support) == (0.0, 0.0, 0)
 
 
+def test_quantiles_of_keys_over_many_slices(spark):
+    """A hot key spread over many slices, null keys, nulls and ties among the values, keys of one value."""
+    rnd = random.Random(13)
+    rows = [("hot", 1, rnd.gauss(0, 100)) for _ in range(3000)] + [("hot", 1, 7.0)] * 500
+    rows += [(rnd.choice(["a", "b", None]), rnd.choice([1, None]), float(rnd.randrange(40))) for _ in range(2000)]
+    rows += [("one", 1, 5.0), ("void", 1, None), ("a", 1, None)]
+    df = spark.createDataFrame(rows, "k string, j int, v double")
+    probs = {"low": 0.0, "q1": 0.25, "mid": 0.5, "q": 0.7, "high": 1.0}
+    names = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        got = {(r.k, r.j): [r[p] for p in probs] for r in ordered.quantiles(df, ["k", "j"], "v", probs).collect()}
+        over_all = ordered.quantiles(df, [], "v", probs).first()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    series = {}
+    for k, j, v in rows:
+        if v is not None:
+            series.setdefault((k, j), []).append(v)
+    assert got.keys() == series.keys()
+    for key, values in series.items():
+        assert got[key] == pytest.approx(list(np.quantile(values, list(probs.values())))), key
+    everything = [v for _, _, v in rows if v is not None]
+    assert list(over_all) == pytest.approx(list(np.quantile(everything, list(probs.values()))))
+    assert list(ordered.quantiles(df.filter("v > 1e9"), [], "v", probs).collect()[0]) == [None] * 5
+
+
 def test_quantile_without_features(spark):
     values = [math.log1p(i * 3.7) for i in range(101)]
     df = spark.createDataFrame([(v,) for v in values], "y_log double")

@@ -5,9 +5,11 @@ import math
 import pytest
 from checker import duck
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from slowtide.operators import templates
 from slowtide.plans.stack import Stack, on_stack
+from slowtide.sources.tables import Tables
 
 FOLDER = f"{DATA}/sf0.001"
 ANSWERED: set[str] = set()
@@ -16,8 +18,7 @@ ANSWERED: set[str] = set()
 @pytest.fixture(scope="module")
 def filled(spark):
     stack = Stack(spark, FOLDER)
-    for name in ("users", "posts", "votes"):
-        getattr(stack, name).createOrReplaceTempView(name)
+    stack.views("users", "posts", "votes")
     draws = spark.createDataFrame([(3,)], "draw int")
     rows = templates.expand(draws, "draw", templates.limits(stack.users, stack.posts, stack.votes)).orderBy("template").collect()
     return [r.query_text for r in rows]
@@ -60,3 +61,18 @@ def test_draws_repeat_and_differ(spark):
     assert one == two
     varied = next(i for i, (_, text) in enumerate(templates.TEMPLATES) if "{user}" in text)
     assert len({one[(d, varied)] for d in range(20)}) > 5
+
+
+def test_views_of_stored_tables(spark, tmp_path):
+    """A folder with the three tables themselves is enough to run statements as they were written."""
+    for name in ("users", "posts"):
+        getattr(Stack(spark, FOLDER), name).write.parquet(f"{tmp_path}/{name}.parquet")
+    Tables(spark, str(tmp_path)).views("users", "posts")
+    got = spark.sql(
+        """SELECT u.id, (SELECT COUNT(*) FROM posts p WHERE p.owner_user_id = u.id) AS n
+           FROM users u WHERE u.id IN (SELECT owner_user_id FROM posts WHERE EXTRACT(YEAR FROM creation_date) >= 1995)"""
+    )
+    want = Stack(spark, FOLDER).posts.groupBy("owner_user_id").agg(F.count("*").alias("n"), F.max(F.year("creation_date")).alias("y"))
+    assert sorted(map(tuple, got.collect())) == sorted((r.owner_user_id, r.n) for r in want.filter("y >= 1995").collect())
+    with pytest.raises(Exception, match="no_such_table"):
+        Tables(spark, str(tmp_path)).views("no_such_table")
