@@ -169,13 +169,16 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     for p in probs.values():
         for place in (F.floor(last * F.lit(float(p))), F.ceil(last * F.lit(float(p)))):
             wanted = wanted | ((F.col("before__") <= place) & (place < F.col("before__") + F.col("here__")))
-    found = slices.filter(wanted).drop("here__").withColumnRenamed(SLICE, "found_slice__")
-    found = found.withColumnsRenamed({k: f"found_{k}__" for k in keys})
-    same = F.col(SLICE) == F.col("found_slice__")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"found_{k}__"))
-    inside_slice = Window.partitionBy(SLICE, *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    sized = cut.join(found, same).withColumn("upto__", F.col("before__") + F.sum("same__").over(inside_slice))
+    # keys meet as one struct, in which nulls are equal; the window keeps the partitioning of the join
+    key = F.struct(*keys) if keys else F.lit(0)
+    found = slices.filter(wanted).select(F.col(SLICE).alias("found_slice__"), key.alias("found_key__"), "rows__", "before__")
+    same = (F.col(SLICE) == F.col("found_slice__")) & (F.col("key__") == F.col("found_key__"))
+    inside_slice = Window.partitionBy(SLICE, "key__").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    sized = (
+        cut.withColumn("key__", key)
+        .join(found, same)
+        .withColumn("upto__", F.col("before__") + F.sum("same__").over(inside_slice))
+    )
 
     def at(place: Column) -> Column:
         inside = (F.col("upto__") - F.col("same__") <= place) & (place < F.col("upto__"))

@@ -68,3 +68,16 @@ def test_grams_are_counted_where_their_text_is(spark):
     text = plan(pairs.corpus_bleu(rows, "pair_id", "optimized", "slow", "split"))
     assert not re.search(r"hashpartitioning\([^)]*gram", text)
     assert text.count("REPARTITION_BY_COL") >= 1
+
+
+# exchanges without broadcasts, as between tables too large for them; what `materialize` wrote before is not in the plan
+@pytest.mark.parametrize("name, most", [("d04_run_summary", 12), ("d24_run_result_summary", 6), ("m18_box_summary", 5), ("j10_self_join_posts", 9)])
+def test_exchanges_without_broadcasts(spark, name, most):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tree = text.split("\n\n")[0]
+    assert tree.count("Exchange (") <= most, tree
