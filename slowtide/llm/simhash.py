@@ -288,10 +288,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return rows.join(classes, "print").select("doc_id", "text_hash", "print", "root", F.col("first.doc_id").alias("component_id"), "first")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lower: bool = False) -> DataFrame:
-    """The rows of `docs`, all columns, without all but the first row of each component."""
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lower: bool = False, near=None) -> DataFrame:
+    """The rows of `docs`, all columns, without all but the first row of each component.
+
+    `near(docs, text, doc_id)` names the components, by default `near_duplicates`.
+    """
     plain, at = numbered(docs)
-    found = near_duplicates(plain, at[text], at[doc_id], lower)
+    found = near(plain, at[text], at[doc_id]) if near else near_duplicates(plain, at[text], at[doc_id], lower)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = found.filter(F.col("first") == first).select(
         F.col("doc_id").isNull().alias("no_id__"), F.coalesce("doc_id", F.lit(0)).alias("id__"), F.col("text_hash").alias("hash__")

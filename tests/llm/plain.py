@@ -94,3 +94,28 @@ def encodings(texts, name):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+def shingle_set(text, width=5):
+    words = (text or "").encode().lower().split()
+    width = min(width, len(words)) or 1
+    return frozenset(b" ".join(words[k : k + width]) for k in range(len(words) - width + 1)) if words else frozenset()
+
+
+def similar_groups(texts):
+    """The smallest id of each id's component of pairs at a 5-word Jaccard of 0.8 or more; texts without words are alike."""
+    ids, sets = sorted(texts), {i: shingle_set(t) for i, t in texts.items()}
+    root = {i: i for i in ids}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, i in enumerate(ids):
+        for j in ids[:x]:
+            a, b = sets[i], sets[j]
+            if 5 * len(a & b) >= 4 * len(a | b) if a | b else True:
+                low, high = sorted((top(i), top(j)))
+                root[high] = low
+    return {i: top(i) for i in ids}

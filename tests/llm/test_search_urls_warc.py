@@ -230,8 +230,8 @@ def test_pipeline_stages(spark):
     good = {r["doc_id"] for r in plain.documents(spark, "labels").filter("quality = 1 and toxic = 0").collect() if not plain.base_rules(rows[r["doc_id"]]["text"])[-1]}
     assert len(good & kept[1]) >= 0.98 * len(good)
     ids = sorted(kept[1])
-    roots = plain.groups([plain.fingerprint(plain.fold(rows[i]["text"])) for i in ids])
-    assert kept[2] == {i for k, i in enumerate(ids) if roots[k] == k}
+    # near copies are those of five words at 0.8, not op4's three words at 2 bits
+    assert kept[2] == {i for i, root in plain.similar_groups({i: rows[i]["text"] for i in ids}).items() if i == root}
     for r in at[names[2]].collect():
         assert r == rows[r["doc_id"]]
     want = []
