@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.llm import language, packing, quality, simhash
+from slowtide.llm import language, nearcopies, packing, quality, simhash
 from slowtide.llm.common import numbered, pick
 from slowtide.session import materialize
 
@@ -35,8 +35,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return simhash.one_of_each(docs, lower=True)
+    """The document with the smallest id of each group of near copies, five-word shingles at a Jaccard of 0.8."""
+    return simhash.one_of_each(docs, near=nearcopies.near_copies)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
