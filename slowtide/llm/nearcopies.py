@@ -7,9 +7,10 @@ walked together, differing bits add up, and a pair is dropped beyond `HEAD_BUDGE
 the last of `BUDGETS` of all 256; a pair at 0.8 survives in some trie with a probability of about 0.95. The exact Jaccard of
 the surviving links is then taken over whole texts, and links below 0.8 go.
 
-Spark cuts the tries at a depth that grows with the number of fingerprints and brings the pairs of subtrees together, at most
-`SUBTREE` fingerprints a side; larger subtrees (many near copies) are dealt out in parts that all meet. The cut is a
-matter of layout: the same pairs survive at every depth. A pair of subtrees emits a spanning forest of pairs that survived,
+With at most one differing bit, one half of the first `HEAD` bits is equal. So each trie stands twice, once from either half
+on, and only subtrees under the same path of at most 10 bits need to meet: 32 rows a fingerprint, whatever their number.
+A subtree of more than `SUBTREE` fingerprints (many near copies, or over 200 million texts) is dealt out in parts that
+all meet. The cut is a matter of layout: the same pairs survive at every depth. A subtree (or pair of parts) emits a spanning forest of pairs that survived,
 the closest first (one pass a budget), never all of them; its ends are compared exactly. In a large group a text whose only
 partner at 0.8 lies beside closer-looking ones below 0.8 may so stay apart, unless another trie joins the two.
 
@@ -39,7 +40,9 @@ TRIES = 16
 HEAD = 20
 HEAD_BUDGET = 1
 BUDGETS = (34, 40, 46)
-SUBTREE = 1 << 16
+SUBTREE = 1 << 18
+#: Fingerprints a subtree aimed at; fewer, deeper subtrees only cost more calls.
+AIM = 1 << 12
 #: Shingles hashed, and summed, at a time.
 BLOCK = 1 << 14
 WORDS = [f"p{k}" for k in range(4)]
@@ -96,19 +99,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "text_hash", F.xxhash64(*WORDS).alias("node"), *WORDS)
 
 
-def _heads(prints: np.ndarray, trie: int) -> np.ndarray:
-    """The first `HEAD` bits of each fingerprint in the order of the trie."""
+def _heads(prints: np.ndarray, order: int) -> np.ndarray:
+    """The first `HEAD` bits of each fingerprint in the order of trie order // 2, from its second half on if odd."""
+    trie = order // 2
+
     def piece(k: int) -> np.ndarray:
         return (prints[:, k // 4] >> np.uint64(48 - 16 * (k % 4))) & np.uint64(0xFFFF)
 
-    return (piece(trie) << np.uint64(4)) | (piece((trie + 1) % 16) >> np.uint64(12))
+    head = (piece(trie) << np.uint64(4)) | (piece((trie + 1) % 16) >> np.uint64(12))
+    half = np.uint64(HEAD // 2)
+    return (head & np.uint64((1 << HEAD // 2) - 1)) << half | head >> half if order % 2 else head
+
 
+def _head(order: int):
+    trie = order // 2
 
-def _head(trie: int):
     def piece(k: int):
         return F.shiftrightunsigned(f"p{k // 4}", 48 - 16 * (k % 4)).bitwiseAND(F.lit(0xFFFF))
 
-    return F.shiftleft(piece(trie), 4).bitwiseOR(F.shiftrightunsigned(piece((trie + 1) % 16), 12))
+    head = F.shiftleft(piece(trie), 4).bitwiseOR(F.shiftrightunsigned(piece((trie + 1) % 16), 12))
+    swapped = F.shiftleft(head.bitwiseAND(F.lit((1 << HEAD // 2) - 1)), HEAD // 2).bitwiseOR(F.shiftright(head, HEAD // 2))
+    return swapped if order % 2 else head
 
 
 def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -181,10 +192,10 @@ def walk(heads: np.ndarray, prints: np.ndarray, label: np.ndarray, a: tuple[int,
 
 
 def _forest(group: pa.Table) -> pa.Table:
-    """Links between the fingerprints of one pair of subtrees (or of one with itself)."""
+    """Links between the fingerprints of one subtree, or of two parts of it."""
     prints = np.stack([group.column(n).to_numpy().view(np.uint64) for n in WORDS], axis=1)
     side, node = group.column("side").to_numpy(), group.column("node").to_numpy()
-    heads = _heads(prints, int(group.column("trie")[0].as_py()))
+    heads = _heads(prints, int(group.column("order")[0].as_py()))
     order = np.lexsort((heads, side))
     heads, prints, side, node = heads[order], prints[order], side[order], node[order]
     cut, n = int(np.searchsorted(side, 1)), len(side)
@@ -201,31 +212,21 @@ def _forest(group: pa.Table) -> pa.Table:
 def links(prints: DataFrame, most: int = SUBTREE) -> DataFrame:
     """Pairs (a, b) of nodes, a <= b, that survive the walk; `prints` has distinct (node, p0 .. p3)."""
     n, depth = prints.count(), 0
-    while depth < HEAD and n > most << depth:
+    while depth < HEAD // 2 and n > min(most, AIM) << depth:
         depth += 1
-    tries = F.explode(F.array(*[F.struct(F.lit(t).alias("trie"), F.shiftright(_head(t), HEAD - depth).alias("top")) for t in range(TRIES)]))
-    rows = prints.select("node", *WORDS, tries.alias("at")).select("node", *WORDS, "at.trie", "at.top")
-    sizes = rows.groupBy("trie", "top").agg(F.ceil(F.count("*") / most).alias("parts"))
-    sizes = materialize(sizes, "sizes")
-    # a subtree meets itself (bit null) and those whose path differs in one bit
-    flips = F.explode(F.array(F.lit(None).cast("bigint"), *[F.lit(1 << k).cast("bigint") for k in range(depth)]))
-    meets = sizes.select("trie", "top", "parts", flips.alias("flip"))
-    other = sizes.select(F.col("trie").alias("trie2"), F.col("top").alias("top2"), F.col("parts").alias("parts2"))
-    meets = meets.join(other, (F.col("trie") == F.col("trie2")) & (F.col("top").bitwiseXOR(F.coalesce("flip", F.lit(0))) == F.col("top2")))
-    meets = materialize(
-        meets.select("trie", "top", "parts", "parts2", F.least("top", "top2").alias("low"), F.greatest("top", "top2").alias("high")), "meets"
-    )
-    met = rows.join(meets, ["trie", "top"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts2") - 1))
-    met = met.select("node", *WORDS, "trie", "low", "high", "part", (F.col("top") != F.col("low")).alias("upper"), every.alias("part2"))
-    alone = F.col("low") == F.col("high")
-    swap = F.when(alone, F.col("part") > F.col("part2")).otherwise(F.col("upper"))
+    tops = F.array(*[F.struct(F.lit(o).alias("order"), F.shiftright(_head(o), HEAD - depth).alias("top")) for o in range(2 * TRIES)])
+    rows = prints.select("node", *WORDS, F.explode(tops).alias("at")).select("node", *WORDS, "at.order", "at.top")
+    large = rows.groupBy("order", "top").count().filter(F.col("count") > most)
+    large = materialize(large.select("order", "top", F.ceil(F.col("count") / most).alias("parts")), "sizes")
+    met = rows.join(large, ["order", "top"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    met = met.withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    met = met.select("node", *WORDS, "order", "top", "part", every.alias("other"))
     met = met.select(
-        "node", *WORDS, "trie", "low", "high", swap.cast("int").alias("side"),
-        F.when(swap, F.col("part2")).otherwise(F.col("part")).alias("first"), F.when(swap, F.col("part")).otherwise(F.col("part2")).alias("second"),
-        (alone & (F.col("part") == F.col("part2"))).alias("one"),
+        "node", *WORDS, "order", "top", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"),
+        (F.col("part") > F.col("other")).cast("int").alias("side"), (F.col("part") == F.col("other")).alias("one"),
     )
-    return met.groupBy("trie", "low", "high", "first", "second").applyInArrow(_forest, "a long, b long")
+    return met.groupBy("order", "top", "first", "second").applyInArrow(_forest, "a long, b long")
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:

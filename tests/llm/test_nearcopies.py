@@ -48,7 +48,7 @@ def prints():
 
 def brute_force(prints):
     """The least place of each print's component."""
-    heads = [nc._heads(prints, t) for t in range(nc.TRIES)]
+    heads = [nc._heads(prints, 2 * t) for t in range(nc.TRIES)]
     root = list(range(len(prints)))
     while True:
         before = list(root)
@@ -61,7 +61,7 @@ def brute_force(prints):
             return root
 
 
-@pytest.mark.parametrize("most", [1 << 16, 100, 20, 3])
+@pytest.mark.parametrize("most", [1 << 18, 100, 20])
 def test_links_in_any_layout(spark, prints, most):
     signed = prints.view(np.int64)
     table = spark.createDataFrame([(k, *map(int, row)) for k, row in enumerate(signed)], "node long, p0 long, p1 long, p2 long, p3 long")
@@ -76,13 +76,14 @@ def test_links_in_any_layout(spark, prints, most):
 def test_heads_are_the_rotated_bits(spark, prints):
     signed = prints[:20].view(np.int64)
     table = spark.createDataFrame([tuple(map(int, row)) for row in signed], "p0 long, p1 long, p2 long, p3 long")
-    got = table.select(*[nc._head(t).alias(f"t{t}") for t in range(nc.TRIES)]).collect()
+    got = table.select(*[nc._head(o).alias(f"t{o}") for o in range(2 * nc.TRIES)]).collect()
     for row, words in zip(got, prints[:20].tolist(), strict=True):
         whole = "".join(f"{w:064b}" for w in words)
         for t in range(nc.TRIES):
-            assert row[t] == int((whole[16 * t :] + whole)[: nc.HEAD], 2)
-    for t in range(nc.TRIES):
-        assert nc._heads(prints[:20], t).tolist() == [r[t] for r in got]
+            head = (whole[16 * t :] + whole)[: nc.HEAD]
+            assert row[2 * t] == int(head, 2) and row[2 * t + 1] == int(head[nc.HEAD // 2 :] + head[: nc.HEAD // 2], 2)
+    for o in range(2 * nc.TRIES):
+        assert nc._heads(prints[:20], o).tolist() == [r[o] for r in got]
 
 
 def edited(rng, words, share):
