@@ -545,6 +545,29 @@ def test_lookup_meets_few_cells_and_loses_nothing(spark, k):
     assert index.rows.count() == len(entries)
 
 
+@pytest.mark.parametrize("cell", [5, 4096])
+def test_lookup_parts_do_not_repeat_rows_by_block(spark, cell):
+    """Rows meet once for each part and share of `part_rows`, however small the matrix products are."""
+    entries = np.concatenate([np.random.default_rng(4).normal(size=(150, 8)), np.ones((50, 8))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(entries)], "id bigint, vector array<float>")
+    lookups, history = rows.select(c("id").alias("lookup_id"), "vector"), rows.select(c("id").alias("entry_id"), "vector")
+    unit = entries.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    sims = np.round(unit @ unit.T, 12)
+    np.fill_diagonal(sims, -1)
+    want = {(i, int(j)) for i in range(200) for j in np.lexsort((np.arange(200), -sims[i]))[:3] if sims[i, j] > 0.2}
+    index = vectors.build_index(history, cell=cell)
+    for most in (30, vectors.PART):
+        got = vectors.similar_fixes(lookups, history, 0.2, 3, True, block_rows=4, index=index, part_rows=most)
+        assert {(r.lookup_id, r.entry_id) for r in got.collect()} == want
+    first, split = index.parts(vectors.PART)
+    assert set(first.tolist()) == {0} and set(split.tolist()) == {1}
+    first, split = index.parts(30)
+    assert np.bincount(first, index.n / split).max() <= 30 and (first[1:] >= first[:-1]).all()
+    units = index.rows.select(c("entry_id").alias("lookup_id"), "unit", F.lit(-1.0).alias("floor"))
+    assert vectors._routes(units, index, lambda least, floor: np.ones(least.shape, bool), *index.parts(vectors.PART)).count() == 200
+
+
 # ---- metrics and models
 
 
