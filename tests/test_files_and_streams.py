@@ -1,5 +1,6 @@
 """Files in every format, bad input included, and streams that stop and go on."""
 
+import re
 import json
 import os
 from collections import Counter
@@ -316,3 +317,21 @@ def test_dashboard_adds_up_polls(spark, place):
     each(log.filter("pg_stat_mean_ms >= 40"), 1)
     each(log.filter("pg_stat_mean_ms >= 40"), 1)
     assert M.dashboard(spark, place["parts"]).first() == dashboard_stats(normalise_log(log)).first()
+
+
+def test_plain_elements_read_as_the_parser_reads_them(spark, tmp_path):
+    """Elements without entities are cut by expressions; every row is read once, and as the XML parser reads it."""
+    inside = [
+        ' Id="1" DisplayName="a b" Location="x > y"', ' Id="2" DisplayName="a &amp; b"', ' Id="3" DisplayName=""', ' Id="4" DisplayName=" a "', " Id='5' DisplayName='q\"q'",
+        ' Id="6" DisplayName="a" DisplayName="b"', ' Id="7" DisplayName="x Id= 9" Other="Id"', ' Id="8" DisplayName="tab\there"', ' Id="9" xmlns="u" DisplayName="n"', ' Id="10" a:b="c"',
+        ' Id="11" DisplayName="\u00e9\u4e2d\U0001f600"', ' Id="12" DisplayName="a\u00a0"', ' MyId="13" Id="14"', ' Id = "15"', ' id="16"', ' Id="17" DisplayName="a&nbsp;b"', ' Id="18"DisplayName="b"', ' Id="19" DisplayName="null"', ' Id="20" DisplayName="a\x01b"', ' Id="21" 2x="b"',
+    ]
+    (tmp_path / "u.xml").write_text("<users>\n" + "\n".join(f"  <row{i} />" for i in inside) + "\n</users>")
+    names = [a for a, *_ in files.DUMPS["users"]]
+    schema = ", ".join(f"_{n} string" for n in names) + ", _broken string"
+    raw = spark.createDataFrame([(f"<row{i} />",) for i in inside if re.fullmatch(files._ATTRIBUTES, i)], "x string")
+    parsed = raw.select(F.from_xml("x", F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("r")).filter("r._broken is null")
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    read = files.read_dump(spark, str(tmp_path / "u.xml"), "users")
+    assert order(read.collect()) == order(parsed.select(*[f"r._{n}" for n in names]).collect())
+    assert files.accepted(files.typed(read, "users"))._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 1
