@@ -494,6 +494,38 @@ def test_tokens(spark):
     ]
 
 
+
+def test_bleu_lists_no_grams(spark):
+    """Texts of one key count together wherever batches end; no n-gram is a row."""
+    rnd = random.Random(5)
+    text = lambda: " ".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 9)))
+    rows = [(i % 7 or None, "x" if i % 7 < 3 else "y", text(), text()) for i in range(40)] + [(9, "y", None, "a b"), (9, "z", "a", None), (8, "e", "", "")]
+    want = {}
+    for key in {(r[0], r[1]) for r in rows}:
+        mine = [r for r in rows if (r[0], r[1]) == key]
+        sides = [[Counter(g for r in mine for g in zip(*[(r[s] or "").split()[i:] for i in range(n)])) for n in range(1, 5)] for s in (2, 3)]
+        now = [(p & e).total() for p, e in zip(*sides)] + [p.total() for p in sides[0]] + [sides[1][0].total()]
+        if any(now):
+            want[key[1]] = [a + b for a, b in zip(want.get(key[1], [0] * 9), now)]
+    got = {}
+    for size in (3, 10000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            df = pairs.corpus_bleu(spark.createDataFrame(rows, "k int, s string, p string, e string"), "k", "p", "e", "s")
+            got[size] = {r.s: r.bleu for r in df.collect()}
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got[3] == got[10000] and set(got[3]) == set(want)
+    assert "Generate" not in df._jdf.queryExecution().executedPlan().toString()
+    for split, n in want.items():
+        zeros, logs = 0, 0.0
+        for hit, total in zip(n[:4], n[4:8]):
+            zeros += hit == 0
+            logs += math.log(hit / total if hit else 1 / (2**zeros * total)) if total else math.nan
+        if not math.isnan(logs) and any(n[:4]):
+            assert math.isclose(got[3][split], 100 * math.exp(logs / 4) * (1 if n[4] >= n[8] else math.exp(1 - n[8] / n[4])))
+
+
 # ---- vectors
 
 
