@@ -7,9 +7,9 @@ log(p_target / p_raw), held in fixed point so that sums are exact in any order.
 pass and the score is at least the threshold, which is the score that all but `LOST` of the trusted
 documents reach.
 
-Bounds: the trusted documents are at most `TRUSTED`, by the hash of their id (this fits the target and the
-threshold only); the raw counts and the decisions cover every document. A task emits one row per bucket it
-met, so counting shuffles at most `BUCKETS` rows per task and never a text.
+Bounds: every document is counted and judged, and every trusted one fits the target and the threshold. A task emits one
+row per bucket it met, so counting shuffles at most `BUCKETS` rows per task. The trusted texts are joined to their
+labels and written once; scores are ranked in range slices. Only the counts by bucket and the threshold reach the driver.
 
 Edge cases: a null or empty text has zero counts, score 0 and fails the base rules; a text of fewer than
 `GRAM` bytes has score 0. Repeated rows are judged alike, each on its own row. Without any trusted document
@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slowtide.llm.common import chunks, pick, sums, table, text_bytes
-from slowtide.session import ship
+from slowtide.operators.ordered import running_sums
+from slowtide.session import materialize, ship
 
 GRAM = 4
 BUCKETS = 1 << 16
-TRUSTED = 20_000
 LOST = 0.002
 MIN_WORDS = 20
 WINDOW = 8
@@ -113,29 +113,29 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def _trusted(labels: DataFrame, most: int) -> DataFrame:
-    """At most `most` ids labelled good and never bad or toxic, by the hash of the id."""
+def _trusted(labels: DataFrame) -> DataFrame:
+    """The ids labelled good and never bad or toxic."""
     one = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("toxic").alias("high"))
-    good = one.filter("low = 1 and coalesce(high, 0) = 0")
-    return good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return one.filter("low = 1 and coalesce(high, 0) = 0").select("doc_id")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
-        flags = batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
         for a, b in chunks(offsets, CHUNK):
-            part, ends = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            buckets, inside = grams(part, ends)
-            raw += np.bincount(buckets[inside], minlength=BUCKETS)
-            if flags[a:b].any():
-                inside &= np.repeat(flags[a:b], np.diff(ends))
-                target += np.bincount(buckets[inside], minlength=BUCKETS)
-    met = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(met.astype(np.int32)), pa.array(raw[met]), pa.array(target[met])], names=["bucket", "raw", "target"]
-    )
+            buckets, inside = grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            n += np.bincount(buckets[inside], minlength=BUCKETS)
+    met = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met])], names=["bucket", "n"])
+
+
+def _counted(texts: DataFrame) -> np.ndarray:
+    """Grams by bucket of all texts."""
+    found = texts.select("text").mapInArrow(_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(BUCKETS)
+    counts[found["bucket"]] = found["n"]
+    return counts
 
 
 def _means(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
@@ -143,19 +143,12 @@ def _means(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndar
     return sums(np.where(inside, ratios[buckets], 0), offsets) / np.maximum(sums(inside, offsets), 1) / UNIT
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = TRUSTED, lost: float = LOST) -> Model:
-    """Count both multinomials (`BUCKETS` rows reach the driver) and set the threshold."""
+def fit(docs: DataFrame, labels: DataFrame, lost: float = LOST) -> Model:
+    """Count both multinomials (`BUCKETS` rows of each reach the driver) and set the threshold."""
     ship(docs.sparkSession)
-    ids = F.broadcast(_trusted(pick(labels, "doc_id", "quality", "toxic"), most).withColumn("trusted", F.lit(True)))
-    flagged = pick(docs, "doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    found = (
-        flagged.mapInArrow(_counts, "bucket int, raw long, target long")
-        .groupBy("bucket")
-        .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-        .toPandas()
-    )
-    counts = np.zeros((2, BUCKETS))
-    counts[0, found["bucket"]], counts[1, found["bucket"]] = found["raw"], found["target"]
+    texts = pick(docs, "doc_id", "text")
+    trusted = materialize(texts.join(_trusted(pick(labels, "doc_id", "quality", "toxic")), "doc_id", "left_semi").select("text"), "trusted")
+    counts = np.stack([_counted(texts), _counted(trusted)])
     if not counts[1].any():
         return Model(np.zeros(BUCKETS, np.int64), 0.0)
     p = np.log((counts + 1) / (counts.sum(axis=1, keepdims=True) + BUCKETS))
@@ -167,11 +160,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRUSTED, lost: float = L
             for a, b in chunks(offsets, CHUNK):
                 yield pa.RecordBatch.from_arrays([pa.array(_means(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ratios))], names=["score"])
 
-    # a repeated row repeats its score, hence the distinct bound on ids and not on rows
-    scores = flagged.filter("trusted").select("text").mapInArrow(scored, "score double").groupBy("score").count().orderBy("score")
-    listed = scores.limit(most).toPandas()
-    reach = np.searchsorted(np.cumsum(listed["count"].to_numpy()), lost * listed["count"].sum(), side="right")
-    return Model(ratios, float(listed["score"].iloc[min(reach, len(listed) - 1)]))
+    scores = materialize(trusted.mapInArrow(scored, "score double").groupBy("score").agg(F.count("*").alias("n")), "scores")
+    total = scores.agg(F.sum("n")).first()[0]
+    upto = running_sums(scores, [], [F.col("score")], {"upto": F.col("n")})
+    return Model(ratios, float(upto.filter(F.col("upto") > lost * total).agg(F.min("score")).first()[0]))
 
 
 def judge(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
