@@ -717,6 +717,39 @@ def test_scorer_is_saved_and_loaded(spark, tmp_path):
     assert Scorer.load(spark, str(tmp_path / "s")) == one
 
 
+def test_moments_give_weighted_least_squares(spark):
+    """One aggregate gives what a solver gives; a constant feature and one that repeats another do no harm."""
+    rng = np.random.default_rng(6)
+    x, w = rng.normal(1e4, 3, size=(300, 2)), rng.uniform(0.1, 2, 300)
+    y = 2 * x[:, 0] - x[:, 1] + 7 + rng.normal(0, 0.1, 300)
+    names = ["a", "b", "same", "one"]
+    df = spark.createDataFrame([(float(a), float(b), float(2 * a), 1.0, float(k), float(t)) for (a, b), k, t in zip(x, w, y)] , "a double, b double, same double, one double, w double, y double")
+    means, scales = models.fit_scale(df, names)
+    weights, bias = models._solve(df.agg(*models._moments(names, "y", c("w"), means, scales)).first(), names, means, scales)
+    root = np.sqrt(w)[:, None]
+    best = np.linalg.lstsq(np.column_stack([x - 1e4, np.ones(300)]) * root, y * root[:, 0], rcond=None)[0]
+    with pytest.raises(ValueError):
+        models.fit_quantile(df.selectExpr("nullif(a, 0) as a", "if(a > 1e4, null, y) as y_log"), ["a"])
+    predicted = bias + np.column_stack([x, 2 * x[:, 0], np.ones(300)]) @ weights
+    assert np.allclose(predicted, np.column_stack([x - 1e4, np.ones(300)]) @ best, atol=1e-6)
+
+
+def test_fits_spread_their_rows(spark):
+    one = spark.range(10).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert models.spread(one, 99_000).rdd.getNumPartitions() == 1
+    assert models.spread(one, 720_000).rdd.getNumPartitions() == min(8, 3 * cores)
+    assert models.spread(one, 90_000_000).rdd.getNumPartitions() == max(90, 3 * cores)
+    rows = spark.range(0, 300_000, 1, 1).select((c("id") % 7).cast("double").alias("x"), (c("id") % 7).cast("double").alias("y_log"))
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("squared", "")
+    models.fit_squared(rows, ["x"])
+    jobs = tracker.getJobIdsForGroup("squared")
+    context.setJobGroup("", "")
+    stages = [tracker.getStageInfo(i) for j in jobs for i in tracker.getJobInfo(j).stageIds]
+    assert max(i.numTasks for i in stages if i) >= 3
+
+
 def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([("a", 5.0)] * 3 + [("b", 0.0), ("b", 100.0)], "k string, v double")
     got = sorted((r.k, r.bin, r.n) for r in metrics.log_histogram(df, "k", "v").collect())
