@@ -299,6 +299,37 @@ def test_chain_sets_bad_statements_and_failed_stages_aside(spark, place):
     assert files.read_history(spark, place["parts"]).count() == 4
 
 
+def test_chain_deals_a_poll_over_the_cores_and_reads_each_plan_once(spark, place, monkeypatch):
+    from slowtide.plans.fixtures import SCORER
+    from slowtide.streaming import chain
+
+    plan = '{"Plan": {"Node Type": "Seq Scan", "Total Cost": 500.0}}'
+    rows = spark.range(0, 64, 1, 1).select(
+        F.col("id").cast("string").alias("stmt"), F.concat(F.lit("SELECT * FROM t"), "id").alias("query"), F.lit(90.0).alias("mean_exec_time"), F.lit(1).alias("calls"),
+        F.when(F.col("id") % 8 > 0, plan).otherwise("{").alias("plan"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("vector"), F.lit("now").alias("timestamp"),
+    )
+    rows.coalesce(1).write.parquet(f"{place['out']}-poll")
+    poll, plans = spark.read.parquet(f"{place['out']}-poll"), []
+    monkeypatch.setattr(chain, "write_batch", lambda rows, i, path, write=chain.write_batch: plans.append("EvalPython" in rows._jdf.queryExecution().executedPlan().toString()) or write(rows, i, path))
+    _chain(spark, place, SCORER)(poll, 0)
+    assert sum(plans) == 1
+    assert Counter(r.stage for r in chain.quarantined(spark, place["out"]).collect()) == {"plan": 8}
+    for stage in ("parsed", "features", "handled"):
+        held = spark.read.parquet(f"{place['out']}/{stage}/batch_id=0")
+        assert len(held.inputFiles()) > 1 and held.count() == (64 if stage == "parsed" else 56)
+
+
+def test_runs_are_stored_once_for_all_polls(spark, monkeypatch):
+    from slowtide.plans import fixtures
+
+    kept = []
+    monkeypatch.setattr(fixtures, "materialize", lambda df, label, write=fixtures.materialize: kept.append(label) or write(df, label))
+    log = fixtures.Log(spark, f"{DATA}/sf0.001")
+    ranked = log.stats.select("stmt", F.lit("SELECT id FROM posts WHERE score > 1 LIMIT 10").alias("sql"))
+    first, second = log.measured_of(ranked).count(), log.measured_of(ranked.limit(1)).count()
+    assert kept == ["runs"] and first == log.stats.count() * second
+
+
 def test_repeated_poll_is_written_once(spark, tmp_path):
     rows = spark.createDataFrame([(1,), (2,)], "x int")
     for _ in range(2):
