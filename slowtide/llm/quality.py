@@ -7,9 +7,11 @@ log(p_target / p_raw), held in fixed point so that sums are exact in any order.
 pass and the score is at least the threshold, which is the score that all but `LOST` of the trusted
 documents reach.
 
-Bounds: every document is counted and judged, and every trusted one fits the target and the threshold. A task emits one
-row per bucket it met, so counting shuffles at most `BUCKETS` rows per task. The trusted texts are joined to their
-labels and written once; scores are ranked in range slices. Only the counts by bucket and the threshold reach the driver.
+Bounds: every document is counted and judged, and every trusted one fits the target and the threshold. A task emits its
+counts as one row per `BLOCK` buckets, so counting shuffles at most `BUCKETS` / `BLOCK` rows per task. A table of `MARKS`
+bits, broadcast, marks the hashes of the trusted ids, so that only documents whose id hits a mark are joined to their
+labels: the trusted texts and few others are shuffled once, whatever the size of either table, and no text is written.
+Scores are joined by id and ranked in range slices. Only the counts by bucket and the threshold reach the driver.
 
 Edge cases: a null or empty text has zero counts, score 0 and fails the base rules; a text of fewer than
 `GRAM` bytes has score 0. Repeated rows are judged alike, each on its own row. Without any trusted document
@@ -33,6 +35,10 @@ from slowtide.session import materialize, ship
 
 GRAM = 4
 BUCKETS = 1 << 16
+#: Buckets whose counts are sent as one row.
+BLOCK = 1 << 12
+#: Hash values of trusted ids that are told apart before the join.
+MARKS = 1 << 24
 LOST = 0.002
 MIN_WORDS = 20
 WINDOW = 8
@@ -119,6 +125,23 @@ def _trusted(labels: DataFrame) -> DataFrame:
     return one.filter("low = 1 and coalesce(high, 0) = 0").select("doc_id")
 
 
+def _marked(docs: DataFrame, ids: DataFrame, marks: int = MARKS) -> DataFrame:
+    """The documents whose id hits a bit that one of `ids` sets: all with one of the ids, and few others."""
+    if docs.schema["doc_id"].dataType != ids.schema["doc_id"].dataType:  # unlike types hash unlike
+        return docs
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(marks))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    # at most marks / 64 rows
+    table = ids.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    hit = (F.shiftright(slot, 6) == F.col("word")) & (F.col("bits").bitwiseAND(bit) != 0)
+    return docs.join(F.broadcast(table), hit, "left_semi")
+
+
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with one of the ids, by the same plan at every size."""
+    return rows.join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
@@ -126,16 +149,33 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in chunks(offsets, CHUNK):
             buckets, inside = grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             n += np.bincount(buckets[inside], minlength=BUCKETS)
-    met = np.flatnonzero(n)
-    yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met])], names=["bucket", "n"])
+    yield _blocks(n)
+
+
+def _blocks(n: np.ndarray) -> pa.RecordBatch:
+    """The blocks of buckets that have counts."""
+    blocks = n.reshape(-1, BLOCK)
+    met = np.flatnonzero(blocks.any(axis=1))
+    ends = np.arange(len(met) + 1, dtype=np.int32) * BLOCK
+    return pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(blocks[met].ravel()))], names=["block", "n"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64)
+    for batch in batches:
+        if batch.num_rows:
+            np.add.at(blocks, batch.column("block").to_numpy(), batch.column("n").flatten().to_numpy().reshape(-1, BLOCK))
+    yield _blocks(blocks.ravel())
 
 
 def _counted(texts: DataFrame) -> np.ndarray:
     """Grams by bucket of all texts."""
-    found = texts.select("text").mapInArrow(_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS)
-    counts[found["bucket"]] = found["n"]
-    return counts
+    schema = "block int, n array<long>"
+    found = texts.select("text").mapInArrow(_counts, schema).repartition("block").mapInArrow(_added, schema).toArrow()
+    counts = np.zeros((BUCKETS // BLOCK, BLOCK))
+    if found.num_rows:
+        counts[found.column("block").to_numpy()] = found.column("n").combine_chunks().flatten().to_numpy().reshape(-1, BLOCK)
+    return counts.ravel()
 
 
 def _means(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
@@ -147,8 +187,9 @@ def fit(docs: DataFrame, labels: DataFrame, lost: float = LOST) -> Model:
     """Count both multinomials (`BUCKETS` rows of each reach the driver) and set the threshold."""
     ship(docs.sparkSession)
     texts = pick(docs, "doc_id", "text")
-    trusted = materialize(texts.join(_trusted(pick(labels, "doc_id", "quality", "toxic")), "doc_id", "left_semi").select("text"), "trusted")
-    counts = np.stack([_counted(texts), _counted(trusted)])
+    ids = materialize(_trusted(pick(labels, "doc_id", "quality", "toxic")), "trusted")
+    marked = _marked(texts, ids)
+    counts = np.stack([_counted(texts), _counted(_among(marked, ids))])
     if not counts[1].any():
         return Model(np.zeros(BUCKETS, np.int64), 0.0)
     p = np.log((counts + 1) / (counts.sum(axis=1, keepdims=True) + BUCKETS))
@@ -158,9 +199,11 @@ def fit(docs: DataFrame, labels: DataFrame, lost: float = LOST) -> Model:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for a, b in chunks(offsets, CHUNK):
-                yield pa.RecordBatch.from_arrays([pa.array(_means(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ratios))], names=["score"])
+                means = _means(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ratios)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(means)], names=["doc_id", "score"])
 
-    scores = materialize(trusted.mapInArrow(scored, "score double").groupBy("score").agg(F.count("*").alias("n")), "scores")
+    told = marked.mapInArrow(scored, marked.select("doc_id").schema.add("score", "double"))
+    scores = materialize(_among(told, ids).groupBy("score").agg(F.count("*").alias("n")), "scores")
     total = scores.agg(F.sum("n")).first()[0]
     upto = running_sums(scores, [], [F.col("score")], {"upto": F.col("n")})
     return Model(ratios, float(upto.filter(F.col("upto") > lost * total).agg(F.min("score")).first()[0]))
