@@ -31,7 +31,9 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarr
     size = sizes[at]
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(starts[at] - (ends - size), size) + np.arange(total)], ends
+    index = np.repeat(starts[at] - (ends - size), size)
+    index += np.arange(total)
+    return flat[index], ends
 
 
 class Encoder:
@@ -54,8 +56,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Parts known so far, their ids end to end, and how many each has. The empty part comes first."""
-        self.parts, self.flat, self.sizes = pa.array([""], pa.string()), np.zeros(0, self.kind), np.zeros(1, np.int64)
+        """Places of the parts (as UTF-8) known so far, their ids end to end, and how many each has. The empty part comes first."""
+        self.known, self.flat, self.sizes = {b"": 0}, np.zeros(0, self.kind), np.zeros(1, np.int64)
 
     def _encoded(self, parts: list[str]) -> list[list[int]]:
         return [f.ids for f in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -69,21 +71,24 @@ class Encoder:
 
     def _places(self, parts: pa.Array) -> np.ndarray:
         """Where the parts are among the known ones, after learning those that are not."""
-        new = parts.filter(pc.is_null(pc.index_in(parts, value_set=self.parts))).unique()
+        names = parts.cast(pa.binary()).to_pylist()
+        # Arrow's index_in would hash all known parts again for every chunk
+        new = list(dict.fromkeys(part for part in names if part not in self.known))
         flat, sizes = [self.flat], [self.sizes]
         for at in range(0, len(new), 2048):
-            found = self._encoded(new.slice(at, 2048).to_pylist())
+            found = self._encoded([part.decode() for part in new[at : at + 2048]])
             sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
             flat.append(np.fromiter(chain.from_iterable(found), self.kind, sizes[-1].sum()))
-        if len(new):
-            self.parts = pa.concat_arrays([self.parts, new])
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
-        places = pc.index_in(parts, value_set=self.parts).to_numpy()
-        if len(self.parts) > REMEMBERED:
+        places = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        if len(self.known) > REMEMBERED:
             used = np.unique(np.append(places, 0))
             self.flat, _ = gather(self.flat, np.cumsum(self.sizes) - self.sizes, self.sizes, used)
-            self.parts, self.sizes = self.parts.take(pa.array(used)), self.sizes[used]
+            self.sizes = self.sizes[used]
             places = np.searchsorted(used, places)
+            self.known = {b"": 0} | dict(zip(names, places.tolist(), strict=True))
         return places
 
     def _stretches(self, texts: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

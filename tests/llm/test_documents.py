@@ -1,5 +1,9 @@
 """Operators over documents against plain versions, on the smallest tables and on awkward rows."""
 
+import itertools
+import string
+import time
+
 import duckdb
 import numpy as np
 import plain
@@ -193,6 +197,20 @@ def test_encoder_forgets(monkeypatch):
         assert [x.tolist() for x in np.split(ids, ends[:-1])] == plain.encodings(texts, "byte_bpe_50k.json")
 
 
+def test_a_chunk_costs_the_same_beside_many_known_parts(monkeypatch):
+    coder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(coder, "_encoded", lambda parts: [[1]] * len(parts))
+
+    def seconds(texts, times=1):
+        began = time.process_time()
+        for _ in range(times):
+            coder.encode(pa.array(texts))
+        return time.process_time() - began
+
+    learning = seconds([" ".join(map("".join, itertools.product(string.ascii_lowercase, repeat=4)))])
+    assert seconds(["some words", "of few"], times=20) < learning
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17, 24, 31, 32])
 def test_bit_packing(bits):
     rng = np.random.default_rng(bits)
