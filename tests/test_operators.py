@@ -9,6 +9,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from slowtide.functions import numeric as N
@@ -17,7 +20,7 @@ from slowtide.functions.plantree import plan_features
 from slowtide.functions.scorer import Scorer
 from slowtide.operators import candidates as C
 from slowtide.operators import joins as J
-from slowtide.operators import metrics, models, ordered, pairs, runs, templates, vectors, windows
+from slowtide.operators import metrics, models, ordered, pairs, perceptron, runs, templates, vectors, windows
 
 c = F.col
 
@@ -750,6 +753,62 @@ def test_fits_spread_their_rows(spark):
     assert max(i.numTasks for i in stages if i) >= 3
 
 
+def test_perceptron_counts_equal_rows(spark, monkeypatch):
+    """A pass reads each different row once; each row weighs alike, and what MLlib refuses is refused."""
+    read, mean_loss = [], models.mean_loss
+    monkeypatch.setattr(models, "mean_loss", lambda df, *rest: read.append(df.count()) or mean_loss(df, *rest))
+    # 0.5 of the rows are slow once the classes count alike; MLlib's means of blocks of 128 rows gave 0.657
+    one = spark.createDataFrame([(5.0, 1.0)] * 200 + [(5.0, 0.0)] * 100, "x double, y_slow double")
+    (p,) = {r.probability[1] for r in models.fit_perceptron(one, ["x"]).transform(one).collect()}
+    assert p == pytest.approx(0.5, abs=1e-3)
+    # the share of slow rows at each place, which no linear model gives
+    many = spark.range(0, 2_000_000, 1, 4).select((c("id") % 4).cast("int").alias("x"), ((c("id") / 4).cast("bigint") % 10 < F.when((c("id") % 4).isin(1, 2), 8).otherwise(2)).cast("double").alias("y_slow"))
+    got = models.fit_perceptron(many, ["x"]).transform(many).groupBy("x").agg(F.min(F.get(vector_to_array("probability"), F.lit(1))).alias("p"), F.max("prediction").alias("y")).collect()
+    assert {r.x: (round(r.p, 2), r.y) for r in got} == {0: (0.2, 0.0), 1: (0.8, 1.0), 2: (0.8, 1.0), 3: (0.2, 0.0)}
+    assert read == [2, 8]
+    few = spark.createDataFrame([(float(i), float(i > 50)) for i in range(100)], "x double, y_slow double")
+    models.fit_perceptron(few, ["x"], max_iter=2)
+    assert read == [2, 8]
+    for bad in ((1.0, None), (1.0, 2.0), (None, 1.0), (math.inf, 0.0), (math.nan, 0.0)):
+        rows = spark.createDataFrame([(1.0, 1.0)] * 200 + [(2.0, 0.0)] * 200 + [bad] * 200, "x double, y_slow double")
+        with pytest.raises(Exception, match="(?i)must|null|nan"):
+            models.fit_perceptron(rows, ["x"])
+    assert read == [2, 8]
+
+
+def test_counted_loss_is_that_of_the_repeated_rows(spark):
+    """Loss and gradient over tasks and batches, against each row by itself, differences and MLlib's first value."""
+    rng, layers = np.random.default_rng(3), [2, 5, 3, 2]
+    x, y, n = rng.normal(3, 2, (40, 2)), rng.integers(0, 2, 40), rng.integers(1, 4, 40)
+    weights = rng.normal(0, 1, 2 * 5 + 5 + 5 * 3 + 3 + 3 * 2 + 2)
+    df = spark.createDataFrame([(*map(float, a), float(b), float(k)) for a, b, k in zip(x, y, n)], "a double, b double, y double, n double").repartition(3)
+    means, factors = np.array([3.0, 2.0]), np.array([0.5, 0.0])
+    f = perceptron.mean_loss(df, layers, means, factors)
+    value, slope = f(weights)
+    single = [perceptron.loss(layers, weights, (a[None] - means) * factors, np.array([b]), np.ones(1)) for a, b, k in zip(x, y, n) for _ in range(k)]
+    assert value == pytest.approx(np.mean([v for v, _ in single]))
+    assert np.allclose(slope, np.mean([g for _, g in single], axis=0))
+    for i in (0, 7, 17, 30, len(weights) - 1):
+        step = np.eye(len(weights))[i] * 1e-5
+        assert slope[i] == pytest.approx((f(weights + step)[0] - f(weights - step)[0]) / 2e-5, abs=1e-7)
+    model = MultilayerPerceptronClassifier(labelCol="y", layers=layers, maxIter=0, initialWeights=Vectors.dense(weights)).fit(models.assemble(df, ["a", "b"]).coalesce(1))
+    plain = perceptron.loss(layers, weights, x, y, np.ones(40))[0] / 40
+    assert model.summary().objectiveHistory[0] == pytest.approx(plain)
+
+
+def test_lbfgs_reaches_the_least_value():
+    rosenbrock = lambda p: (float((1 - p[0]) ** 2 + 100 * (p[1] - p[0] ** 2) ** 2), np.array([-2 * (1 - p[0]) - 400 * p[0] * (p[1] - p[0] ** 2), 200 * (p[1] - p[0] ** 2)]))
+    start = np.array([-1.2, 1.0])
+    assert np.allclose(perceptron.minimise(rosenbrock, start, 200, 1e-12), [1, 1], atol=1e-4)
+    values = [rosenbrock(perceptron.minimise(rosenbrock, start, k, 1e-12))[0] for k in range(0, 30, 3)]
+    assert values == sorted(values, reverse=True) and values[0] == rosenbrock(start)[0]
+    flat = lambda p: (1.0, np.zeros(2))
+    assert (perceptron.minimise(flat, start, 9, 1e-6) == start).all()
+    # a value that is none beyond a place: the search comes back from there
+    steep = lambda p: (float(-np.log(1 - p[0]) - 3 * p[0]) if p[0] < 1 else math.nan, np.array([1 / (1 - p[0]) - 3 if p[0] != 1 else math.nan]))
+    assert np.allclose(perceptron.minimise(steep, np.zeros(1), 50, 1e-9), [2 / 3], atol=1e-3)
+
+
 def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([("a", 5.0)] * 3 + [("b", 0.0), ("b", 100.0)], "k string, v double")
     got = sorted((r.k, r.bin, r.n) for r in metrics.log_histogram(df, "k", "v").collect())
